@@ -80,6 +80,14 @@ def _blocks(items: DataFrame, block_chars: int) -> list[list[tuple[int, str]]]:
     return [[(r.item_id, r.text) for r in items.filter(part == k).collect()] for k in range(n)]
 
 
+def _search(machine):
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sorted(machine.value.items_in(t)))
+
+    return run
+
+
 def leaked_items(docs: DataFrame, items: DataFrame, length: int = MIN_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id: every document with every item it shares a passage of at least `length` words with."""
     spark = docs.sparkSession
@@ -87,10 +95,5 @@ def leaked_items(docs: DataFrame, items: DataFrame, length: int = MIN_WORDS, blo
     parts = []
     for block in _blocks(items.select("item_id", "text").filter(F.col("text").isNotNull()), block_chars):
         machine = spark.sparkContext.broadcast(WuManber(block, length))
-
-        @F.pandas_udf(T.ArrayType(T.LongType()))
-        def search(column: pd.Series, machine=machine) -> pd.Series:
-            return column.map(lambda t: sorted(machine.value.items_in(t)))
-
-        parts.append(texts.select("doc_id", F.explode(search("text")).alias("item_id")))
+        parts.append(texts.select("doc_id", F.explode(_search(machine)("text")).alias("item_id")))
     return reduce(DataFrame.unionByName, parts)
