@@ -1 +1,5 @@
-QUERY_SETS: list = []
+"""Query plans over the tables, with their SQL."""
+
+from qafila.plans import corpus
+
+QUERY_SETS = [corpus]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -42,17 +42,38 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder and cut the lineage; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _clear() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session has gone; the folder is its owner's to clear
+            return
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Spread rows of a small or unsplittable file over the cluster before heavy per-row Python work."""
-    n = max(df.sparkSession.sparkContext.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *cols)
+def cut(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of a small or unsplittable input before heavy per-row work.
+
+    Only for plans without a shuffle. An input that already has a task for every second core is left as it is, so at
+    scale nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(2 * cores)
