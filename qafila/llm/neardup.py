@@ -1,27 +1,28 @@
 """Problem 2: groups of records whose verses are nearly the same.
 
 Method: PartEnum signatures. A record is the set of its neighbouring word pairs (hashed). Jaccard similarity g bounds the
-symmetric difference of two sets by (1-g)/(1+g) times their joint size, so within a band of sizes it is at most k. The
-hashed feature domain is split into n1 parts of n2 subparts. At most k differences can touch fewer than n1 parts by more
-than k2 = (k+1)/n1 - 1 of them, so in some part at least n2 - k2 subparts agree: each choice of n2 - k2 subparts gives one
-signature, the hash of the features in them, and two similar sets share one. Sets are banded by size (ratio g); each
-set signs for its own band and the next, so neighbours across a border meet.
-
-Signatures of empty subparts say nothing and are left out. That keeps the guarantee only for sets with enough filled
-parts: what k differences must destroy is summed per set, and sets that fall short ("thin": mostly short poems) sign
-once more on the finest partition, where every feature is a part of its own, all but the last few of which are needed
-(at most k can differ). Every pair has a common signature, so no link is lost; candidates are verified exactly.
+symmetric difference of two sets of sizes n and m by (1-g)/(1+g) (n+m). Sets are banded by size (ratio g), and each signs
+for its own band and the next, so two similar sets meet in the band of the larger. For a band the hashed feature domain
+is split into n1 parts of n2 = 2 subparts; k2 = 1 of them may differ, so each choice of n2 - k2 = 1 subpart gives one
+signature, the hash of all features in it. k differences touch at most k subparts. Three refinements keep it exact:
+
+* Empty subparts say nothing and are left out. A set with no more than k filled subparts ("thin": short poems) signs on
+  the finest partition as well, where each feature is a part of its own.
+* Signatures have a global order (rarest content first). Of a set's signatures at most k are not its partner's, so the
+  first k+1 of both hold their first common one; the others are not written.
+* A feature that no other set has is a difference whoever the partner is: it lowers k, and a set in which fewer than
+  ceil(g n) features are left has no partner at all. Such features and the order come from a count-min sketch of the
+  corpus, of fixed size whatever the corpus: it never counts too low, so a count of one is certain.
 
 Hot signatures (a refrain shared by very many records) are not paired up. In a bucket over BUCKET members the signature
-is joined with one further feature outside it: of n features at least ceil(g n) are shared with a partner, so one of the
-n - ceil(g n) + 1 rarest must be, and rare features make small buckets. A set so small that all it can share may lie in
-the signature stays in the bucket of such sets.
+is joined with one further feature outside it, one of the rarest n - ceil(g n) + 1, of which a partner must have one. A
+set so small that all it can share may lie in the signature stays in the bucket of such sets.
 
-Candidates carry a parity sketch (each feature flips one of 256 bits): as every differing feature flips at most one bit,
-more differing bits than the distance bound rule a candidate out inside the join, without error.
+Candidates carry a parity sketch (each feature flips one bit): every difference flips at most one bit, so more differing
+bits than the distance bound rule a candidate out inside the join, without error. Survivors are verified exactly.
 
-Exact copies (equal feature sets) are collapsed to one representative first; pairs are between representatives, and
-membership says which records a representative stands for.
+Exact copies (equal feature sets) share one 64-bit id and are one member throughout; membership says which records an id
+stands for. Of a set that is on a third of all rows each task sends one.
 
 Defined results: records without two words (null, empty, blank verses) have no features, form no pairs and are their own
 group; repeated sample_ids are one record, which keeps all its row indices and URLs; extra columns are ignored.
@@ -30,10 +31,11 @@ group; repeated sample_ids are one record, which keeps all its row indices and U
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,28 +43,55 @@ from pyspark.sql import types as T
 
 from qafila.llm.unify import words
 from qafila.operators.components import components
-from qafila.runtime import cut, spread
+from qafila.runtime import cut, scratch_path, spread
 
 THRESHOLD = 0.6
-#: Second-level subparts of a part, and how many of them may differ.
-N2, K2 = 3, 1
-#: First-level parts beyond the (k+1)/(K2+1) that full parts would need, as some subparts are empty.
-SLACK = 1.35
+#: Subparts of a band per feature of its largest set; at 0.75 sets are rarely thin and signatures hold 1.5 features.
+SUBPARTS = 0.75
 BUCKET = 64
-SKETCH = 4
+SKETCH = 2
+#: The count-min sketch: ROWS arrays of CELLS one-byte counters. A fixed 32 MB, broadcast.
+CELLS, ROWS = 1 << 24, 2
+CHUNK = 1 << 20
+_WORD_IDS: dict[str, int] = {}
+_KEPT_WORDS = 500_000
+
+
+def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+    """Another, independent hash of 64-bit hashes."""
+    z = x.astype(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _word_hash(w: str) -> int:
+    h = _WORD_IDS.get(w)
+    if h is None:
+        if len(_WORD_IDS) > _KEPT_WORDS:
+            _WORD_IDS.clear()
+        h = _WORD_IDS[w] = xxhash.xxh64_intdigest(w)
+    return h
 
 
 def features(verses: list[str | None] | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct pairs of neighbouring words, all verses in order."""
-    ws = [w for v in (verses if verses is not None else ()) for w in words(v)]
-    return np.array(sorted({xxhash.xxh64_intdigest(f"{a} {b}") - (1 << 63) for a, b in zip(ws, ws[1:], strict=False)}), dtype=np.int64)
+    ws = words("\n".join(v for v in verses if v)) if verses is not None else []
+    if len(ws) < 2:
+        return np.zeros(0, dtype=np.int64)
+    h = np.fromiter(map(_word_hash, ws), dtype=np.uint64, count=len(ws))
+    return np.unique(_mix(_mix(h[:-1], 11) * np.uint64(3) + _mix(h[1:], 12), 13).astype(np.int64))
+
+
+def set_id(feats: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(feats.tobytes()) - (1 << 63)
 
 
 def band_of(size: int, g: float) -> int:
     """Bands [l, floor(l/g)], the next starting after it; the number of the band a size is in."""
     low, band = 1, 0
-    while int(low / g + 1e-9) < size:
-        low, band = int(low / g + 1e-9) + 1, band + 1
+    while (top := int(low / g + 1e-9)) < size:
+        low, band = top + 1, band + 1
     return band
 
 
@@ -73,171 +102,271 @@ def band_top(band: int, g: float) -> int:
     return int(low / g + 1e-9)
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
-    """A second, independent hash of the feature hashes."""
-    z = x.astype(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def signatures(feats: np.ndarray, g: float = THRESHOLD) -> np.ndarray:
-    """All signatures of one set, for its own band and the next."""
-    own = band_of(len(feats), g)
-    return np.unique(np.concatenate([sig for band in (own, own + 1) for sig, _ in _signed(feats, band, g)])).astype(np.int64)
-
-
-def held_by(feats: np.ndarray, wanted: set[int], g: float = THRESHOLD) -> dict[int, np.ndarray]:
+# ---------------------------------------------------------------- corpus counts
+def _cells(feats: np.ndarray) -> list[np.ndarray]:
+    return [(_mix(feats, 100 + r) & np.uint64(CELLS - 1)).astype(np.int64) for r in range(ROWS)]
+
+
+def _add(counts: np.ndarray, feats: np.ndarray) -> None:
+    for row, cells in enumerate(_cells(feats)):
+        at, n = np.unique(cells, return_counts=True)
+        counts[row, at] = np.minimum(255, counts[row, at].astype(np.int64) + n)
+
+
+def estimate(counts: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    """At least the number of sets with the feature, up to 255."""
+    return np.minimum.reduce([counts[row, cells] for row, cells in enumerate(_cells(feats))]) if len(feats) else np.zeros(0, dtype=np.uint8)
+
+
+def _chunks(counts: np.ndarray) -> Iterator[pd.DataFrame]:
+    flat = counts.reshape(-1)
+    for i in range(0, len(flat), CHUNK):
+        if flat[i : i + CHUNK].any():
+            yield pd.DataFrame({"chunk": [i // CHUNK], "counts": [flat[i : i + CHUNK].tobytes()]})
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts, held, seen = np.zeros((ROWS, CELLS), dtype=np.uint8), [], set()
+    for batch in batches:
+        for verses in batch["verses"]:
+            f = features(verses)
+            if len(f) and (s := set_id(f)) not in seen:
+                seen.add(s)
+                held.append(f)
+        if held and sum(map(len, held)) > 200_000:
+            _add(counts, np.concatenate(held))
+            held = []
+    if held:
+        _add(counts, np.concatenate(held))
+    yield from _chunks(counts)
+
+
+def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    flat = np.zeros(ROWS * CELLS, dtype=np.uint8)
+    for batch in batches:
+        for chunk, counts in zip(batch["chunk"], batch["counts"], strict=True):
+            part = flat[chunk * CHUNK : (chunk + 1) * CHUNK]
+            part[:] = np.minimum(255, part.astype(np.int16) + np.frombuffer(counts, dtype=np.uint8))
+    yield from _chunks(flat)
+
+
+def corpus_counts(records: DataFrame, fan_in: int = 16) -> np.ndarray:
+    """The count-min sketch of all records. Tasks count, then merge fan_in to one; the driver gets the last 32 MB."""
+    schema = "chunk int, counts binary"
+    parts = cut(records.select("verses").mapInPandas(_count, schema))
+    n = parts.rdd.getNumPartitions()
+    while n > 1:
+        n = -(-n // fan_in)
+        parts = cut(parts.coalesce(n).mapInPandas(_merge, schema))
+    flat = np.zeros(ROWS * CELLS, dtype=np.uint8)
+    for row in parts.collect():
+        flat[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, dtype=np.uint8)
+    return flat.reshape(ROWS, CELLS)
+
+
+# ---------------------------------------------------------------- signatures
+def _subparts(feats: np.ndarray, band: int, g: float):
+    """The filled subparts of a set in a band: (signature, rarity order key maker inputs, subpart of each feature)."""
+    n_sub = max(2, 2 * math.ceil(SUBPARTS * band_top(band, g) / 2))
+    sub = (_mix(feats, 2 * band) % np.uint64(n_sub)).astype(np.int64)
+    filled, place = np.unique(sub, return_inverse=True)
+    total = np.zeros(len(filled), dtype=np.uint64)
+    np.add.at(total, place, _mix(feats, 2 * band + 1))
+    return _mix(total + filled.astype(np.uint64), 500 + band), place
+
+
+def _allowed(n: int, band: int, g: float) -> int:
+    """The most differences to a partner this instance must find."""
+    return int((1 - g) / (1 + g) * (n + min(band_top(band, g), int(n / g + 1e-9))) + 1e-9)
+
+
+def _instances(live: np.ndarray, seen: np.ndarray, n: int, g: float):
+    """(signatures in order, how many to write, subpart place of each feature) for each partition a set signs on."""
+    dead, need = n - len(live), math.ceil(g * n - 1e-9)
+    own = band_of(n, g)
+    for band in (own, own + 1):
+        k = _allowed(n, band, g) - dead
+        if k < 0:
+            continue
+        sig, place = _subparts(live, band, g)
+        rarity = np.full(len(sig), 255, dtype=np.int64)
+        np.minimum.at(rarity, place, seen.astype(np.int64))
+        yield sig, np.lexsort((sig, rarity))[: k + 1], place
+        if len(sig) <= k:  # thin
+            fine = _mix(live, 900 + band)
+            yield fine, np.lexsort((fine, seen))[: len(live) - need + 1], np.arange(len(live))
+
+
+def signatures(live: np.ndarray, seen: np.ndarray, n: int, g: float = THRESHOLD) -> np.ndarray:
+    """The signatures a set of n features writes; live are those another set may have, seen their corpus counts."""
+    if len(live) < math.ceil(g * n - 1e-9) or not len(live):
+        return np.zeros(0, dtype=np.int64)
+    return np.unique(np.concatenate([sig[at] for sig, at, _ in _instances(live, seen, n, g)])).astype(np.int64)
+
+
+def held_by(live: np.ndarray, n: int, wanted: set[int], g: float = THRESHOLD) -> dict[int, np.ndarray]:
     """For each wanted signature of the set the features that are in it."""
-    own, out = band_of(len(feats), g), {}
+    out, asked = {}, np.array(sorted(wanted), dtype=np.int64)
+    own = band_of(n, g)
     for band in (own, own + 1):
-        for sig, members in _signed(feats, band, g):
-            for i in np.flatnonzero(np.isin(sig.astype(np.int64), list(wanted))):
-                out.setdefault(int(sig[i].astype(np.int64)), feats[members(int(i))])
+        fine = _mix(live, 900 + band)
+        for sig, place in (_subparts(live, band, g), (fine, np.arange(len(live)))):
+            for i in np.flatnonzero(np.isin(sig.astype(np.int64), asked)):
+                out.setdefault(int(sig[i].astype(np.int64)), live[place == i])
     return out
 
 
-def _signed(feats: np.ndarray, band: int, g: float):
-    """(signatures, function from the place of one to the mask of its features) of a set for one band."""
-    size, top = len(feats), band_top(band, g)
-    # the partner in this band is at most `top`, and at most size / g
-    k_band = int((1 - g) / (1 + g) * 2 * top + 1e-9)
-    k_own = int((1 - g) / (1 + g) * (size + min(top, int(size / g + 1e-9))) + 1e-9)
-    n1 = max(1, math.ceil((k_band + 1) / (K2 + 1) * SLACK))
-    sub = (_mix(feats, 2 * band) % np.uint64(n1 * N2)).astype(np.int64)
-    h = _mix(feats, 2 * band + 1)
-    total = np.zeros(n1 * N2, dtype=np.uint64)
-    np.add.at(total, sub, h)
-    total = total.reshape(n1, N2)
-    filled = np.bincount(sub, minlength=n1 * N2).reshape(n1, N2) > 0
-    part = np.arange(n1, dtype=np.uint64)
-    for which, choice in enumerate(combinations(range(N2), N2 - K2)):
-        s = np.zeros(n1, dtype=np.uint64)
-        for j in choice:  # that a subpart is empty is part of the signature
-            s = s * np.uint64(1099511628211) + total[:, j] + np.uint64(j)
-        s = s ^ _mix(part * np.uint64(31) + np.uint64(which * 1_000_003 + band), 7)
-        parts = np.flatnonzero(filled[:, choice].any(axis=1))
-        yield s[parts], lambda i, parts=parts, choice=choice: (sub // N2 == parts[i]) & np.isin(sub % N2, choice)
-    # what a partner must differ in to leave no filled signature: per part K2 + 1 differences, or all filled subparts
-    if np.minimum(K2 + 1, filled.sum(axis=1)).sum() <= k_own:  # thin: the finest partition, every feature a part
-        yield _mix(h, 1_000 + band), lambda i: np.arange(size) == i
-
-
-def sketch(feats: np.ndarray) -> list[int]:
+def sketch(feats: np.ndarray) -> np.ndarray:
     bits = np.zeros(64 * SKETCH, dtype=np.uint8)
     np.bitwise_xor.at(bits, (_mix(feats, 3) % np.uint64(64 * SKETCH)).astype(np.int64), 1)
-    return np.packbits(bits).view(np.int64).tolist()
+    return np.packbits(bits).view(np.int64)
+
+
+# ---------------------------------------------------------------- the written table: kind m(embers), f(eatures), s(ignatures)
+_ROW = pa.schema([("kind", pa.string()), ("sample_id", pa.string()), ("id", pa.int64()), ("n", pa.int32()), ("dead", pa.int32()), ("b0", pa.int64()), ("b1", pa.int64()), ("features", pa.list_(pa.int64())), ("sig", pa.int64())])
+_ROW_DDL = "kind string, sample_id string, id bigint, n int, dead int, b0 bigint, b1 bigint, features array<bigint>, sig bigint"
+
+
+def _rows(kind: str, length: int, /, **columns) -> pa.RecordBatch:
+    arrays = [pa.repeat(kind, length)] + [pa.array(columns[f.name], type=f.type) if f.name in columns else pa.nulls(length, f.type) for f in list(_ROW)[1:]]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ROW)
+
+
+def _writer(counts, g: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen_ids: set[int] = set()
+        for batch in batches:
+            ids, sizes, heads = [], [], []
+            for verses in batch.column("verses").to_pylist():
+                f = features(verses)
+                ids.append(set_id(f) if len(f) else None)
+                sizes.append(len(f))
+                if len(f) and ids[-1] not in seen_ids:
+                    seen_ids.add(ids[-1])
+                    seen = estimate(counts.value, f)
+                    alive = seen > 1
+                    live = f[alive]
+                    sig = signatures(live, seen[alive], len(f), g)
+                    if len(sig):
+                        heads.append((ids[-1], len(f), len(f) - len(live), *sketch(live), live, sig))
+            yield _rows("m", len(ids), sample_id=batch.column("sample_id").to_pylist(), id=ids, n=sizes)
+            if heads:
+                names = ("id", "n", "dead", "b0", "b1")
+                flat = {name: [h[i] for h in heads] for i, name in enumerate(names)}
+                yield _rows("f", len(heads), features=[h[5] for h in heads], **flat)
+                lengths = [len(h[6]) for h in heads]
+                many = {name: np.repeat(np.array(v, dtype=np.int64), lengths) for name, v in flat.items()}
+                yield _rows("s", sum(lengths), sig=np.concatenate([h[6] for h in heads]), **many)
+
+    return run
 
 
-_SETS = T.StructType([
-    T.StructField("features", T.ArrayType(T.LongType())),
-    T.StructField("fingerprint", T.StringType()),
-    T.StructField("sketch", T.ArrayType(T.LongType())),
-])
+class Sets:
+    """The feature sets of all records, written once to the shared folder."""
 
+    def __init__(self, records: DataFrame, g: float = THRESHOLD) -> None:
+        spark = records.sparkSession
+        self.g = g
+        rows = spread(records.filter("sample_id is not null").select("sample_id", "verses"))
+        counts = spark.sparkContext.broadcast(corpus_counts(rows))
+        path = scratch_path(spark, "sets")
+        rows.mapInArrow(_writer(counts, g), _ROW_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        counts.unpersist()
+        self._all = spark.read.schema(_ROW_DDL).parquet(path)
 
-def feature_sets(records: DataFrame) -> DataFrame:
-    """sample_id, features, fingerprint, sketch of each distinct record that has features."""
+    def kind(self, kind: str, *columns: str) -> DataFrame:
+        return self._all.filter(F.col("kind") == kind).select(*columns)
 
-    @F.pandas_udf(_SETS)
-    def run(verses: pd.Series) -> pd.DataFrame:
-        feats = [features(v) for v in verses]
-        return pd.DataFrame({
-            "features": feats,
-            "fingerprint": [xxhash.xxh128_hexdigest(f.tobytes()) if len(f) else None for f in feats],
-            "sketch": [sketch(f) for f in feats],
-        })
+    def membership(self) -> DataFrame:
+        """sample_id, id; records without features have a null id."""
+        return self.kind("m", "sample_id", "id").distinct()
 
-    # records of one sample_id hold the same verses; any of them will do
-    one = records.filter("sample_id is not null").select("sample_id", "verses").dropDuplicates(["sample_id"])
-    return spread(one).select("sample_id", run("verses").alias("s")).select("sample_id", "s.*").filter("fingerprint is not null")
+    def features(self) -> DataFrame:
+        return self.kind("f", "id", "n", "features").dropDuplicates(["id"])
 
+    def signature_rows(self) -> DataFrame:
+        """Distinct members of each signature; tasks have already sent each set once only."""
+        return self.kind("s", "sig", "id", "n", "dead", "b0", "b1")
 
-def _signature_rows(reps: DataFrame, g: float) -> DataFrame:
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def run(feats: pd.Series) -> pd.Series:
-        return feats.map(lambda f: signatures(np.asarray(f, dtype=np.int64), g))
 
-    bits = [F.col("sketch")[i].alias(f"b{i}") for i in range(SKETCH)]
-    return reps.select("rep", F.size("features").alias("n"), *bits, F.explode(run("features")).alias("sig"))
+_MEMBER = ["id", "n", "dead", "b0", "b1"]
 
 
-def _refined(hot: DataFrame, reps: DataFrame, g: float) -> DataFrame:
+def _refined(hot: DataFrame, sets: Sets) -> DataFrame:
     """Members of hot buckets under finer signatures: the hot one and one of the member's rarest further features."""
+    g = sets.g
 
     @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("sig", T.LongType()), T.StructField("c", T.IntegerType()), T.StructField("rest", T.ArrayType(T.LongType()))])))
-    def further(sigs: pd.Series, feats: pd.Series) -> pd.Series:
+    def further(sigs: pd.Series, feats: pd.Series, n: pd.Series) -> pd.Series:
         out = []
-        for s, f in zip(sigs, feats, strict=True):
+        for s, f, size in zip(sigs, feats, n, strict=True):
             f = np.asarray(f, dtype=np.int64)
-            out.append([{"sig": k, "c": len(h), "rest": np.setdiff1d(f, h)} for k, h in held_by(f, {int(x) for x in s}, g).items()])
+            out.append([{"sig": k, "c": len(h), "rest": np.setdiff1d(f, h)} for k, h in held_by(f, int(size), {int(x) for x in s}, g).items()])
         return pd.Series(out)
 
-    bits = [f"b{i}" for i in range(SKETCH)]
-    mine = hot.groupBy("rep", "n", *bits).agg(F.collect_list("sig").alias("sigs")).join(reps.select("rep", "features"), "rep")
-    mine = cut(mine.select("rep", "n", *bits, F.explode(further("sigs", "features")).alias("x")).select("rep", "n", *bits, "x.*"))
+    mine = hot.groupBy(_MEMBER).agg(F.collect_set("sig").alias("sigs")).join(sets.features().select("id", "features"), "id")
+    mine = cut(mine.select(*_MEMBER, F.explode(further("sigs", "features", "n")).alias("x")).select(*_MEMBER, "x.*"))
     least = F.ceil(F.col("n") * g - 1e-9).cast("int")
-    tiny = mine.filter(F.col("c") >= least).select("rep", "n", *bits, F.xxhash64("sig", F.lit("tiny")).alias("sig"))
-    long = mine.filter(F.size("rest") > 0).select("rep", "n", *bits, "sig", F.explode("rest").alias("f"))
+    tiny = mine.filter(F.col("c") >= least).select(*_MEMBER, F.xxhash64("sig", F.lit("tiny")).alias("sig"))
+    long = mine.filter(F.size("rest") > 0).select(*_MEMBER, "sig", F.explode("rest").alias("f"))
     common = long.groupBy("f").agg(F.count("*").alias("seen")).filter(F.col("seen") > BUCKET)
-    ranked = long.join(common, "f", "left").groupBy("rep", "n", *bits, "sig").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "f"))).alias("fs"))
-    rare = ranked.select("rep", "n", *bits, "sig", F.explode(F.slice("fs", 1, F.col("n") - least + 1)).alias("x"))
-    return tiny.unionByName(rare.select("rep", "n", *bits, F.xxhash64("sig", "x.f").alias("sig")))
+    ranked = long.join(common, "f", "left").groupBy(*_MEMBER, "sig").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "f"))).alias("fs"))
+    rare = ranked.select(*_MEMBER, "sig", F.explode(F.slice("fs", 1, F.greatest(F.lit(0), F.col("n") - F.col("dead") - least + 1))).alias("x"))
+    return tiny.unionByName(rare.select(*_MEMBER, F.xxhash64("sig", "x.f").alias("sig")))
 
 
 def _candidates(rows: DataFrame, g: float) -> DataFrame:
+    rows = rows.select("sig", *_MEMBER).repartition("sig").dropDuplicates(["sig", "id"])
     x, y = rows.alias("x"), rows.alias("y")
     apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(SKETCH)), F.lit(0))
     near = (
         (F.col("x.sig") == F.col("y.sig"))
-        & (F.col("x.rep") < F.col("y.rep"))
+        & (F.col("x.id") < F.col("y.id"))
         & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * g - 1e-9)
-        & (apart <= (F.col("x.n") + F.col("y.n")) * ((1 - g) / (1 + g)) + 1e-9)
+        & (apart + F.col("x.dead") + F.col("y.dead") <= (F.col("x.n") + F.col("y.n")) * ((1 - g) / (1 + g)) + 1e-9)
     )
-    return x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-
-
-def similar_representatives(sets: DataFrame, g: float = THRESHOLD) -> DataFrame:
-    """a < b, similarity of every two distinct feature sets of Jaccard similarity g or more, by their representatives."""
-    reps = cut(sets.groupBy("fingerprint").agg(F.min("sample_id").alias("rep"), F.first("features").alias("features"), F.first("sketch").alias("sketch")))
-    rows = cut(_signature_rows(reps, g))
-    shared = cut(rows.groupBy("sig").agg(F.count("*").alias("members")).filter("members > 1"))
-    live = cut(rows.join(shared, "sig"))
-    cold, hot = live.filter(F.col("members") <= BUCKET).drop("members"), live.filter(F.col("members") > BUCKET).drop("members")
-    pairs = _candidates(cold, g)
-    if not hot.isEmpty():
-        pairs = pairs.union(_candidates(cut(_refined(hot, reps, g)), g))
-    features_of = reps.select("rep", "features")
+    return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+#: Hot signatures are broadcast up to so many (8 MB), else joined by shuffle.
+_BROADCAST_ROWS = 500_000
+
+
+def similar_sets(sets: Sets) -> DataFrame:
+    """a < b, similarity of every two distinct feature sets of Jaccard similarity g or more, by their ids."""
+    g, rows = sets.g, sets.signature_rows()
+    hot = cut(rows.groupBy("sig").agg(F.count("*").alias("members")).filter(F.col("members") > BUCKET).select("sig"))
+    n_hot = hot.count()
+    if n_hot:
+        few = F.broadcast(hot) if n_hot <= _BROADCAST_ROWS else hot
+        pairs = _candidates(rows.join(few, "sig", "left_anti"), g).union(_candidates(cut(_refined(rows.join(few, "sig", "left_semi"), sets)), g))
+    else:
+        pairs = _candidates(rows, g)
+    feats = sets.features()
     both = (
         pairs.distinct()
-        .join(features_of.select(F.col("rep").alias("a"), F.col("features").alias("fa")), "a")
-        .join(features_of.select(F.col("rep").alias("b"), F.col("features").alias("fb")), "b")
+        .join(feats.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("features").alias("fa")), "a")
+        .join(feats.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("features").alias("fb")), "b")
         .withColumn("common", F.size(F.array_intersect("fa", "fb")))
     )
-    similarity = F.col("common") / (F.size("fa") + F.size("fb") - F.col("common"))
+    similarity = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
     return both.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= g - 1e-12)
 
 
-def membership(sets: DataFrame) -> DataFrame:
-    """sample_id, rep: which representative stands for a record."""
-    heads = sets.groupBy("fingerprint").agg(F.min("sample_id").alias("rep"))
-    return sets.select("sample_id", "fingerprint").join(heads, "fingerprint").select("sample_id", "rep")
-
-
 def near_duplicates(records: DataFrame, g: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(membership, pairs between representatives)."""
-    sets = cut(feature_sets(records))
-    return membership(sets), cut(similar_representatives(sets, g))
+    """(membership, pairs between set ids)."""
+    sets = Sets(records, g)
+    return cut(sets.membership()), cut(similar_sets(sets))
 
 
 def near_duplicate_pairs(records: DataFrame, g: float = THRESHOLD) -> DataFrame:
     """sample_id_a < sample_id_b of every two records whose pair sets are similar; the expansion of near_duplicates."""
     members, pairs = near_duplicates(records, g)
-    members = cut(members)
-    loops = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct()
+    named = members.filter("id is not null")
+    loops = named.groupBy("id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("id").alias("a"), F.col("id").alias("b"))
     links = pairs.select("a", "b").union(loops)
-    x = members.select(F.col("rep").alias("a"), F.col("sample_id").alias("sa"))
-    y = members.select(F.col("rep").alias("b"), F.col("sample_id").alias("sb"))
+    x = named.select(F.col("id").alias("a"), F.col("sample_id").alias("sa"))
+    y = named.select(F.col("id").alias("b"), F.col("sample_id").alias("sb"))
     out = links.join(x, "a").join(y, "b").filter("a <> b or sa < sb")
     return out.select(F.least("sa", "sb").alias("sample_id_a"), F.greatest("sa", "sb").alias("sample_id_b"))
 
@@ -245,19 +374,26 @@ def near_duplicate_pairs(records: DataFrame, g: float = THRESHOLD) -> DataFrame:
 def near_duplicate_groups(records: DataFrame, g: float = THRESHOLD) -> DataFrame:
     """sample_id, group_id, members, links, source_row_indices, source_urls: one row per distinct record.
 
-    group_id is the smallest sample_id of the group, members its size, links the similar representatives of the record's
-    own; the two arrays are those of all records of the group, in order and without repeats.
+    group_id is the smallest sample_id of the group, members its size, links the similar other sets of the record's own;
+    the two arrays are those of all records of the group, in order and without repeats.
     """
-    of, pairs = near_duplicates(records, g)
+    members, pairs = near_duplicates(records, g)
     parts = components(pairs.select("a", "b"))
-    of = of.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    both = pairs.select("a").union(pairs.select("b")).groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "rep")
-    ids = records.filter("sample_id is not null").select("sample_id").distinct()
-    of = ids.join(of.join(both, "rep", "left"), "sample_id", "left").select("sample_id", F.coalesce("component", "sample_id").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
-    of = cut(of)
-    loads = records.select("sample_id", "source_row_indices", "source_urls").join(of.select("sample_id", "component"), "sample_id")
+    links = pairs.select("a").union(pairs.select("b")).groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "id")
+    of = members.join(parts.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
+    # a set without partner is its own class, a record without features is alone
+    key = F.coalesce(F.col("component").cast("string"), F.col("id").cast("string"), F.col("sample_id"))
+    of = cut(of.select("sample_id", key.alias("class"), F.coalesce("links", F.lit(0)).alias("links")))
+    loads = records.select("sample_id", "source_row_indices", "source_urls").join(of.select("sample_id", "class"), "sample_id")
     nothing = lambda c, kind: F.coalesce(c, F.array().cast(kind))
-    rows = loads.select("component", F.explode(nothing(F.col("source_row_indices"), "array<bigint>")).alias("v")).distinct().groupBy("component").agg(F.array_sort(F.collect_list("v")).alias("source_row_indices"))
-    urls = loads.select("component", F.explode(nothing(F.col("source_urls"), "array<string>")).alias("v")).distinct().groupBy("component").agg(F.array_sort(F.collect_list("v")).alias("source_urls"))
-    heads = of.groupBy("component").agg(F.min("sample_id").alias("group_id"), F.count("*").alias("members")).join(rows, "component", "left").join(urls, "component", "left")
-    return of.join(heads, "component").select("sample_id", "group_id", "members", "links", nothing(F.col("source_row_indices"), "array<bigint>").alias("source_row_indices"), nothing(F.col("source_urls"), "array<string>").alias("source_urls"))
+
+    def merged(column: str, kind: str) -> DataFrame:
+        each = loads.select("class", F.explode(nothing(F.col(column), kind)).alias("v")).distinct()
+        return each.groupBy("class").agg(F.array_sort(F.collect_list("v")).alias(column))
+
+    heads = of.groupBy("class").agg(F.min("sample_id").alias("group_id"), F.count("*").alias("members"))
+    heads = heads.join(merged("source_row_indices", "array<bigint>"), "class", "left").join(merged("source_urls", "array<string>"), "class", "left")
+    return of.join(heads, "class").select(
+        "sample_id", "group_id", "members", "links",
+        nothing(F.col("source_row_indices"), "array<bigint>").alias("source_row_indices"), nothing(F.col("source_urls"), "array<string>").alias("source_urls"),
+    )
