@@ -1,5 +1,5 @@
 """Query plans over the tables, with their SQL."""
 
-from qafila.plans import corpus
+from qafila.plans import corpus, selection, tasks, telemetry
 
-QUERY_SETS = [corpus]
+QUERY_SETS = [corpus, selection, telemetry, tasks]

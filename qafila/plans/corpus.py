@@ -139,7 +139,8 @@ def review_audit(spark, d):
     """Set equality both ways: candidates without review and reviews without candidate."""
     s = _texts(source(spark, d))
     found = U.trigger_terms(U.first_texts(s, U.authors_at(s, PLACE), "body"), "body", TERMS).select("poet_name")
-    reviewed = s.filter("poem_theme is not null").select("poet_name").distinct()
+    reviewed = s.filter("poem_theme is not null and poet_name is not null").select("poet_name").distinct()
+    found = found.filter("poet_name is not null")
     both = found.withColumn("c", F.lit(1)).join(reviewed.withColumn("r", F.lit(1)), "poet_name", "full_outer")
     return both.agg(F.count_if(F.expr("c = 1 and r is null")).alias("unreviewed"), F.count_if(F.expr("r = 1 and c is null")).alias("unasked"), F.count_if(F.expr("c = 1 and r = 1")).alias("matched"))
 
@@ -236,7 +237,7 @@ SQL = {
     "overlap_audit": f"SELECT count(*) FILTER (c) AS classic, count(*) FILTER (a) AS by_author, count(*) FILTER (c AND a) AS both, count(*) FILTER (c OR a) AS merged FROM (SELECT coalesce({CLASSIC}, false) AS c, poet_name IS NOT NULL AND poet_name IN ({AUTHORS}) AS a FROM poem_source)",
     "rejected_authors": f"WITH {FOUND} SELECT poet_name FROM found WHERE len(t) > 0 EXCEPT SELECT poet_name FROM poem_source WHERE poet_era IS NOT NULL",
     "author_union": f"{AUTHORS} UNION SELECT poet_name FROM poem_source WHERE {CLASSIC}",
-    "review_audit": f"""WITH {FOUND}, c AS (SELECT poet_name FROM found WHERE len(t) > 0), r AS (SELECT DISTINCT poet_name FROM poem_source WHERE poem_theme IS NOT NULL)
+    "review_audit": f"""WITH {FOUND}, c AS (SELECT poet_name FROM found WHERE len(t) > 0 AND poet_name IS NOT NULL), r AS (SELECT DISTINCT poet_name FROM poem_source WHERE poem_theme IS NOT NULL AND poet_name IS NOT NULL)
         SELECT count(*) FILTER (c.poet_name IS NOT NULL AND r.poet_name IS NULL) AS unreviewed, count(*) FILTER (r.poet_name IS NOT NULL AND c.poet_name IS NULL) AS unasked, count(*) FILTER (c.poet_name IS NOT NULL AND r.poet_name IS NOT NULL) AS matched
         FROM c FULL JOIN r ON c.poet_name = r.poet_name""",
     "url_checks": "SELECT count(*) FILTER (regexp_matches(poem_url, '^https?://')) AS good, count(*) FILTER (trim(poem_url) = '') AS blank, count(row_idx) = count(DISTINCT row_idx) AS ids_unique FROM poem_source",
