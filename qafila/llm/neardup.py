@@ -76,7 +76,7 @@ def _word_hash(w: str) -> int:
 
 def features(verses: list[str | None] | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct pairs of neighbouring words, all verses in order."""
-    ws = words("\n".join(v for v in verses if v)) if verses is not None else []
+    ws = words(" ".join(v for v in verses if v)) if verses is not None else []
     if len(ws) < 2:
         return np.zeros(0, dtype=np.int64)
     h = np.fromiter(map(_word_hash, ws), dtype=np.uint64, count=len(ws))

@@ -80,13 +80,14 @@ def _tables() -> tuple[re.Pattern, dict[int, None], re.Pattern]:
         if _shows_nothing(o, c, cat):
             invisible[o] = None
             unstable.append(o)
-        elif (c.isspace() and c != " ") or c in LATIN_TWINS or c in ARABIC_TWINS or ud.combining(c) or not ud.is_normalized("NFKC", c):
+        elif (c.isspace() and not c.isascii()) or c in LATIN_TWINS or c in ARABIC_TWINS or ud.combining(c) or not ud.is_normalized("NFKC", c):
             unstable.append(o)
     points = sorted({*unstable, *trailing, *range(0x1161, 0x1176), *range(0x11A8, 0x11C3)})
     return re.compile(f"[{_ranges(points)}]"), invisible, re.compile(r"\s+")
 
 
-_SPACING = re.compile(r"^ | $|  ")
+#: ASCII white space changes nothing but itself and is left to one pass over the whole text.
+_SPACING = re.compile(r"^\s|\s$|\s\s|[^\S ]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏḀ-ỿ]")
 _ARABIC = re.compile(r"[ؠ-يٮ-ەۺ-ۿݐ-ݿ]")
 _TWIN_LATIN = re.compile("[" + "".join(LATIN_TWINS) + "]")
@@ -114,22 +115,27 @@ def _segment(s: str) -> str:
     return space.sub(" ", ud.normalize("NFKC", s))
 
 
+#: Certainly stable: ASCII, the Arabic letters, digits and punctuation, single vowel marks, Latin-1 letters and dashes.
+_STABLE = "،؛؟ء-غـ-ْ٠-٬¡§«°¶»¿-ÿ‐‒-―‘-‟"
+_MAYBE = re.compile(f"[^\x09-\x0d\x20-\x7e{_STABLE}]|[ً-ْ]{{2}}")
+#: For the JVM: true for every value that may be unstable; all others are left out before any Python runs.
+SUSPECT = rf"[^\x20-\x7e{_STABLE}]|[ً-ْ]{{2}}|^ | $|  "
+
+
 def consistent(text: str | None) -> str | None:
     """The consistent form of one value (TESTDATA, Terms)."""
     if text is None:
         return None
-    unstable, _, space = _tables()
-    if unstable.search(text):
-        text = " ".join(_segment(x) if unstable.search(x) else x for x in text.split(" "))
-        text = _until_fixed(text)
-    if _SPACING.search(text):
-        text = space.sub(" ", text).strip(" ")
-    return text
+    text = _spliced(text)
+    return _tables()[2].sub(" ", text).strip(" ") if _SPACING.search(text) else text
 
 
-def _until_fixed(text: str) -> str:
-    """Segments that lost their last visible character can bring two others together."""
-    return text if ud.is_normalized("NFKC", text) else ud.normalize("NFKC", text)
+def _spliced(text: str) -> str:
+    """The text with its unstable segments in consistent form; white space is left as it is."""
+    if not _MAYBE.search(text):
+        return text
+    unstable = _tables()[0]
+    return " ".join(_segment(x) if _MAYBE.search(x) and unstable.search(x) else x for x in text.split(" "))
 
 
 _WORDS = re.compile(r"\w+")
@@ -141,15 +147,7 @@ _VOWELS = re.compile("[ً-ْ]+")
 
 def words(text: str | None) -> list[str]:
     """The words of a text (TESTDATA, Terms); of null none."""
-    return [] if not text else _WORDS.findall(MARKS.sub("", consistent(_VOWELS.sub("", text)).lower()))
-
-
-#: For the JVM: true for every value that may be unstable; all others are left out before any Python runs.
-#: Stable are printable ASCII, the Arabic letters, digits and punctuation, single marks, Latin-1 letters and dashes.
-SUSPECT = (
-    r"[^\x20-\x7e،؛؟ء-غـ-ْ٠-٬¡§«°¶»¿-ÿ‐‒-―‘-‟]"
-    r"|[ً-ْ]{2}|^ | $|  "
-)
+    return [] if not text else _WORDS.findall(MARKS.sub("", _spliced(_VOWELS.sub("", text)).lower()))
 
 
 def may_be_unstable(c: Column) -> Column:
