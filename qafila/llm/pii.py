@@ -73,6 +73,8 @@ _DISGUISED = re.compile(
     re.I | re.A,
 )
 _DOT_ANY = re.compile(_DOT, re.I)
+_AT_HINT = re.compile(r"@|[\[({<] ?(?:at|آت|ات)\b|\s(?:at|آت)\s[\w.-]+\s(?:dot|نقطة)\s", re.I)
+_SPELLED_HINT = re.compile(r"\b(?:" + "|".join(_DIGIT_WORDS) + r")\b[ -]{1,2}(?:" + "|".join(_DIGIT_WORDS) + r")\b", re.I)
 
 
 def deobfuscate(text: str) -> tuple[str, list[int] | None]:
@@ -84,8 +86,8 @@ def deobfuscate(text: str) -> tuple[str, list[int] | None]:
     if _GONE.search(view):
         origin = [i for i, c in enumerate(view) if not _GONE.match(c)]
         view = "".join(view[i] for i in origin)
-    for rule, rewrite in ((_SPELLED, _spelled), (_DISGUISED, _plain_address)):
-        if rule.search(view):
+    for hint, rule, rewrite in ((_SPELLED_HINT, _SPELLED, _spelled), (_AT_HINT, _DISGUISED, _plain_address)):
+        if hint.search(view) and rule.search(view):
             view, origin = _splice(view, origin, rule, rewrite)
     return view, origin
 
@@ -187,7 +189,7 @@ _NAME_CUES = [
 ]
 _NAMES = [re.compile(p, re.I | re.M) for p in _NAME_CUES]
 _NAME_HINT = re.compile(r"name is|i am called|yours|regards,|signed|sent by|thank|copied for us|written by|belongs to|read the proofs|disagrees with|كتبه|اسمي|وقعه|المخلص|توقيع|أرسله|نقله|نسخه|شكرا|قرأ", re.I)
-_STREET_HINT = re.compile(rf"\d.*?{_STREET}|{_STREET} \d|box \d", re.I)
+_STREET_HINT = re.compile(rf"\b{_STREET}|box \d", re.I)
 _AR_HINT = re.compile(r"شارع|حي |ص ?\. ?ب|صندوق بريد")
 #: How poets are credited, not private persons; a capital "B." is a person's initial.
 _CREDIT = re.compile(r"(?:^|[ ،,])(?:بن|ابن|بنت|[Ii]bn|[Bb]int) |(?<=\w )b\. |(?:^|[ ,])[Aa]l-")
