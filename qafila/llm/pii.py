@@ -77,53 +77,63 @@ _AT_HINT = re.compile(r"@|[\[({<] ?(?:at|آت|ات)\b|\s(?:at|آت)\s[\w.-]+\s(?
 _SPELLED_HINT = re.compile(r"\b(?:" + "|".join(_DIGIT_WORDS) + r")\b[ -]{1,2}(?:" + "|".join(_DIGIT_WORDS) + r")\b", re.I)
 
 
-def deobfuscate(text: str) -> tuple[str, list[int] | None]:
-    """The view, and for each of its characters the source position (None: positions are the same)."""
+def deobfuscate(text: str) -> tuple[str, list[int] | None, list[int] | None]:
+    """The view, and of each of its characters the source start and end (None: the same positions)."""
     view = text.translate(_ONE) if not text.isascii() else text
     if _MIXED.search(view):
         view = _WORD.sub(lambda m: m.group(0).translate(_TO_LATIN) if re.search("[A-Za-z]", m.group(0)) else m.group(0), view)
-    origin: list[int] | None = None
+    starts: list[int] | None = None
     if _GONE.search(view):
-        origin = [i for i, c in enumerate(view) if not _GONE.match(c)]
-        view = "".join(view[i] for i in origin)
+        starts = [i for i, c in enumerate(view) if not _GONE.match(c)]
+        view = "".join(view[i] for i in starts)
+    ends = None if starts is None else [i + 1 for i in starts]
     for hint, rule, rewrite in ((_SPELLED_HINT, _SPELLED, _spelled), (_AT_HINT, _DISGUISED, _plain_address)):
         if hint.search(view) and rule.search(view):
-            view, origin = _splice(view, origin, rule, rewrite)
-    return view, origin
+            view, starts, ends = _splice(view, starts or list(range(len(view))), ends or list(range(1, len(view) + 1)), rule, rewrite)
+    return view, starts, ends
 
 
-def _splice(view: str, origin: list[int] | None, rule: re.Pattern, rewrite) -> tuple[str, list[int]]:
-    origin = list(range(len(view))) if origin is None else origin
-    chars, back, last = [], [], 0
+def _splice(view: str, starts: list[int], ends: list[int], rule: re.Pattern, rewrite) -> tuple[str, list[int], list[int]]:
+    chars, new_starts, new_ends, last = [], [], [], 0
+
+    def keep(a: int, b: int) -> None:
+        chars.append(view[a:b])
+        new_starts.extend(starts[a:b])
+        new_ends.extend(ends[a:b])
+
     for m in rule.finditer(view):
-        chars.append(view[last : m.start()])
-        back.extend(origin[last : m.start()])
-        for piece, at in rewrite(m):
-            chars.append(piece)
-            back.extend(origin[at : at + len(piece)] if piece == view[at : at + len(piece)] else [origin[at]] * len(piece))
+        keep(last, m.start())
+        for piece, a, b in rewrite(m):
+            if piece == view[a:b]:
+                keep(a, b)
+            else:
+                chars.append(piece)
+                new_starts.extend([starts[a]] * len(piece))
+                new_ends.extend([ends[b - 1]] * len(piece))
         last = m.end()
-    chars.append(view[last:])
-    back.extend(origin[last:])
-    return "".join(chars), back
+    keep(last, len(view))
+    return "".join(chars), new_starts, new_ends
 
 
-def _spelled(m: re.Match) -> Iterator[tuple[str, int]]:
+def _spelled(m: re.Match) -> Iterator[tuple[str, int, int]]:
+    """(text of the view, start, end) of the digits, and what stood after the last."""
     for d in _SPELLED_ONE.finditer(m.group(0)):
-        yield _DIGIT_WORDS[d.group(0).lower()], m.start() + d.start()
+        yield _DIGIT_WORDS[d.group(0).lower()], m.start() + d.start(), m.start() + d.end()
     tail = len(m.group(0)) - len(m.group(0).rstrip(" -"))
     if tail:
-        yield m.group(0)[-tail:], m.end() - tail
+        yield m.group(0)[-tail:], m.end() - tail, m.end()
 
 
-def _plain_address(m: re.Match) -> Iterator[tuple[str, int]]:
-    yield m.group("local"), m.start("local")
-    yield "@", m.start("at") + len(m.group("at")) - len(m.group("at").lstrip())
-    at = m.start("domain")
-    for d in _DOT_ANY.finditer(m.group("domain")):
-        yield m.group("domain")[at - m.start("domain") : d.start()], at
-        yield ".", m.start("domain") + d.start()
-        at = m.start("domain") + d.end()
-    yield m.group("domain")[at - m.start("domain") :], at
+def _plain_address(m: re.Match) -> Iterator[tuple[str, int, int]]:
+    yield m.group("local"), *m.span("local")
+    yield "@", *m.span("at")
+    at, domain = m.start("domain"), m.group("domain")
+    for d in _DOT_ANY.finditer(domain):
+        a, b = m.start("domain") + d.start(), m.start("domain") + d.end()
+        yield m.string[at:a], at, a
+        yield ".", a, b
+        at = b
+    yield m.string[at : m.end("domain")], at, m.end("domain")
 
 
 # ---------------------------------------------------------------- detectors over the view
@@ -224,7 +234,7 @@ def spans(text: str | None, credits: frozenset[str] = frozenset()) -> list[tuple
     """(kind, start, end) of every personal detail, in code points of the source text."""
     if not text:
         return []
-    view, origin = deobfuscate(text)
+    view, starts, ends = deobfuscate(text)
     hits = [("email", *m.span()) for m in _EMAIL.finditer(view)] if "@" in view else []
     if any(c.isdigit() for c in view):
         hits += [("phone", *s) for s in _phones(view)]
@@ -239,9 +249,7 @@ def spans(text: str | None, credits: frozenset[str] = frozenset()) -> list[tuple
         if out and a < out[-1][2]:
             continue
         out.append((kind, a, b))
-    if origin is not None:
-        out = [(k, origin[a], origin[b - 1] + 1) for k, a, b in out]
-    return out
+    return out if starts is None else [(k, starts[a], ends[b - 1]) for k, a, b in out]
 
 
 def redacted(text: str | None, found: list[tuple[str, int, int]]) -> str | None:
