@@ -74,8 +74,8 @@ def skeleton(token: str) -> str:
 
 
 def phonetic(token: str) -> str:
-    """Skeleton with emphatic letters as their plain ones and doubled letters once."""
-    return re.sub(r"(.)\1+", r"\1", skeleton(token).translate(_EMPHATIC))
+    """Skeleton with emphatic letters as their plain ones."""
+    return skeleton(token).translate(_EMPHATIC)
 
 
 def jaro_winkler(a: str, b: str) -> float:
