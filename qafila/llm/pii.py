@@ -141,9 +141,9 @@ _EMAIL = re.compile(r"(?<![\w.+'-])[A-Z0-9_+](?:[A-Z0-9_.+'-]*[A-Z0-9_+-])?@(?:[
 
 _SEP = r"[ .\-/]"
 _PHONE = re.compile(
-    r"(?<![\w+@/:.,-])(?<!\d )(?:"
+    r"(?<![\w+@/:.,-])(?:"
     rf"(?:\+|00)\d{{1,4}}{_SEP}?(?:\(0\)){_SEP}?\d{{1,4}}(?:{_SEP}?\d{{2,4}}){{1,4}}"  # +99 (0)12 345 6789
-    rf"|(?:\+|00)\d{{1,4}}{_SEP}\d{{1,4}}(?:{_SEP}\d{{2,4}}){{1,4}}"  # +99 12 345 6789
+    r"|(?:\+|00)\d{1,4}[ .-]\d{1,4}(?:[ .-]\d{2,4}){1,4}"  # +99 12 345 6789
     r"|(?:\+|00)\d{9,13}"
     rf"|\(0\d{{1,4}}\){_SEP}?\d{{2,4}}(?:{_SEP}?\d{{2,4}}){{1,3}}"  # (012) 345-6789
     r"|0\d{2}-\d{3}-\d{4}|0\d{2}\.\d{3}\.\d{4}|0\d{2} \d{3} \d{4}|0\d{2}/\d{7}|0\d{2} \d{2} \d{2} \d{3}|0\d{9}"
@@ -158,10 +158,11 @@ _ID_LABEL = re.compile(
     r"(?: ?(?:number|no\.?|nr\.?|#|رقمها|رقمه|رقم))*(?: is| هو| هي)?[ :.\n]{1,3}",
     re.I,
 )
-_ID_VALUE = re.compile(r"[A-Z]{0,3}[- ]?\d(?:[ .\-/]?\d){4,13}(?:[ -]?[A-Z])?(?![\w@])", re.I | re.A)
-_ID_TAIL = re.compile(r"[ -][A-Z]$", re.I)
+_ID_VALUE = re.compile(
+    r"(?:[A-Z]{1,3}[- ]?\d{5,12}[A-Z]?|\d{6,14}[A-Z]?|\d{1,4}(?:[.\-/]\d{1,5}){1,4}|\d{2,5}(?: \d{2,5}){1,2})(?![\w@]|[./-]\d)", re.I | re.A
+)
 
-_STREET = r"(?:street|st|road|rd|avenue|ave|lane|ln|alley|terrace|quay|square|sq|boulevard|blvd|drive|dr|court|way|close|row|walk|place|pl|hill|crescent|gardens)\b\.?"
+_STREET = r"(?:street|st|road|rd|avenue|ave|lane|ln|alley|terrace|quay|square|boulevard|blvd|crescent)\b\.?"
 _NAMED = r"[^\W\d_]+(?:[ '-][^\W\d_]+)?"
 _TOWN = r"[^\W\d_]+(?: (?!(?:by|and|on|is|at|in|for)\b)[^\W\d_]+)?"
 _GAP = r"(?:, ?| ?\r?\n|, ?\r?\n)"
@@ -207,9 +208,9 @@ _CREDIT = re.compile(r"(?:^|[ ،,])(?:بن|ابن|بنت|[Ii]bn|[Bb]int) |(?<=\w
 
 def _phones(view: str) -> Iterator[tuple[int, int]]:
     for m in _PHONE.finditer(view):
-        if not 8 <= sum(c.isdigit() for c in m.group(0)) <= 15:
+        if not 9 <= sum(c.isdigit() for c in m.group(0)) <= 16:
             continue
-        if m.group(0).isdigit() and not m.group(0).startswith("00") and not _PHONE_WORD.search(view[max(0, m.start() - 20) : m.start()]):
+        if m.group(0).isdigit() and len(m.group(0)) <= 10 and not _PHONE_WORD.search(view[max(0, m.start() - 20) : m.start()]):
             continue  # ten digits in a row are a phone only behind a word that says so
         yield m.span()
 
@@ -217,9 +218,8 @@ def _phones(view: str) -> Iterator[tuple[int, int]]:
 def _ids(view: str) -> Iterator[tuple[int, int]]:
     for label in _ID_LABEL.finditer(view):
         m = _ID_VALUE.match(view, label.end())
-        if m:
-            tail = _ID_TAIL.search(m.group(0))
-            yield m.start(), m.end() - (len(tail.group(0)) if tail else 0)
+        if m and sum(c.isdigit() for c in m.group(0)) >= 5:
+            yield m.span()
 
 
 def _names(view: str, credits: frozenset[str]) -> Iterator[tuple[int, int]]:
