@@ -152,9 +152,9 @@ def redact(c: Column, secrets: list[str]) -> Column:
 
 def retry_after_seconds(header: Column, now: Column) -> Column:
     """Seconds or an HTTP date; never below 0; null if neither."""
-    date = F.try_to_timestamp(header, F.lit("EEE, dd MMM yyyy HH:mm:ss zzz"))
+    date = F.try_to_timestamp(F.regexp_replace(header, "^[A-Za-z]+, ", ""), F.lit("dd MMM yyyy HH:mm:ss z"))
     seconds = F.coalesce(header.try_cast("double"), date.cast("double") - now.cast("double"))
-    return F.greatest(F.lit(0.0), seconds)
+    return F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), seconds))
 
 
 def back_off(attempt: Column) -> Column:

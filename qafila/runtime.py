@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[8]", shuffle: int = 8, app: str = "qafila") -> SparkSession:
@@ -77,3 +78,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(2 * cores)
+
+
+#: Rows of a few short columns that may be broadcast (about 20 MB).
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if a count shows it is small; else as it is, for a shuffle join that AQE may split."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
