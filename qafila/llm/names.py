@@ -294,16 +294,12 @@ def link_names(names: DataFrame, given_names: DataFrame) -> DataFrame:
 
 def _accepted(forms: DataFrame) -> DataFrame:
     """a, b: forms of one block that mean one person."""
-    exact = (  # known given name and equal family: one person, linked to the smallest form
-        forms.filter("given_known")
-        .groupBy("given", "family", "script")
-        .agg(F.min("form_id").alias("a"), F.collect_set("form_id").alias("all"))
-        .select("a", F.explode("all").alias("b"))
-        .filter("a < b")
-    )
-    head = forms.filter("given_known").groupBy("given", "family", "script").agg(F.min("form_id").alias("form_id"))
+    known = forms.filter("given_known").select("given", "family", "script", "form_id")
+    head = cut(known.groupBy("given", "family", "script").agg(F.min("form_id").alias("a")))
+    # known given name and equal family: one person, linked to the smallest form
+    exact = known.join(head, ["given", "family", "script"]).filter("a < form_id").select("a", F.col("form_id").alias("b"))
     # of forms with known given name and equal family those with different fathers are kept: fathers decide some slips
-    kept = forms.join(head.select("form_id").withColumn("head", F.lit(True)), "form_id", "left").filter("head or not given_known or length(father) > 1")
+    kept = forms.join(head.select(F.col("a").alias("form_id"), F.lit(True).alias("head")), "form_id", "left").filter("head or not given_known or length(father) > 1")
     blocks = kept.select("form_id", F.explode("keys").alias("key"), F.struct(*PARTS).alias("p"))
     x, y = blocks.alias("x"), blocks.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.form_id") < F.col("y.form_id")))

@@ -5,6 +5,9 @@ records and their poets, then greedy largest-first assignment of groups to the s
 
 * A record links to the poet its credit means under any spelling; the spellings of a poet are linked by
   names.link_names. A credit that names nobody links nothing. Records sharing a sample_id are one node.
+* A poet may be on a third of all rows. Credits are made distinct before they are joined, the sides joined by poet or
+  group are broadcast where a count shows them small, and are else left to AQE's skew join; components never shuffle
+  edges by node at first.
 * Greedy assignment is sequential, but its outcome depends only on how many groups there are of each size. Those
   counts (of distinct sizes at most the square root of twice the items) go to the driver, the greedy rule is played on
   them, equal picks at a time, and yields how many groups of each size each split gets. Within a size groups are ranked
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from qafila.llm.names import link_names
 from qafila.operators.components import components
-from qafila.runtime import cut
+from qafila.runtime import cut, small
 
 SHARES = (("train", 0.98), ("validation", 0.01), ("test", 0.01))
 
@@ -32,7 +35,7 @@ def poet_ids(records: DataFrame, names: DataFrame, given_names: DataFrame) -> Da
     spelled = names.select("name_id", "poet_name").join(people, "name_id").select("poet_name", "person_id").distinct()
     # one credit may stand on a third of all records: repeats collapse before the join, and the small side is by spelling
     credits = records.select("sample_id", "poet_name").filter("sample_id is not null and poet_name is not null").distinct()
-    return credits.join(spelled, "poet_name").select("sample_id", "person_id").distinct()
+    return credits.join(small(cut(spelled)), "poet_name").select("sample_id", "person_id").distinct()
 
 
 def related_groups(items: DataFrame, records: DataFrame, names: DataFrame, given_names: DataFrame) -> DataFrame:
@@ -112,8 +115,8 @@ def split_items(items: DataFrame, records: DataFrame, names: DataFrame, given_na
     rows = items.select("work_id", "sample_id").withColumn("node", F.coalesce(F.concat(F.lit("s:"), "sample_id"), F.concat(F.lit("w:"), "work_id"), F.lit("w:")))
     grouped = cut(rows.join(nodes, "node"))
     sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
-    splits = assign_splits(sizes, shares)
-    return grouped.join(splits, "component").select("work_id", "sample_id", F.col("component").alias("group_id"), "split")
+    splits = cut(assign_splits(sizes, shares))
+    return grouped.join(small(splits), "component").select("work_id", "sample_id", F.col("component").alias("group_id"), "split")
 
 
 def poet_groups(items: DataFrame, records: DataFrame, names: DataFrame, given_names: DataFrame) -> DataFrame:
@@ -125,4 +128,4 @@ def poet_groups(items: DataFrame, records: DataFrame, names: DataFrame, given_na
     people = nodes.filter(F.col("node").startswith("p:")).groupBy("component").agg(F.min(F.expr("cast(substring(node, 3) as bigint)")).alias("group_id"))
     poems = nodes.filter(F.col("node").startswith("s:")).select(F.expr("substring(node, 3)").alias("sample_id"), "component")
     wanted = items.select("sample_id").distinct()
-    return poems.join(wanted, "sample_id").join(people, "component").select("sample_id", "group_id")
+    return poems.join(wanted, "sample_id").join(small(cut(people)), "component").select("sample_id", "group_id")
