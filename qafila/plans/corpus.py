@@ -37,7 +37,7 @@ def canonical_poems(spark, d):
 
 def source_order(spark, d):
     ordered = poems(spark, d).select("sample_id", F.get("source_row_indices", F.lit(0)).alias("first_row"))
-    return ordered.orderBy("first_row").limit(50)
+    return ordered.orderBy("first_row")
 
 
 def invalid_rows(spark, d):
@@ -172,7 +172,7 @@ def preview(spark, d):
 
 
 def authors_sorted(spark, d):
-    return source(spark, d).select("poet_name").distinct().orderBy("poet_name").limit(25)
+    return source(spark, d).select("poet_name").distinct().orderBy("poet_name")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -217,7 +217,7 @@ SQL = {
         SELECT sample_id, rows, coalesce(urls, '') AS urls, coalesce(b.name, '') AS poet_name, b.title AS poem_title, b.theme AS poem_theme, CAST(meter_id AS INT) AS meter_id,
           {METER_LIST}[meter_id + 1] AS meter_name, metadata_conflict, tied, CAST(len(verses) // 2 AS INT) AS couplet_count, {SPLIT} AS sft_split
         FROM poems LEFT JOIN urls ON urls.v = verses""",
-    "source_order": f"WITH {POEMS} SELECT sample_id, first_row FROM poems ORDER BY first_row LIMIT 50",
+    "source_order": f"WITH {POEMS} SELECT sample_id, first_row FROM poems ORDER BY first_row",
     "invalid_rows": "SELECT * FROM (SELECT row_idx, CASE WHEN coalesce(len(poem_verses), -1) < 1 THEN 'no verses' WHEN len(poem_verses) % 2 = 1 THEN 'odd verses' WHEN poem_meter IS NULL THEN 'no meter' END AS reason FROM poem_source) WHERE reason IS NOT NULL",
     "meter_votes": f"SELECT sha256(array_to_string(poem_verses, chr(9246))) AS sample_id, CAST(poem_meter AS INT) AS meter_id, count(*) AS votes FROM ({GOOD}) GROUP BY poem_verses, poem_meter",
     "meter_conflicts": f"WITH {POEMS} SELECT sample_id, CAST(meter_id AS INT) AS meter_id, tied FROM poems WHERE metadata_conflict",
@@ -245,5 +245,5 @@ SQL = {
     "value_counts_with_null": "SELECT poem_language_type, count(*) AS n FROM poem_source GROUP BY 1",
     "split_concat": "SELECT row_idx, CASE WHEN row_idx % 2 = 0 THEN 'even' ELSE 'odd' END AS split FROM poem_source",
     "preview": "SELECT row_idx, poet_name, poet_era FROM poem_source ORDER BY row_idx LIMIT 5",
-    "authors_sorted": "SELECT DISTINCT poet_name FROM poem_source ORDER BY poet_name NULLS FIRST LIMIT 25",
+    "authors_sorted": "SELECT DISTINCT poet_name FROM poem_source ORDER BY poet_name",
 }

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from qafila.functions import text as X
 from qafila.operators import events as E
+from qafila.operators import replay as R
+from qafila.operators.selection import latest, packed_chunks
 from qafila.plans import telemetry as M
-from qafila.plans.selection import P, poems
+from qafila.plans.selection import CHUNK, OVERSIZE, PACK, P, poems
 from qafila.runtime import table
 
 
@@ -21,7 +23,7 @@ def couplet_normal_form(spark, d):
 
 
 def grounding_words(spark, d):
-    docs = table(spark, d, "documents").filter("lang = 'en' and kind = 'instruction'")
+    docs = table(spark, d, "documents").filter("lang = 'en'")
     return docs.select("doc_id", F.array_join(F.array_sort(X.grounding_words(F.regexp_replace("text", r"[^\x00-\x7f]", " "))), " ").alias("words"))
 
 
@@ -55,9 +57,6 @@ def poem_containment(spark, d):
 
 def chunk_summary(spark, d):
     """Oversized poems: a note per packed chunk, joined in order."""
-    from qafila.operators.selection import packed_chunks
-    from qafila.plans.selection import CHUNK, OVERSIZE
-
     big = poems(spark, d).filter(F.length("poem_text") > OVERSIZE)
     rows = big.select("sample_id", F.posexplode(packed_chunks(X.couplets(F.col("verses")), CHUNK)).alias("pos", "chunk"))
     notes = rows.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("pos", F.concat((F.col("pos") + 1).cast("string"), F.lit(": "), F.length("chunk").cast("string")).alias("note")))).alias("x"))
@@ -66,11 +65,8 @@ def chunk_summary(spark, d):
 
 def review_decisions(spark, d):
     """Left join with decisions that exist; defaults where they do not."""
-    from qafila.plans.telemetry import log
-    from qafila.operators import replay
-
     asked = table(spark, d, "probe_poems").select("sample_id").distinct()
-    made = replay.successes(log(spark, d)).select("sample_id", (F.col("seq") % 2 == 0).alias("approved"))
+    made = R.successes(M.log(spark, d)).select("sample_id", (F.col("seq") % 2 == 0).alias("approved"))
     return asked.join(made, "sample_id", "left").select("sample_id", "approved", F.coalesce(F.when(F.col("approved"), F.lit("ok")), F.lit("")).alias("notes"))
 
 
@@ -97,8 +93,6 @@ def endpoint_pick(spark, d):
 
 def matching_events(spark, d):
     """Of events under one fingerprint the last per key."""
-    from qafila.operators.selection import latest
-
     e = M.once(spark, d).filter("settings_id = 3").withColumn("key", F.concat_ws("|", "endpoint_id", "request_kind"))
     return latest(e.select("key", "event_id", "status"), "key", "event_id")
 
@@ -144,11 +138,10 @@ QUERIES = {f.__name__: f for f in (
 
 _ONCE, _LOG = M.ONCE, M.LOG
 _TRIM = lambda x: f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
-from qafila.plans.selection import OVERSIZE, PACK  # noqa: E402
 
 SQL = {
     "couplet_normal_form": f"WITH {P}, x AS (SELECT record_no, nfc_normalize(verses[1]) AS a, nfc_normalize(verses[2]) AS b FROM p WHERE couplet_count > 0) SELECT record_no, sha256(CASE WHEN record_no % 3 = 2 OR contains(a || b, '=') THEN {_TRIM("a || ' = ' || b || ' = x'")} ELSE {_TRIM('a')} || ' = ' || {_TRIM('b')} END) AS digest FROM x",
-    "grounding_words": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(regexp_replace(text, '[^\\x00-\\x7f]', ' ', 'g')), '[a-z0-9_]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents WHERE lang = 'en' AND kind = 'instruction'",
+    "grounding_words": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(regexp_replace(text, '[^\\x00-\\x7f]', ' ', 'g')), '[a-z0-9_]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents WHERE lang = 'en'",
     "stripped_marks": "SELECT doc_id, sha256(translate(regexp_replace(text, '[\\x{610}-\\x{61a}\\x{64b}-\\x{65f}\\x{670}\\x{6d6}-\\x{6ed}\\x{640}]', '', 'g'), 'أإآٱ', 'اااا')) AS digest FROM documents WHERE text IS NOT NULL",
     "choice_labels": "WITH q AS (SELECT prompt_id, CASE WHEN prompt_id LIKE '%1' THEN 'أ) ' WHEN prompt_id LIKE '%2' THEN ' (ب. ' ELSE '' END || ground_truth AS a FROM mcq_items) SELECT prompt_id, count(*) FILTER (regexp_matches(a, '^\\s*[\\(\\[]?[أبجد][\\)\\]\\-.:：]')) AS labelled, count(*) AS n FROM q GROUP BY 1",
     "code_fences": f"""WITH {_ONCE} SELECT event_id, '{{"k":' || event_id || '}}' AS clean FROM e""",

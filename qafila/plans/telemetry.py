@@ -173,7 +173,7 @@ def reusable_successes(spark, d):
 
 
 def failures_sorted(spark, d):
-    return R.failures(log(spark, d)).orderBy("sample_id").limit(20)
+    return R.failures(log(spark, d)).orderBy("sample_id")
 
 
 def endpoint_fold(spark, d):
@@ -280,7 +280,7 @@ SQL = {
     "resume_chunks": f"WITH {LOG}, c AS (SELECT sample_id, start_offset, arg_max(struct_pack(fp := fingerprint, s := seq), seq) AS x FROM l WHERE event = 'reasoning_chunk_success' GROUP BY 1, 2) SELECT sample_id, start_offset, x.fp AS fingerprint, x.s AS seq FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.event = 'instruction_success' AND l.sample_id = c.sample_id AND l.seq > c.x.s AND l.fingerprint IS DISTINCT FROM c.x.fp)",
     "pending_items": f"WITH {LOG}, {P} SELECT sample_id FROM p WHERE sample_id NOT IN (SELECT sample_id FROM won)",
     "reusable_successes": f"WITH {LOG} SELECT sample_id, coalesce(x.fp, 'legacy') AS fingerprint FROM won WHERE coalesce(x.fp, 'fp1') = 'fp1'",
-    "failures_sorted": f"WITH {LOG} SELECT sample_id, error FROM lost ORDER BY sample_id LIMIT 20",
+    "failures_sorted": f"WITH {LOG} SELECT sample_id, error FROM lost ORDER BY sample_id",
     "manifest_counts": f"""WITH {LOG}, {P}, g AS (SELECT p.*, won.x.fp AS fp FROM p JOIN won ON p.sample_id = won.sample_id),
         m AS (SELECT 'split' AS dim, CASE WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 < 98 THEN 'train' WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 = 98 THEN 'validation' ELSE 'test' END AS value FROM g
           UNION ALL SELECT 'meter', meter_name FROM g UNION ALL SELECT 'corruptions', CAST(('0x' || substr(sha256('reconstruction-count:' || sample_id), 1, 16))::UBIGINT % least(3, couplet_count) + 1 AS VARCHAR) FROM g UNION ALL SELECT 'fingerprint', fp FROM g)
