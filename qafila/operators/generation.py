@@ -1,7 +1,8 @@
 """Work items through a text-generation backend: ask, check the contract, ask a judge, repair, give up after a limit.
 
 The loop runs inside one Arrow-batched function per work item, cheap checks before the judge, so a row never crosses the
-cluster between attempts. The backend is any object with chat(messages, seed) -> str; the default is a deterministic
+cluster between attempts. The two poem-writing tasks have a second stage: a row for every three couplets goes through the
+same loop, and one shuffle brings the chunks of a poem together. The backend is any object with chat(messages, seed) -> str; the default is a deterministic
 offline one whose faults are chosen by hash, so every branch of the loop is exercised and reruns agree.
 
 A failed item is a row with its error, never a failed task; only an outage of the backend (Outage) fails the job.
@@ -18,11 +19,16 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qafila.functions import seeded
 from qafila.functions import text as X
 from qafila.operators import contracts as C
-from qafila.operators.selection import with_prompt, work_items
+from qafila.operators import render as R
+from qafila.operators.selection import couplet_chunks, with_prompt, work_items
+
+#: Fewest characters of an instruction, as its prompt asks.
+MIN_INSTRUCTION = 200
 
 
 class Backend(Protocol):
@@ -75,6 +81,18 @@ class OfflineBackend:
 
     _poem_completion = _poem_generation
 
+    def _reasoning_chunk(self, ask: dict) -> dict:
+        head = {"overview": "نظرة في النص كله قبل النظر في أبياته"} if ask["overview"] else {}
+        return head | {"verse_reasoning": [self._block(ask["start"] + i, c) for i, c in enumerate(ask["couplets"])]}
+
+    def _block(self, number: int, couplet: str) -> dict:
+        word = max(sorted(C.words_of(couplet)), key=len, default="")
+        return {
+            "verse_index": number, "intended_meaning": "معنى يلائم موضع البيت من النص كله", "connection_to_previous": "صلة ظاهرة بما سبق من الكلام وبما يلحقه",
+            "imagery_and_diction": "صورة قريبة وألفاظ سهلة تلائم المقام", "first_draft": f"{word} في صدر = {word} في عجز", "problem_with_first_draft": f"تكرار {word} في الشطرين يضعف البيت",
+            "revised_draft": couplet, "first_hemistich_scansion": "الصدر مستقيم على النمط المطلوب", "second_hemistich_scansion": "العجز مستقيم على النمط المطلوب", "rhyme_check": "القافية موافقة لسائر أبيات النص",
+        }
+
 
 @dataclass(frozen=True)
 class Task:
@@ -84,6 +102,7 @@ class Task:
     items: Callable[[DataFrame], DataFrame]  # work_id, sample_id, ask (JSON)
     accept: Callable[[dict, dict], object]
     max_repairs: int = 2
+    chunked: bool = False  # whether reasoning over the couplets follows
 
 
 def _ask(kind: str, **columns) -> F.Column:
@@ -92,10 +111,14 @@ def _ask(kind: str, **columns) -> F.Column:
 
 def _poem_items(kind: str):
     def items(poems: DataFrame) -> DataFrame:
+        """With the columns the chunk stage needs; `provided` counts the couplets given away at the beginning."""
         if kind == "poem-completion":
             poems = poems.filter("couplet_count >= 2")
+            provided = seeded.prefix_length("sample_id", "couplet_count")
+        else:
+            provided = F.lit(0)
         ask = _ask(kind, poem=F.col("poem_text"), meter=F.col("meter_name"), n=F.col("couplet_count"))
-        return poems.select(F.concat(F.lit(kind + ":"), "sample_id").alias("work_id"), "sample_id", ask.alias("ask"))
+        return poems.select(F.concat(F.lit(kind + ":"), "sample_id").alias("work_id"), "sample_id", ask.alias("ask"), "meter_name", "poem_text", "verses", provided.alias("provided"))
 
     return items
 
@@ -112,18 +135,23 @@ def _reconstruction_items(poems: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.lit("poem-reconstruction:"), "sample_id").alias("work_id"), "sample_id", _ask("poem-reconstruction", poem=F.col("poem_text"), count=count).alias("ask"))
 
 
-def _accept_instruction(value: dict, ask: dict) -> str:
+def _accept_instruction(value: dict, ask: dict) -> dict:
     text = C.instruction_of(value)
-    C.need(all(h in text for h in C.HEADINGS), "missing headings")
-    C.need(str(ask["n"]) in text and ask["meter"] in text, "no count or meter")
-    return text
+    errors = C.instruction_errors_py(text, ask.get("meter"), ask["n"], ask["verses"], MIN_INSTRUCTION)
+    C.need(not errors, "; ".join(errors))
+    return {"instruction": text}
+
+
+def _accept_chunk(value: dict, ask: dict) -> dict:
+    overview, blocks = C.reasoning_chunk(value, ask["start"], ask["couplets"], ask["overview"])
+    return {"overview": overview, "verse_reasoning": blocks}
 
 
 TASKS: dict[str, Task] = {
     t.name: t
     for t in (
-        Task("poem-generation", _poem_items("poem-generation"), _accept_instruction),
-        Task("poem-completion", _poem_items("poem-completion"), _accept_instruction),
+        Task("poem-generation", _poem_items("poem-generation"), _accept_instruction, chunked=True),
+        Task("poem-completion", _poem_items("poem-completion"), _accept_instruction, chunked=True),
         Task("mcq", _mcq_items, lambda v, a: C.question_candidate(v, a["question"], a["truth"])),
         Task("poem-reconstruction", _reconstruction_items, lambda v, a: C.reconstruction_candidate(v, a["poem"].split("\n"), a["count"])),
     )
@@ -136,15 +164,19 @@ def task(name: str) -> Task:
     return TASKS[name]
 
 
-def attempt(t: Task, work_id: str, ask: str, backend: Backend) -> dict:
-    """One work item to the end: the accepted value or the last error, and how many attempts it took."""
+def attempt(t: Task, work_id: str, ask: str, backend: Backend, **known) -> dict:
+    """One work item to the end: the accepted value or the last error, and how many attempts it took.
+
+    What is known of the item besides its request goes to the contract, not to the backend.
+    """
     request, seed = json.loads(ask), int(hashlib.sha256(work_id.encode()).hexdigest()[:8], 16)
     messages, error = [{"role": "user", "content": ask}], None
     for k in range(t.max_repairs + 1):
         raw = backend.chat(messages, seed + k)
         try:
-            value = t.accept(C.object_of(raw), request)
-            verdict = C.object_of(backend.chat([{"role": "user", "content": json.dumps({"kind": "judge"})}], seed + 100_000))
+            value = t.accept(C.object_of(raw), request | known)
+            judged = json.dumps({"kind": "judge", "source": request, "candidate": value}, ensure_ascii=False)
+            verdict = C.object_of(backend.chat([{"role": "user", "content": judged}], seed + 100_000))
             C.need(verdict.get("passed") is True, "judge rejected: " + "; ".join(map(str, verdict.get("errors", []))))
             return {"value": json.dumps(value, ensure_ascii=False), "error": None, "attempts": k + 1}
         except C.Broken as e:
@@ -153,25 +185,90 @@ def attempt(t: Task, work_id: str, ask: str, backend: Backend) -> dict:
     return {"value": None, "error": f"remained invalid after repairs: {error}", "attempts": t.max_repairs + 1}
 
 
-def generate(poems: DataFrame, name: str, backend: Backend | None = None) -> DataFrame:
-    """work_id, sample_id, value, error, attempts of every work item of a task."""
-    t, backend = task(name), backend or OfflineBackend()
+def _stage(t: Task, rows: DataFrame, backend: Backend, keep: list[str], known: tuple[str, ...] = ()) -> DataFrame:
+    """The kept columns with value, error and attempts of each row's request (column key seeds it); no request, no attempt."""
+    made = [T.StructField("value", T.StringType()), T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType())]
+
+    def one(key: str, ask: str | None, *more) -> dict:
+        if ask is None:
+            return {"value": None, "error": None, "attempts": 0}
+        return attempt(t, key, ask, backend, **dict(zip(known, more, strict=True)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [attempt(t, w, a, backend) for w, a in zip(batch["work_id"], batch["ask"], strict=True)]
-            yield pd.DataFrame({"work_id": batch["work_id"], "sample_id": batch["sample_id"], **{k: [x[k] for x in done] for k in ("value", "error", "attempts")}})
+            done = [one(*row) for row in zip(*(batch[c] for c in ("key", "ask", *known)), strict=True)]
+            yield pd.DataFrame({**{c: batch[c] for c in keep}, **{f.name: [x[f.name] for x in done] for f in made}})
+
+    return rows.mapInPandas(run, T.StructType([rows.schema[c] for c in keep] + made))
+
+
+_REASONING = Task("reasoning-chunk", lambda rows: rows, _accept_chunk)
+_CHUNK = "overview string, verse_reasoning array<struct<verse_index:int," + ",".join(f"{f}:string" for f in C.BLOCK_FIELDS[1:]) + ">>"
+
+
+def _written(made: DataFrame, backend: Backend) -> DataFrame:
+    """Reasoning over every couplet after the provided ones, three at a time, then the response: reasoning and exact poem.
+
+    A poem whose instruction failed goes through as one row without a request. What is the same for all chunks of a poem
+    travels with its first one.
+    """
+    lines, provided = F.col("lines"), F.col("provided")
+    text = F.from_json("value", "instruction string")["instruction"]
+    beginning = F.array_join(F.slice(lines, F.lit(1), provided), "\n")
+    told = made.withColumn("lines", X.couplets(F.col("verses"))).withColumn("text", text)
+    told = told.withColumn("instruction", F.when(provided > 0, R.completion_instruction(F.col("text"), beginning, F.size(lines), provided)).otherwise(F.col("text")))
+    c = F.col("c")
+    start, first = F.coalesce(c["start"], F.lit(-1)), F.coalesce(c["first"], F.lit(True))
+    ask = _ask("reasoning-chunk", instruction=F.col("instruction"), meter=F.col("meter_name"), n=F.size(lines), start=c["start"] + 1, couplets=c["couplets"], before=c["before"], after=c["after"], overview=c["first"])
+    once = lambda name: F.when(first, F.col(name)).alias(name)
+    rows = told.withColumn("c", F.explode_outer(F.when(F.col("error").isNull(), couplet_chunks(lines, provided))))
+    rows = rows.select(
+        "work_id", "sample_id", F.concat_ws(":", "work_id", start.cast("string")).alias("key"), start.alias("start"), F.when(c.isNotNull(), ask).alias("ask"), "provided", F.size(lines).alias("n"),
+        F.col("attempts").alias("told_attempts"), F.col("error").alias("told_error"), once("instruction"), once("meter_name"), once("poem_text"),
+    )
+    same = ["work_id", "provided", "n", "told_attempts", "told_error", "instruction", "meter_name", "poem_text"]
+    done = _stage(_REASONING, rows, backend, ["sample_id", "start", *same]).withColumn("v", F.from_json("value", _CHUNK))
+    x = F.array_sort(F.collect_list(F.struct("start", "error", "attempts", "v.overview", "v.verse_reasoning", *same)))
+    whole = done.groupBy("sample_id").agg(x.alias("x")).withColumn("h", F.get("x", F.lit(0)))
+    h = F.col("h")
+    whole = whole.withColumn("blocks", F.flatten(F.transform("x", lambda e: F.coalesce(e["verse_reasoning"], F.array()))))
+    broken = F.filter(F.transform("x", lambda e: F.concat(F.lit("reasoning chunk "), (e["start"] + 1).cast("string"), F.lit(" "), e["error"])), lambda e: e.isNotNull())
+    wanted = F.when(h["n"] > h["provided"], F.sequence(h["provided"] + 1, h["n"]))
+    error = F.coalesce(
+        h["told_error"],
+        F.when(h["start"] < 0, F.lit("no couplet to reason about")),
+        F.get(broken, F.lit(0)),
+        F.when(F.transform("blocks", lambda b: b["verse_index"]) != wanted, F.lit("reasoning does not cover every couplet once")),
+    )
+    reasoning = R.render_reasoning(h["overview"], F.col("blocks"), R.is_prose(h["meter_name"]))
+    whole = whole.withColumn("error", error).withColumn("reasoning", F.when(F.col("error").isNull(), reasoning))
+    return whole.select(
+        h["work_id"].alias("work_id"), "sample_id", R.compose_response(F.col("reasoning"), h["poem_text"]).alias("value"), "error",
+        (h["told_attempts"] + F.aggregate("x", F.lit(0), lambda n, e: n + e["attempts"])).alias("attempts"),
+        (1 + F.when(h["start"] < 0, 0).otherwise(F.size("x"))).alias("stages"), h["instruction"].alias("instruction"), h["provided"].alias("provided"),
+    )
 
-    return t.items(poems).mapInPandas(run, "work_id string, sample_id string, value string, error string, attempts int")
+
+def generate(poems: DataFrame, name: str, backend: Backend | None = None) -> DataFrame:
+    """work_id, sample_id, value, error, attempts of every work item of a task, and of how many stages.
+
+    Poem-writing tasks also give the accepted instruction and how many couplets it gives away; their value is the response.
+    """
+    t, backend = task(name), backend or OfflineBackend()
+    rows = t.items(poems).withColumn("key", F.col("work_id"))
+    if t.chunked:
+        return _written(_stage(t, rows, backend, ["work_id", "sample_id", "meter_name", "poem_text", "verses", "provided"], known=("verses",)), backend)
+    made = _stage(t, rows, backend, ["work_id", "sample_id"])
+    return made.withColumns({"stages": F.lit(1), "instruction": F.lit(None).cast("string"), "provided": F.lit(None).cast("int")})
 
 
 def sft_records(poems: DataFrame, name: str, backend: Backend | None = None) -> DataFrame:
     """Trainer-facing rows of the items that succeeded."""
     made = generate(poems, name, backend).filter("error is null")
     rows = made.join(poems.select("sample_id", "poet_name", "meter_name", "couplet_count", "poem_text"), "sample_id")
-    status = F.when(F.col("attempts") > 1, "passed_after_repair").otherwise("passed")
+    status = F.when(F.col("attempts") > F.col("stages"), "passed_after_repair").otherwise("passed")
     return rows.select(
-        "sample_id", F.col("work_id").alias("record_id"), F.lit(name).alias("task_type"), "poet_name", "meter_name", "couplet_count",
+        "sample_id", F.col("work_id").alias("record_id"), F.lit(name).alias("task_type"), "poet_name", "meter_name", "couplet_count", F.col("provided").alias("provided_couplet_count"), "instruction",
         F.col("value").alias("response"), X.sft_split(F.col("sample_id")).alias("sft_split"), F.col("attempts").alias("generation_attempts"), status.alias("validation_status"),
     )
 

@@ -59,6 +59,15 @@ def packed_chunks(lines: Column, max_chars: int) -> Column:
     return F.aggregate(lines, empty, step, lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
 
 
+def couplet_chunks(lines: Column, offset: Column, n: int = 3) -> Column:
+    """The couplets from offset on, n at a time: start (from 0), couplets, the neighbours before and after, first."""
+    starts = F.when(offset < F.size(lines), F.sequence(offset, F.size(lines) - 1, F.lit(n))).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        starts,
+        lambda s: F.struct(s.alias("start"), F.slice(lines, s + 1, F.lit(n)).alias("couplets"), F.when(s > 0, F.get(lines, s - 1)).alias("before"), F.get(lines, s + n).alias("after"), (s == offset).alias("first")),
+    )
+
+
 def estimate(poems: DataFrame, max_source_chars: int, chunk_chars: int) -> DataFrame:
     """Requests each of the four tasks needs for a poem; the completion estimate knows the seeded prefix."""
     lines = X.couplets(F.col("verses"))
