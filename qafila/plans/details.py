@@ -27,6 +27,11 @@ def grounding_words(spark, d):
     return docs.select("doc_id", F.array_join(F.array_sort(X.grounding_words(F.regexp_replace("text", r"[^\x00-\x7f]", " "))), " ").alias("words"))
 
 
+def grounding_words_all(spark, d):
+    """The words of every document as stored, whatever its language is said to be."""
+    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(X.grounding_words(F.col("text"))), " ").alias("words"))
+
+
 def stripped_marks(spark, d):
     docs = table(spark, d, "documents").filter("text is not null")
     return docs.select("doc_id", F.sha2(X.fold_alif(F.col("text")), 256).alias("digest"))
@@ -132,7 +137,7 @@ def daily_lateness(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    couplet_normal_form, grounding_words, stripped_marks, choice_labels, code_fences, instruction_fingerprints, poem_containment, chunk_summary, review_decisions,
+    couplet_normal_form, grounding_words, grounding_words_all, stripped_marks, choice_labels, code_fences, instruction_fingerprints, poem_containment, chunk_summary, review_decisions,
     settings_match, reuse_defaults, endpoint_pick, matching_events, retry_waits, iso_stamps, answer_forms, duplicate_items, tokens_by_setting, daily_lateness,
 )}
 
@@ -141,6 +146,8 @@ _TRIM = lambda x: f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', '
 
 SQL = {
     "couplet_normal_form": f"WITH {P}, x AS (SELECT record_no, nfc_normalize(verses[1]) AS a, nfc_normalize(verses[2]) AS b FROM p WHERE couplet_count > 0) SELECT record_no, sha256(CASE WHEN record_no % 3 = 2 OR contains(a || b, '=') THEN {_TRIM("a || ' = ' || b || ' = x'")} ELSE {_TRIM('a')} || ' = ' || {_TRIM('b')} END) AS digest FROM x",
+    "grounding_words_all": r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(translate(regexp_replace(text, '[\x{0610}-\x{061a}\x{064b}-\x{065f}\x{0670}\x{06d6}-\x{06ed}\x{0640}]', '', 'g'), 'أإآٱ', 'اااا')),
+        '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{0600}-\x{06ff}]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents""",
     "grounding_words": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(regexp_replace(text, '[^\\x00-\\x7f]', ' ', 'g')), '[a-z0-9_]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents WHERE lang = 'en'",
     "stripped_marks": "SELECT doc_id, sha256(translate(regexp_replace(text, '[\\x{610}-\\x{61a}\\x{64b}-\\x{65f}\\x{670}\\x{6d6}-\\x{6ed}\\x{640}]', '', 'g'), 'أإآٱ', 'اااا')) AS digest FROM documents WHERE text IS NOT NULL",
     "choice_labels": "WITH q AS (SELECT prompt_id, CASE WHEN prompt_id LIKE '%1' THEN 'أ) ' WHEN prompt_id LIKE '%2' THEN ' (ب. ' ELSE '' END || ground_truth AS a FROM mcq_items) SELECT prompt_id, count(*) FILTER (regexp_matches(a, '^\\s*[\\(\\[]?[أبجد][\\)\\]\\-.:：]')) AS labelled, count(*) AS n FROM q GROUP BY 1",

@@ -1,6 +1,7 @@
 """The queries named ..._all take every couplet and document, not only the first of them."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -43,3 +44,15 @@ def test_completion_begins_with_the_seeded_prefix(spark):
         text = "اكتب\n\nالبداية:\n" + "\n".join(r.lines[:k]) + f"\n\nأكمل {n - k} من {n} بيتا."
         assert got[r.sample_id] == (k, con.execute("select sha256(?)", [text]).fetchone()[0])
     assert len({k for k, _ in got.values()}) > 1
+
+
+def test_grounding_words_of_every_document(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text").collect()
+    fold = str.maketrans("أإآٱ", "اااا")
+    word = re.compile(r"[\w\u0600-\u06ff]+")
+    want = {}
+    for r in docs:
+        found = word.findall(X.MARK_RE.sub("", r.text).translate(fold).lower()) if r.text is not None else None
+        want[r.doc_id] = None if found is None else " ".join(sorted({w for w in found if len(w) >= 3}))
+    got = {r.doc_id: r.words for r in rows(spark, "grounding_words_all")}
+    assert got == want and any(re.search("[ء-ي]{3}", w or "") for w in got.values())
