@@ -1,5 +1,6 @@
 """The queries named ..._all take every couplet and document, not only the first of them."""
 
+import json
 import os
 import re
 
@@ -56,3 +57,10 @@ def test_grounding_words_of_every_document(spark):
         want[r.doc_id] = None if found is None else " ".join(sorted({w for w in found if len(w) >= 3}))
     got = {r.doc_id: r.words for r in rows(spark, "grounding_words_all")}
     assert got == want and any(re.search("[ء-ي]{3}", w or "") for w in got.values())
+
+
+def test_every_couplet_is_normalised_and_every_verse_projected(spark):
+    couplets, shown = rows(spark, "couplet_normal_forms"), {r.sample_id: json.loads(r.public) for r in rows(spark, "field_hiding_all")}
+    p = poems(spark, DIR).select("sample_id", "record_no", "couplet_count", F.size("verses").alias("n")).collect()
+    assert sorted((r.record_no, r.couplet_no) for r in couplets) == sorted((r.record_no, i) for r in p for i in range(1, r.couplet_count + 1))
+    assert all(shown[r.sample_id] == [{"i": i, "first": i % 2 == 0} for i in range(r.n)] for r in p)
