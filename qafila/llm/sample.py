@@ -2,7 +2,7 @@
 
 Method: permanent random numbers. Every identifier gets a uniform number when it is first seen, by an anti-join insert
 into a persisted registry; a sample is everyone whose number lies under a threshold. As numbers are never reassigned and
-thresholds never fall, members stay members. The number is a hash of the identifier and a seed, so two registries, two
+thresholds of a registry never fall (the highest is stored with it; `select` alone reads under any), members stay members. The number is a hash of the identifier and a seed, so two registries, two
 layouts or two reruns agree without having met.
 
 Scale: the registry is partitioned by a prefix of the number, so selecting under a threshold prunes to the folders below
@@ -48,7 +48,20 @@ class Registry:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return self.spark.createDataFrame([], self.SCHEMA)
-        return stored
+        return stored.groupBy("sample_id", "prn", "folder").agg(F.min("first_seen").alias("first_seen"))
+
+    def threshold(self, asked: float = 0.0) -> float:
+        """The highest share ever asked for, kept beside the numbers so that a member is never dropped."""
+        path = f"{self.path}/_threshold"
+        try:
+            highest = self.spark.read.schema("share double").parquet(path).agg(F.max("share")).first()[0] or 0.0
+        except Exception as e:  # none yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            highest = 0.0
+        if asked > highest:
+            self.spark.range(1).select(F.lit(float(asked)).alias("share")).coalesce(1).write.mode("append").parquet(path)
+        return max(asked, highest)
 
     def insert(self, records: DataFrame) -> None:
         """Register identifiers not seen before; those seen keep their number and first sight."""
@@ -70,9 +83,13 @@ class Registry:
             .select("sample_id", "prn", "first_seen")
         )
 
+    def sample(self, share: float) -> DataFrame:
+        """The same under the highest threshold asked for so far, so a lower share drops nobody."""
+        return self.select(self.threshold(float(share)))
+
 
 def growing_sample(records: DataFrame, share: float, seed: str = SEED, path: str | None = None) -> DataFrame:
-    """Register all records and return the sample of the given share."""
+    """Register all records and return the sample of the given share, or of the highest asked of this registry before."""
     registry = Registry(records.sparkSession, path, seed)
     registry.insert(records.select("sample_id", "loaded_at"))
-    return registry.select(share)
+    return registry.sample(share)

@@ -92,3 +92,15 @@ def test_records(spark):
     got = P.cut_records(df, longer).filter("record_no = 1").orderBy("piece_no").collect()
     assert [r.piece_text for r in got] == ["aaaa = bbbb", "cc = dd"]
     assert P.cut_records(df.limit(0), longer).count() == 0 and P.oversized_ids(df, s.limit(0)).count() == 0
+
+
+def test_a_lower_threshold_and_a_repeated_insert_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    r = S.Registry(spark, path)
+    r.insert(records(spark, [f"k{i}" for i in range(200)]))
+    many = {x.sample_id for x in r.sample(0.4).collect()}
+    stored = spark.read.parquet(path)  # what a job that was repeated writes
+    stored.withColumn("first_seen", F.col("first_seen") + F.expr("interval 1 day")).write.mode("append").partitionBy("folder").parquet(path)
+    again = S.growing_sample(records(spark, []), 0.1, path=path).collect()
+    assert {x.sample_id for x in again} == many and len(again) == len(many)
+    assert all(x.first_seen == T0 for x in again)
