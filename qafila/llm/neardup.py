@@ -154,7 +154,7 @@ def corpus_counts(records: DataFrame, fan_in: int = 16) -> np.ndarray:
     """The count-min sketch of all records. Tasks count, then merge fan_in to one; the driver gets the last 32 MB."""
     schema = "chunk int, counts binary"
     parts = cut(records.select("verses").mapInPandas(_count, schema))
-    n = parts.rdd.getNumPartitions()
+    n = len(parts.inputFiles())  # not read partitions: one may pack the files of several tasks
     while n > 1:
         n = -(-n // fan_in)
         parts = cut(parts.coalesce(n).mapInPandas(_merge, schema))

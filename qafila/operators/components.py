@@ -72,7 +72,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", fan_in: int = FAN_I
     links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
     schema = links.schema
     forest = cut(links.mapInPandas(_forest, schema))
-    while (n := forest.rdd.getNumPartitions()) > 1:
+    while (n := len(forest.inputFiles())) > 1:  # files, as one read partition may pack several unmerged forests
         rows = forest.count()
         fewer = max(1, -(-n // fan_in), -(-rows // task_rows))
         if fewer >= n:
