@@ -2,27 +2,28 @@
 
 Method: PartEnum signatures. A record is the set of its neighbouring word pairs (hashed). Jaccard similarity g bounds the
 symmetric difference of two sets of sizes n and m by (1-g)/(1+g) (n+m). Sets are banded by size (ratio g), and each signs
-for its own band and the next, so two similar sets meet in the band of the larger. For a band the hashed feature domain
-is split into n1 parts of n2 = 2 subparts; k2 = 1 of them may differ, so each choice of n2 - k2 = 1 subpart gives one
-signature, the hash of all features in it. k differences touch at most k subparts. Three refinements keep it exact:
+for its own band and, if a partner can be that large, for the next, so two similar sets meet in the band of the larger.
+For a band the hashed feature domain is split into n1 parts of N2 subparts. In a part at most K2 subparts may differ: all
+subsets of N2 - K2 subparts are enumerated and each gives one signature, the hash of all features in them.
 
-* Empty subparts say nothing and are left out. A set with no more than k filled subparts ("thin": short poems) signs on
-  the finest partition as well, where each feature is a part of its own.
-* Signatures have a global order (rarest content first). Of a set's signatures at most k are not its partner's, so the
-  first k+1 of both hold their first common one; the others are not written.
-* A feature that no other set has is a difference whoever the partner is: it lowers k, and a set in which fewer than
-  ceil(g n) features are left has no partner at all. Such features and the order come from a count-min sketch of the
-  corpus, of fixed size whatever the corpus: it never counts too low, so a count of one is certain.
+* Breaking a part (leaving no signature in common) costs at least min(K2 + 1, subparts the set fills) differences. Parts
+  are taken in one fixed order until their cost exceeds the most differences a partner may have: whichever part two
+  similar sets first agree in lies within what both have written.
+* A set whose parts cost too little in all ("thin": short poems) signs besides with every two of its first features in
+  hash order, of which a partner must share two (of a single feature: that one). If one of two similar sets is not thin
+  they meet in a part, if both are thin in such a pair.
 
-Hot signatures (a refrain shared by very many records) are not paired up. In a bucket over BUCKET members the signature
-is joined with one further feature outside it, one of the rarest n - ceil(g n) + 1, of which a partner must have one. A
-set so small that all it can share may lie in the signature stays in the bucket of such sets.
+Parameters follow from the size band alone, so a set writes the same signatures in a corpus of any size: about 1.6 for
+each feature. They travel packed (5 bytes and a 3-byte reference each), bucketed by hash, in one shuffle; a task meets
+them bucket by bucket in sorted arrays of bounded length.
 
-Candidates carry a parity sketch (each feature flips one bit): every difference flips at most one bit, so more differing
-bits than the distance bound rule a candidate out inside the join, without error. Survivors are verified exactly.
+Hot signatures (a refrain shared by very many records) are not paired up. A signature with more than BUCKET members,
+which a task that writes many notices before the shuffle, marks its members; marked sets are joined by their rarest
+features instead (counted exactly among the marked): two similar sets share one of the rarest n - ceil(g n) + 1, and two
+of the rarest n - ceil(g n) + 2, which decides where more than WIDE sets share one. That join is by sorting, so a key is
+never held by a task; a refrain takes part only in sets it makes up by more than g.
 
-Exact copies (equal feature sets) share one 64-bit id and are one member throughout; membership says which records an id
-stands for. Of a set that is on a third of all rows each task sends one.
+Exact copies (equal 128-bit hash of the feature set) are one set throughout; membership says which records it stands for.
 
 Defined results: records without two words (null, empty, blank verses) have no features, form no pairs and are their own
 group; repeated sample_ids are one record, which keeps all its row indices and URLs; extra columns are ignored.
@@ -32,27 +33,31 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from qafila.llm.unify import words
 from qafila.operators.components import components
-from qafila.runtime import cut, scratch_path, spread
+from qafila.runtime import cut, scratch_path, small, spread
 
 THRESHOLD = 0.6
-#: Subparts of a band per feature of its largest set; at 0.75 sets are rarely thin and signatures hold 1.5 features.
-SUBPARTS = 0.75
+#: Subparts of a part, and how many of them may differ.
+N2, K2 = 3, 1
+#: Features of a band's largest set for each part.
+PER_PART = 2.5
+#: Members of a signature that are paired up; others are found by their rarest features.
 BUCKET = 64
-SKETCH = 2
-#: The count-min sketch: ROWS arrays of CELLS one-byte counters. A fixed 32 MB, broadcast.
-CELLS, ROWS = 1 << 24, 2
-CHUNK = 1 << 20
+#: Marked sets at one rare feature beyond which two are asked for; of the features before a meeting the first few are kept.
+WIDE, REMEMBERED = 4096, 16
+#: Features signed at a time, and signatures met at a time.
+CHUNK, MEET = 400_000, 1_000_000
 _WORD_IDS: dict[str, int] = {}
 _KEPT_WORDS = 500_000
 
@@ -83,274 +88,348 @@ def features(verses: list[str | None] | None) -> np.ndarray:
     return np.unique(_mix(_mix(h[:-1], 11) * np.uint64(3) + _mix(h[1:], 12), 13).astype(np.int64))
 
 
-def set_id(feats: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(feats.tobytes()) - (1 << 63)
+def set_key(feats: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a feature set."""
+    raw = xxhash.xxh128_intdigest(feats.tobytes())
+    return (raw >> 64) - (1 << 63), (raw & ((1 << 64) - 1)) - (1 << 63)
 
 
-def band_of(size: int, g: float) -> int:
-    """Bands [l, floor(l/g)], the next starting after it; the number of the band a size is in."""
-    low, band = 1, 0
-    while (top := int(low / g + 1e-9)) < size:
-        low, band = top + 1, band + 1
-    return band
+# ---------------------------------------------------------------- PartEnum
+@lru_cache(maxsize=8)
+def bands(upto: int, g: float) -> list[tuple[int, int]]:
+    """(smallest, largest size) of each band in which a set of up to `upto` features or its partner may lie."""
+    out, low = [], 1
+    while low <= upto / g:
+        out.append((low, int(low / g + 1e-9)))
+        low = out[-1][1] + 1
+    return out
 
 
-def band_top(band: int, g: float) -> int:
-    low = 1
-    for _ in range(band):
-        low = int(low / g + 1e-9) + 1
-    return int(low / g + 1e-9)
+@lru_cache(maxsize=8)
+def enumeration(n2: int, k2: int) -> tuple[list[tuple[int, ...]], np.ndarray, np.ndarray]:
+    """The subsets of n2 - k2 subparts; for each pattern of filled subparts which of them give a projection of their own,
+    and what it costs to break the part."""
+    subsets = list(combinations(range(n2), n2 - k2))
+    own = np.zeros((1 << n2, len(subsets)), dtype=bool)
+    for filled in range(1 << n2):
+        seen = {0}
+        for j, subset in enumerate(subsets):
+            left = filled & sum(1 << i for i in subset)
+            own[filled, j] = left not in seen
+            seen.add(left)
+    return subsets, own, np.array([min(k2 + 1, filled.bit_count()) for filled in range(1 << n2)])
+
+
+def _differences(sizes: np.ndarray, top: int, g: float) -> np.ndarray:
+    """The most differences to a partner of at most `top` features."""
+    return np.floor((1 - g) / (1 + g) * (sizes + np.minimum(top, np.floor(sizes / g + 1e-9))) + 1e-9).astype(np.int64)
+
+
+def _band_signatures(flat, owner, sizes, members, band: int, top: int, g: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures and their sets for the member sets of a band, and which of the members are thin."""
+    n1, salt = max(1, math.ceil(top / PER_PART)), 2 * band
+    place = np.full(len(sizes), -1)
+    place[members] = np.arange(len(members))
+    mine = place[owner] >= 0
+    feats, cell = flat[mine], place[owner[mine]] * (n1 * N2)
+    cell += (_mix(feats, salt) % np.uint64(n1 * N2)).astype(np.int64)
+    content = np.zeros(len(members) * n1 * N2, dtype=np.uint64)
+    np.add.at(content, cell, _mix(feats, salt + 1))
+    filled = np.zeros(len(content), dtype=bool)
+    filled[cell] = True
+    content = content.reshape(-1, N2)
+    subsets, own, costs = enumeration(N2, K2)
+    pattern = filled.reshape(-1, N2) @ (1 << np.arange(N2))
+    cost = costs[pattern].reshape(-1, n1)
+    most = _differences(sizes[members], top, g)
+    wanted = ((np.cumsum(cost, axis=1) - cost) <= most[:, None]).reshape(-1)
+    part, who = np.tile(np.arange(n1, dtype=np.uint64), len(members)), np.repeat(members, n1)
+    sigs, sets = [], []
+    for j, subset in enumerate(subsets):
+        at = np.flatnonzero(wanted & own[pattern, j])
+        total = content[at][:, list(subset)].sum(axis=1, dtype=np.uint64)
+        sigs.append(_mix(total + _mix(part[at], 500 + band), 700))
+        sets.append(who[at])
+    return np.concatenate(sigs), np.concatenate(sets), members[cost.sum(axis=1) <= most]
+
+
+def _pair_signatures(feats: np.ndarray, g: float) -> np.ndarray:
+    """Of a thin set: every two of its first n - ceil(g n) + 2 features in hash order; of a single feature that one."""
+    n = len(feats)
+    order = np.sort(_mix(feats, 900))[: n - math.ceil(g * n - 1e-9) + 2]
+    if n == 1:
+        return _mix(order, 901)
+    a, b = np.triu_indices(len(order), 1)
+    return _mix(order[a] + _mix(order[b], 902), 903)
+
+
+def signatures(sets: list[np.ndarray], g: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures, number of the set of each) of sets of features, none empty; a set has each signature once."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    flat, owner = np.concatenate(sets).view(np.uint64), np.repeat(np.arange(len(sets)), sizes)
+    out, thin = [], set()
+    partner = np.floor(sizes / g + 1e-9)
+    for band, (low, top) in enumerate(bands(int(sizes.max()), g)):
+        members = np.flatnonzero((sizes <= top) & (partner >= low))
+        if len(members):
+            sig, who, few = _band_signatures(flat, owner, sizes, members, band, top, g)
+            out.append((sig, who))
+            thin.update(few.tolist())
+    for i in sorted(thin):
+        sig = _pair_signatures(sets[i], g)
+        out.append((sig, np.full(len(sig), i)))
+    return np.concatenate([s for s, _ in out]), np.concatenate([w for _, w in out])
+
+
+# ---------------------------------------------------------------- the written table: kind m(embers), f(eatures)
+_ROW = pa.schema([("kind", pa.string()), ("sample_id", pa.string()), ("sid", pa.int64()), ("k0", pa.int64()), ("k1", pa.int64()), ("n", pa.int32()), ("features", pa.list_(pa.int64()))])
+_ROW_DDL = "kind string, sample_id string, sid bigint, k0 bigint, k1 bigint, n int, features array<bigint>"
+_TASK_BITS = 40
 
 
-# ---------------------------------------------------------------- corpus counts
-def _cells(feats: np.ndarray) -> list[np.ndarray]:
-    return [(_mix(feats, 100 + r) & np.uint64(CELLS - 1)).astype(np.int64) for r in range(ROWS)]
+def _rows(kind: str, length: int, /, **columns) -> pa.RecordBatch:
+    arrays = [pa.repeat(kind, length)] + [pa.array(columns[f.name], type=f.type) if f.name in columns else pa.nulls(length, f.type) for f in list(_ROW)[1:]]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ROW)
 
 
-def _add(counts: np.ndarray, feats: np.ndarray) -> None:
-    for row, cells in enumerate(_cells(feats)):
-        at, n = np.unique(cells, return_counts=True)
-        counts[row, at] = np.minimum(255, counts[row, at].astype(np.int64) + n)
+def _read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records to members and their distinct sets, numbered (sid) by task and turn."""
+    known: dict[tuple[int, int], int] = {}
+    first = TaskContext.get().partitionId() << _TASK_BITS
+    for batch in batches:
+        sids, fresh = [], []
+        for verses in batch.column("verses").to_pylist():
+            f = features(verses)
+            if not len(f):
+                sids.append(None)
+                continue
+            key = set_key(f)
+            if key not in known:
+                known[key] = first + len(known)
+                fresh.append((known[key], *key, len(f), f))
+            sids.append(known[key])
+        yield _rows("m", len(sids), sample_id=batch.column("sample_id").to_pylist(), sid=sids)
+        if fresh:
+            yield _rows("f", len(fresh), **{name: [x[i] for x in fresh] for i, name in enumerate(("sid", "k0", "k1", "n", "features"))})
 
 
-def estimate(counts: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    """At least the number of sets with the feature, up to 255."""
-    return np.minimum.reduce([counts[row, cells] for row, cells in enumerate(_cells(feats))]) if len(feats) else np.zeros(0, dtype=np.uint8)
+class Sets:
+    """The distinct feature sets of all records, written once to the shared folder."""
 
+    def __init__(self, records: DataFrame, g: float = THRESHOLD) -> None:
+        self.g, self.spark = g, records.sparkSession
+        path = scratch_path(self.spark, "sets")
+        rows = spread(records.filter("sample_id is not null").select("sample_id", "verses"))
+        rows.mapInArrow(_read_sets, _ROW_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        self._all = self.spark.read.schema(_ROW_DDL).parquet(path)
+        # a set that several tasks met is the smallest of its numbers; one row a task, however many records are copies
+        heads = self._kind("f", "sid", "k0", "k1")
+        many = heads.groupBy("k0", "k1").agg(F.min("sid").alias("head"), F.count("*").alias("c")).filter("c > 1")
+        self._copies = cut(heads.join(many, ["k0", "k1"]).filter("sid <> head").select("sid", "head"))
+
+    def _kind(self, kind: str, *columns: str) -> DataFrame:
+        return self._all.filter(F.col("kind") == kind).select(*columns)
 
-def _chunks(counts: np.ndarray) -> Iterator[pd.DataFrame]:
-    flat = counts.reshape(-1)
-    for i in range(0, len(flat), CHUNK):
-        if flat[i : i + CHUNK].any():
-            yield pd.DataFrame({"chunk": [i // CHUNK], "counts": [flat[i : i + CHUNK].tobytes()]})
+    def membership(self) -> DataFrame:
+        """sample_id, id; records without features have a null id."""
+        both = self._kind("m", "sample_id", "sid").join(small(self._copies), "sid", "left")
+        return both.select("sample_id", F.coalesce("head", "sid").alias("id")).distinct()
 
+    def features(self) -> DataFrame:
+        """id, n, features of each distinct set."""
+        return self._kind("f", "sid", "n", "features").join(small(self._copies), "sid", "left_anti").withColumnRenamed("sid", "id")
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts, held, seen = np.zeros((ROWS, CELLS), dtype=np.uint8), [], set()
-    for batch in batches:
-        for verses in batch["verses"]:
-            f = features(verses)
-            if len(f) and (s := set_id(f)) not in seen:
-                seen.add(s)
-                held.append(f)
-        if held and sum(map(len, held)) > 200_000:
-            _add(counts, np.concatenate(held))
-            held = []
-    if held:
-        _add(counts, np.concatenate(held))
-    yield from _chunks(counts)
-
-
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    flat = np.zeros(ROWS * CELLS, dtype=np.uint8)
-    for batch in batches:
-        for chunk, counts in zip(batch["chunk"], batch["counts"], strict=True):
-            part = flat[chunk * CHUNK : (chunk + 1) * CHUNK]
-            part[:] = np.minimum(255, part.astype(np.int16) + np.frombuffer(counts, dtype=np.uint8))
-    yield from _chunks(flat)
-
-
-def corpus_counts(records: DataFrame, fan_in: int = 16) -> np.ndarray:
-    """The count-min sketch of all records. Tasks count, then merge fan_in to one; the driver gets the last 32 MB."""
-    schema = "chunk int, counts binary"
-    parts = cut(records.select("verses").mapInPandas(_count, schema))
-    n = len(parts.inputFiles())  # not read partitions: one may pack the files of several tasks
-    while n > 1:
-        n = -(-n // fan_in)
-        parts = cut(parts.coalesce(n).mapInPandas(_merge, schema))
-    flat = np.zeros(ROWS * CELLS, dtype=np.uint8)
-    for row in parts.collect():
-        flat[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, dtype=np.uint8)
-    return flat.reshape(ROWS, CELLS)
-
-
-# ---------------------------------------------------------------- signatures
-def _subparts(feats: np.ndarray, band: int, g: float):
-    """The filled subparts of a set in a band: (signature, rarity order key maker inputs, subpart of each feature)."""
-    n_sub = max(2, 2 * math.ceil(SUBPARTS * band_top(band, g) / 2))
-    sub = (_mix(feats, 2 * band) % np.uint64(n_sub)).astype(np.int64)
-    filled, place = np.unique(sub, return_inverse=True)
-    total = np.zeros(len(filled), dtype=np.uint64)
-    np.add.at(total, place, _mix(feats, 2 * band + 1))
-    return _mix(total + filled.astype(np.uint64), 500 + band), place
-
-
-def _allowed(n: int, band: int, g: float) -> int:
-    """The most differences to a partner this instance must find."""
-    return int((1 - g) / (1 + g) * (n + min(band_top(band, g), int(n / g + 1e-9))) + 1e-9)
-
-
-def _instances(live: np.ndarray, seen: np.ndarray, n: int, g: float):
-    """(signatures in order, how many to write, subpart place of each feature) for each partition a set signs on."""
-    dead, need = n - len(live), math.ceil(g * n - 1e-9)
-    own = band_of(n, g)
-    for band in (own, own + 1):
-        k = _allowed(n, band, g) - dead
-        if k < 0:
-            continue
-        sig, place = _subparts(live, band, g)
-        rarity = np.full(len(sig), 255, dtype=np.int64)
-        np.minimum.at(rarity, place, seen.astype(np.int64))
-        yield sig, np.lexsort((sig, rarity))[: k + 1], place
-        if len(sig) <= k:  # thin
-            fine = _mix(live, 900 + band)
-            yield fine, np.lexsort((fine, seen))[: len(live) - need + 1], np.arange(len(live))
-
-
-def signatures(live: np.ndarray, seen: np.ndarray, n: int, g: float = THRESHOLD) -> np.ndarray:
-    """The signatures a set of n features writes; live are those another set may have, seen their corpus counts."""
-    if len(live) < math.ceil(g * n - 1e-9) or not len(live):
-        return np.zeros(0, dtype=np.int64)
-    return np.unique(np.concatenate([sig[at] for sig, at, _ in _instances(live, seen, n, g)])).astype(np.int64)
-
-
-def held_by(live: np.ndarray, n: int, wanted: set[int], g: float = THRESHOLD) -> dict[int, np.ndarray]:
-    """For each wanted signature of the set the features that are in it."""
-    out, asked = {}, np.array(sorted(wanted), dtype=np.int64)
-    own = band_of(n, g)
-    for band in (own, own + 1):
-        fine = _mix(live, 900 + band)
-        for sig, place in (_subparts(live, band, g), (fine, np.arange(len(live)))):
-            for i in np.flatnonzero(np.isin(sig.astype(np.int64), asked)):
-                out.setdefault(int(sig[i].astype(np.int64)), live[place == i])
-    return out
+    def size(self) -> int:
+        """Features in all."""
+        return self._kind("f", "n").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def sketch(feats: np.ndarray) -> np.ndarray:
-    bits = np.zeros(64 * SKETCH, dtype=np.uint8)
-    np.bitwise_xor.at(bits, (_mix(feats, 3) % np.uint64(64 * SKETCH)).astype(np.int64), 1)
-    return np.packbits(bits).view(np.int64)
+# ---------------------------------------------------------------- packed signatures, met bucket by bucket
+_PACKED = pa.schema([("bucket", pa.int64()), ("base", pa.int64()), ("sigs", pa.binary()), ("refs", pa.binary())])
+_PACKED_DDL = "bucket bigint, base bigint, sigs binary, refs binary"
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-# ---------------------------------------------------------------- the written table: kind m(embers), f(eatures), s(ignatures)
-_ROW = pa.schema([("kind", pa.string()), ("sample_id", pa.string()), ("id", pa.int64()), ("n", pa.int32()), ("dead", pa.int32()), ("b0", pa.int64()), ("b1", pa.int64()), ("features", pa.list_(pa.int64())), ("sig", pa.int64())])
-_ROW_DDL = "kind string, sample_id string, id bigint, n int, dead int, b0 bigint, b1 bigint, features array<bigint>, sig bigint"
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of numbers, highest first, byte by byte: sorted numbers compress well this way."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width][:, ::-1].T).tobytes()
 
 
-def _rows(kind: str, length: int, /, **columns) -> pa.RecordBatch:
-    arrays = [pa.repeat(kind, length)] + [pa.array(columns[f.name], type=f.type) if f.name in columns else pa.nulls(length, f.type) for f in list(_ROW)[1:]]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ROW)
+def _unplanes(raw: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+    out = np.zeros(planes.shape[1], dtype=np.uint64)
+    for plane in planes:
+        out = (out << np.uint64(8)) | plane
+    return out
+
 
+def _pack(buckets: int, bucket_size: int, g: float):
+    """Signatures of sets in rows by bucket; bucket -1 - x lists sets that this task saw to be under a hot signature."""
+
+    def packed(ids: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sig, who = signatures(sets, g)
+        ref = np.array(ids, dtype=np.int64)[who] - ids[0]
+        bucket = (sig >> np.uint64(40)) % np.uint64(buckets)
+        order = np.lexsort((sig & np.uint64((1 << 40) - 1), bucket))
+        sig, ref, bucket = sig[order], ref[order], bucket[order].astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        turn = np.arange(len(sig)) - np.repeat(starts, np.diff(np.r_[starts, len(sig)]))
+        marked = np.unique(ref[turn > bucket_size])  # enough of the signature's members go on for the bucket to see it is hot
+        keep = turn <= bucket_size
+        sig, ref, bucket = sig[keep], ref[keep], bucket[keep]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        rows = [(int(bucket[a]), ids[0], _planes(sig[a:b], 5), _planes(ref[a:b], 3)) for a, b in zip(cuts, np.r_[cuts[1:], len(sig)], strict=True)]
+        if len(marked):
+            rows.append((-1 - int(sig[0] % np.uint64(buckets)), ids[0], b"", _planes(marked, 3)))
+        yield pa.RecordBatch.from_pylist([dict(zip(_PACKED.names, r, strict=True)) for r in rows], schema=_PACKED)
 
-def _writer(counts, g: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen_ids: set[int] = set()
+        ids: list[int] = []
+        sets: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            ids, sizes, heads = [], [], []
-            for verses in batch.column("verses").to_pylist():
-                f = features(verses)
-                ids.append(set_id(f) if len(f) else None)
-                sizes.append(len(f))
-                if len(f) and ids[-1] not in seen_ids:
-                    seen_ids.add(ids[-1])
-                    seen = estimate(counts.value, f)
-                    alive = seen > 1
-                    live = f[alive]
-                    sig = signatures(live, seen[alive], len(f), g)
-                    if len(sig):
-                        heads.append((ids[-1], len(f), len(f) - len(live), *sketch(live), live, sig))
-            yield _rows("m", len(ids), sample_id=batch.column("sample_id").to_pylist(), id=ids, n=sizes)
-            if heads:
-                names = ("id", "n", "dead", "b0", "b1")
-                flat = {name: [h[i] for h in heads] for i, name in enumerate(names)}
-                yield _rows("f", len(heads), features=[h[5] for h in heads], **flat)
-                lengths = [len(h[6]) for h in heads]
-                many = {name: np.repeat(np.array(v, dtype=np.int64), lengths) for name, v in flat.items()}
-                yield _rows("s", sum(lengths), sig=np.concatenate([h[6] for h in heads]), **many)
+            column = batch.column("features")
+            ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+            for i, sid in enumerate(batch.column("id").to_pylist()):
+                if ids and (held > CHUNK or not 0 <= sid - ids[0] < 1 << 24):
+                    yield from packed(ids, sets)
+                    ids, sets, held = [], [], 0
+                ids.append(sid)
+                sets.append(values[ends[i] : ends[i + 1]])
+                held += len(sets[-1])
+        if ids:
+            yield from packed(ids, sets)
 
     return run
 
 
-class Sets:
-    """The feature sets of all records, written once to the shared folder."""
-
-    def __init__(self, records: DataFrame, g: float = THRESHOLD) -> None:
-        spark = records.sparkSession
-        self.g = g
-        rows = spread(records.filter("sample_id is not null").select("sample_id", "verses"))
-        counts = spark.sparkContext.broadcast(corpus_counts(rows))
-        path = scratch_path(spark, "sets")
-        rows.mapInArrow(_writer(counts, g), _ROW_DDL).write.option("compression", "zstd").partitionBy("kind").parquet(path)
-        counts.unpersist()
-        self._all = spark.read.schema(_ROW_DDL).parquet(path)
+def _met(sig: np.ndarray, ids: np.ndarray, bucket_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (a < b) of sets under one signature, and the members of signatures that have too many."""
+    order = np.argsort(sig, kind="stable")
+    sig, ids = sig[order], ids[order]
+    starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+    sizes = np.diff(np.r_[starts, len(sig)])
+    lefts, rights = [], []
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= bucket_size)]).tolist():
+        group = ids[starts[sizes == size][:, None] + np.arange(size)]
+        x, y = np.triu_indices(size, 1)
+        lefts.append(group[:, x].reshape(-1))
+        rights.append(group[:, y].reshape(-1))
+    hot = ids[np.repeat(sizes > bucket_size, sizes)]
+    if not lefts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), hot
+    a, b = np.concatenate(lefts), np.concatenate(rights)
+    return np.minimum(a, b), np.maximum(a, b), hot
+
+
+def _meet(bucket_size: int):
+    def told(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b, pa.int64())], schema=_MET)
+
+    def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        keep = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+        return a[keep], b[keep]
 
-    def kind(self, kind: str, *columns: str) -> DataFrame:
-        return self._all.filter(F.col("kind") == kind).select(*columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sigs, ids, left, right, held = None, [], [], [], [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal held, left, right
+            if sigs:
+                a, b, hot = _met(np.concatenate(sigs), np.concatenate(ids), bucket_size)
+                a, b = distinct(a, b)
+                left.append(a)
+                right.append(b)
+                held += len(a)
+                if len(hot):
+                    yield told(np.unique(hot), None)
+            if held > MEET:
+                yield told(*distinct(np.concatenate(left), np.concatenate(right)))
+                left, right, held = [], [], 0
 
-    def membership(self) -> DataFrame:
-        """sample_id, id; records without features have a null id."""
-        return self.kind("m", "sample_id", "id").distinct()
+        for batch in batches:
+            for bucket, base, sig, ref in zip(*(batch.column(c).to_pylist() for c in _PACKED.names), strict=True):
+                if bucket < 0:
+                    yield told(base + _unplanes(ref, 3).astype(np.int64), None)
+                    continue
+                if bucket != now:
+                    yield from close()
+                    now, sigs, ids = bucket, [], []
+                sigs.append(_unplanes(sig, 5))
+                ids.append(base + _unplanes(ref, 3).astype(np.int64))
+        yield from close()
+        if held:
+            yield told(*distinct(np.concatenate(left), np.concatenate(right)))
 
-    def features(self) -> DataFrame:
-        return self.kind("f", "id", "n", "features").dropDuplicates(["id"])
+    return run
 
-    def signature_rows(self) -> DataFrame:
-        """Distinct members of each signature; tasks have already sent each set once only."""
-        return self.kind("s", "sig", "id", "n", "dead", "b0", "b1")
 
+def _candidates(sets: Sets) -> tuple[DataFrame, DataFrame]:
+    """(a, b) sets that share a signature of a small bucket; (id) sets that are under a hot one."""
+    spark = sets.spark
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(tasks, -(-2 * sets.size() // MEET))  # hash buckets of about so many signatures, however large the corpus
+    packed = sets.features().select("id", "features").mapInArrow(_pack(buckets, BUCKET, sets.g), _PACKED_DDL)
+    placed = packed.repartition("bucket").sortWithinPartitions("bucket")
+    met = cut(placed.mapInArrow(_meet(BUCKET), "a bigint, b bigint"))
+    return met.filter("b is not null").distinct(), met.filter("b is null").select(F.col("a").alias("id")).distinct()
 
-_MEMBER = ["id", "n", "dead", "b0", "b1"]
 
+# ---------------------------------------------------------------- sets under hot signatures
+def _by_rarest(hot: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b) among the hot sets: they meet at the rarest feature they share.
 
-def _refined(hot: DataFrame, sets: Sets) -> DataFrame:
-    """Members of hot buckets under finer signatures: the hot one and one of the member's rarest further features."""
+    A row says at which of a set's features, rarest first, it may meet others: one of the first n - ceil(g n) + 1, or if
+    more than WIDE sets stand there, that one and the next shared. A pair is told where it first meets; what both have
+    behind that place must suffice for their similarity.
+    """
     g = sets.g
-
-    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("sig", T.LongType()), T.StructField("c", T.IntegerType()), T.StructField("rest", T.ArrayType(T.LongType()))])))
-    def further(sigs: pd.Series, feats: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for s, f, size in zip(sigs, feats, n, strict=True):
-            f = np.asarray(f, dtype=np.int64)
-            out.append([{"sig": k, "c": len(h), "rest": np.setdiff1d(f, h)} for k, h in held_by(f, int(size), {int(x) for x in s}, g).items()])
-        return pd.Series(out)
-
-    mine = hot.groupBy(_MEMBER).agg(F.collect_set("sig").alias("sigs")).join(sets.features().select("id", "features"), "id")
-    mine = cut(mine.select(*_MEMBER, F.explode(further("sigs", "features", "n")).alias("x")).select(*_MEMBER, "x.*"))
+    each = sets.features().join(small(hot), "id", "left_semi").select("id", "n", F.explode("features").alias("f"))
+    common = cut(each.groupBy("f").agg(F.count("*").alias("seen")).filter(F.col("seen") > 1))  # the others are shared by nobody
     least = F.ceil(F.col("n") * g - 1e-9).cast("int")
-    tiny = mine.filter(F.col("c") >= least).select(*_MEMBER, F.xxhash64("sig", F.lit("tiny")).alias("sig"))
-    long = mine.filter(F.size("rest") > 0).select(*_MEMBER, "sig", F.explode("rest").alias("f"))
-    common = long.groupBy("f").agg(F.count("*").alias("seen")).filter(F.col("seen") > BUCKET)
-    ranked = long.join(common, "f", "left").groupBy(*_MEMBER, "sig").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "f"))).alias("fs"))
-    rare = ranked.select(*_MEMBER, "sig", F.explode(F.slice("fs", 1, F.greatest(F.lit(0), F.col("n") - F.col("dead") - least + 1))).alias("x"))
-    return tiny.unionByName(rare.select(*_MEMBER, F.xxhash64("sig", "x.f").alias("sig")))
-
-
-def _candidates(rows: DataFrame, g: float) -> DataFrame:
-    rows = rows.select("sig", *_MEMBER).repartition("sig").dropDuplicates(["sig", "id"])
-    x, y = rows.alias("x"), rows.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(SKETCH)), F.lit(0))
-    near = (
-        (F.col("x.sig") == F.col("y.sig"))
-        & (F.col("x.id") < F.col("y.id"))
-        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * g - 1e-9)
-        & (apart + F.col("x.dead") + F.col("y.dead") <= (F.col("x.n") + F.col("y.n")) * ((1 - g) / (1 + g)) + 1e-9)
-    )
-    return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-
-
-#: Hot signatures are broadcast up to so many (8 MB), else joined by shuffle.
-_BROADCAST_ROWS = 500_000
+    ordered = (
+        each.join(small(common), "f").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("seen", "f"))).alias("x"))
+        .filter(F.size("x") >= least)
+        .select("id", "n", least.alias("need"), F.transform("x", lambda e: e["f"]).alias("fs"))
+    )
+    ordered = cut(ordered)
+    last = lambda shared: F.least(F.size("fs"), F.size("fs") - F.col("need") + shared) - 1
+    place = lambda at: (F.slice("fs", 1, F.least(F.lit(REMEMBERED), at)).alias("before"), (F.size("fs") - at - 1).alias("after"))
+    rows = ordered.withColumn("at", F.explode(F.sequence(F.lit(0), last(1))))
+    rows = cut(rows.select("id", "n", "at", F.get("fs", F.col("at")).alias("key"), *place(F.col("at"))))
+    wide = cut(rows.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > WIDE).select("key"))
+    spread_out = rows.join(small(wide), "key", "left_semi").select("id", F.col("at").alias("one"), "key").join(ordered, "id")
+    second = spread_out.filter(F.col("one") < last(2)).withColumn("at", F.explode(F.sequence(F.col("one") + 1, last(2))))
+    second = second.select("id", "n", "at", F.xxhash64("key", F.get("fs", F.col("at"))).alias("key"), *place(F.col("at")))
+
+    def meeting(at: DataFrame, shared: int) -> DataFrame:
+        x, y = at.alias("x"), at.alias("y")
+        enough = F.least("x.after", "y.after") + shared >= (F.col("x.n") + F.col("y.n")) * (g / (1 + g)) - 1e-9
+        fits = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * g - 1e-9
+        first = F.size(F.array_intersect("x.before", "y.before")) < shared
+        both = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & fits & enough & first)
+        return both.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+    return meeting(rows.join(small(wide), "key", "left_anti"), 1).union(meeting(second, 2)).distinct()
 
 
 def similar_sets(sets: Sets) -> DataFrame:
     """a < b, similarity of every two distinct feature sets of Jaccard similarity g or more, by their ids."""
-    g, rows = sets.g, sets.signature_rows()
-    hot = cut(rows.groupBy("sig").agg(F.count("*").alias("members")).filter(F.col("members") > BUCKET).select("sig"))
-    n_hot = hot.count()
-    if n_hot:
-        few = F.broadcast(hot) if n_hot <= _BROADCAST_ROWS else hot
-        pairs = _candidates(rows.join(few, "sig", "left_anti"), g).union(_candidates(cut(_refined(rows.join(few, "sig", "left_semi"), sets)), g))
-    else:
-        pairs = _candidates(rows, g)
-    feats = sets.features()
+    pairs, hot = _candidates(sets)
+    if not hot.isEmpty():
+        pairs = pairs.union(_by_rarest(cut(hot), sets)).distinct()
+    pairs = cut(pairs)
+    asked = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    feats = sets.features().join(small(asked), "id", "left_semi")
     both = (
-        pairs.distinct()
-        .join(feats.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("features").alias("fa")), "a")
+        pairs.join(feats.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("features").alias("fa")), "a")
         .join(feats.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("features").alias("fb")), "b")
         .withColumn("common", F.size(F.array_intersect("fa", "fb")))
     )
     similarity = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    return both.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= g - 1e-12)
+    return both.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= sets.g - 1e-12)
 
 
 def near_duplicates(records: DataFrame, g: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -372,10 +451,10 @@ def near_duplicate_pairs(records: DataFrame, g: float = THRESHOLD) -> DataFrame:
 
 
 def near_duplicate_groups(records: DataFrame, g: float = THRESHOLD) -> DataFrame:
-    """sample_id, group_id, members, links, source_row_indices, source_urls: one row per distinct record.
+    """sample_id, group_id, links: one row per distinct record.
 
-    group_id is the smallest sample_id of the group, members its size, links the similar other sets of the record's own;
-    the two arrays are those of all records of the group, in order and without repeats.
+    group_id is the smallest sample_id of the group, links the similar other sets of the record's own. What a group was
+    made from is a table of its own, see group_sources.
     """
     members, pairs = near_duplicates(records, g)
     parts = components(pairs.select("a", "b"))
@@ -384,16 +463,19 @@ def near_duplicate_groups(records: DataFrame, g: float = THRESHOLD) -> DataFrame
     # a set without partner is its own class, a record without features is alone
     key = F.coalesce(F.col("component").cast("string"), F.col("id").cast("string"), F.col("sample_id"))
     of = cut(of.select("sample_id", key.alias("class"), F.coalesce("links", F.lit(0)).alias("links")))
-    loads = records.select("sample_id", "source_row_indices", "source_urls").join(of.select("sample_id", "class"), "sample_id")
-    nothing = lambda c, kind: F.coalesce(c, F.array().cast(kind))
-
-    def merged(column: str, kind: str) -> DataFrame:
-        each = loads.select("class", F.explode(nothing(F.col(column), kind)).alias("v")).distinct()
-        return each.groupBy("class").agg(F.array_sort(F.collect_list("v")).alias(column))
-
-    heads = of.groupBy("class").agg(F.min("sample_id").alias("group_id"), F.count("*").alias("members"))
-    heads = heads.join(merged("source_row_indices", "array<bigint>"), "class", "left").join(merged("source_urls", "array<string>"), "class", "left")
-    return of.join(heads, "class").select(
-        "sample_id", "group_id", "members", "links",
-        nothing(F.col("source_row_indices"), "array<bigint>").alias("source_row_indices"), nothing(F.col("source_urls"), "array<string>").alias("source_urls"),
-    )
+    heads = of.groupBy("class").agg(F.min("sample_id").alias("group_id"))
+    return of.join(heads, "class").select("sample_id", "group_id", "links")
+
+
+def group_sources(records: DataFrame, groups: DataFrame) -> DataFrame:
+    """group_id, source_row_index, source_url: one row for each distinct source of a group, the other column null.
+
+    Rows rather than arrays, as a group may hold a third of all records; sources without records give none.
+    """
+    loads = records.select("sample_id", "source_row_indices", "source_urls").join(groups.select("sample_id", "group_id"), "sample_id")
+    source = lambda index, url: F.struct(index.alias("source_row_index"), url.alias("source_url"))
+    nothing = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    rows = F.transform(nothing("source_row_indices", "array<bigint>"), lambda x: source(x, F.lit(None).cast("string")))
+    urls = F.transform(nothing("source_urls", "array<string>"), lambda x: source(F.lit(None).cast("bigint"), x))
+    each = loads.select("group_id", F.explode(F.concat(rows, urls)).alias("s")).select("group_id", "s.*")
+    return each.filter("source_row_index is not null or source_url is not null").distinct()

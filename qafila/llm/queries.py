@@ -25,6 +25,11 @@ def _p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicate_groups(table(spark, d, "poem_records"))
 
 
+def _p2_sources(spark: SparkSession, d: str) -> DataFrame:
+    records = table(spark, d, "poem_records")
+    return neardup.group_sources(records, neardup.near_duplicate_groups(records))
+
+
 def _p3_found(spark: SparkSession, d: str) -> DataFrame:
     return names.same_person_pairs(table(spark, d, "poet_names"), table(spark, d, "given_names"))
 
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_sample": _p1_sample,
         "p2_found": _p2_found,
         "p2_groups": _p2_groups,
+        "p2_sources": _p2_sources,
         "p3_found": _p3_found,
         "p3_persons": _p3_persons,
         "p4_found": _p4_found,

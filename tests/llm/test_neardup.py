@@ -36,6 +36,7 @@ def brute(rows):
 @pytest.mark.parametrize("seed, hot, bucket", [(1, 0, 64), (2, 30, 4), (3, 40, 2)])
 def test_pairs_against_brute_force(spark, monkeypatch, seed, hot, bucket):
     monkeypatch.setattr(N, "BUCKET", bucket)
+    monkeypatch.setattr(N, "WIDE", 3 * bucket)
     rows = corpus(seed, hot=hot)
     rows += [("copy", *rows[0][1:]), ("dirty", [rows[0][1][0].upper() + "​", " " + rows[0][1][1]], [1], [])]
     df = spark.createDataFrame(rows, DDL)
@@ -49,31 +50,63 @@ def test_edges_and_groups(spark):
     rows = [("s1", v, [1], ["u1"]), ("s1", v, [2], ["u2", None]), ("s2", ["a b c d e f g h i", "j"], [3], None), ("s3", None, None, None), ("s4", [], [5], []), ("s5", [None, ""], [6], []), ("s6", ["one"], [7], []), (None, v, [8], []), ("s7", ["x " * 40_000], [9], [])]
     df = spark.createDataFrame(rows, DDL).withColumns({"id": F.lit("x"), "n": F.lit(1), "class": F.lit(2), "kind": F.lit("m")})
     assert [(r.sample_id_a, r.sample_id_b) for r in N.near_duplicate_pairs(df).collect()] == [("s1", "s2")]
-    got = {r.sample_id: r for r in N.near_duplicate_groups(df).collect()}
+    groups = N.near_duplicate_groups(df)
+    got = {r.sample_id: r for r in groups.collect()}
     assert set(got) == {f"s{i}" for i in range(1, 8)}
-    assert got["s2"].group_id == "s1" and got["s1"].members == 2 and list(got["s2"].source_row_indices) == [1, 2, 3]
-    assert "u1" in got["s2"].source_urls and got["s3"].members == 1 and list(got["s3"].source_urls) == []
+    assert got["s2"].group_id == got["s1"].group_id == "s1" and got["s3"].group_id == "s3" and got["s3"].links == 0
+    sources = {(r.group_id, r.source_row_index, r.source_url) for r in N.group_sources(df, groups).collect()}
+    assert {(i, u) for g, i, u in sources if g == "s1"} == {(1, None), (2, None), (3, None), (None, "u1"), (None, "u2")}
+    assert not any(g == "s3" for g, _, _ in sources) and ("s7", 9, None) in sources
     assert N.near_duplicate_pairs(df.limit(0)).count() == 0 and N.near_duplicate_groups(df.limit(0)).count() == 0
 
 
-def test_similar_sets_share_a_signature():
-    """The guarantee itself, with every feature known elsewhere, for sets of all sizes."""
-    rng = np.random.default_rng(7)
-    for _ in range(600):
-        n = int(rng.integers(2, 150))
+def similar_sets(rng, rounds):
+    for _ in range(rounds):
+        n = int(rng.integers(1, 150))
         a = np.unique(rng.integers(0, 1 << 60, n))
         keep = rng.random(len(a)) < rng.uniform(0.7, 1.0)
         b = np.unique(np.r_[a[keep], rng.integers(0, 1 << 60, int(rng.integers(0, 1 + n // 4)))])
         common = len(np.intersect1d(a, b))
         if len(b) and common >= 0.6 * (len(a) + len(b) - common):
-            seen = lambda f: np.minimum(255, 2 + f % 9).astype(np.uint8)
-            assert np.intersect1d(N.signatures(a, seen(a), len(a)), N.signatures(b, seen(b), len(b))).size
+            yield a, b
 
 
-def test_counts_are_never_too_low(spark):
-    rows = corpus(5)
-    counts = N.corpus_counts(spark.createDataFrame(rows, DDL).repartition(5), fan_in=2)
-    sets = {frozenset(N.features(r[1]).tolist()) for r in rows}
-    feats = np.array(sorted(set().union(*sets)))
-    true = np.array([sum(f in s for s in sets) for f in feats.tolist()])
-    assert (N.estimate(counts, feats) >= np.minimum(true, 255)).all()
+@pytest.mark.parametrize("n2, k2", [(3, 1), (2, 1), (4, 2)])
+def test_similar_sets_share_a_signature(monkeypatch, n2, k2):
+    """The guarantee itself, for sets of all sizes and several enumerations."""
+    monkeypatch.setattr(N, "N2", n2)
+    monkeypatch.setattr(N, "K2", k2)
+    seen = 0
+    for a, b in similar_sets(np.random.default_rng(7), 900):
+        sig, who = N.signatures([a, b])
+        assert np.intersect1d(sig[who == 0], sig[who == 1]).size
+        assert len(np.unique(sig[who == 0])) == (who == 0).sum()
+        seen += 1
+    assert seen > 300
+
+
+def test_signatures_do_not_depend_on_the_corpus():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 60, int(rng.integers(1, 300)))) for _ in range(50)]
+    sig, who = N.signatures(sets)
+    alone = N.signatures([sets[9]])[0]
+    assert sorted(sig[who == 9].tolist()) == sorted(alone.tolist()) and len(sig) < 2.2 * sum(map(len, sets))
+
+
+def test_the_enumeration_decides(monkeypatch):
+    """In one part sets that differ by one feature meet through the subsets, and no more when they are taken away."""
+    monkeypatch.setattr(N, "PER_PART", 1e9)
+    monkeypatch.setattr(N, "_pair_signatures", lambda f, g: np.zeros(0, np.uint64))
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 60, 40)) for _ in range(50)]
+    pairs = [(a, np.unique(np.r_[a[1:], rng.integers(0, 1 << 60, 1)])) for a in sets]
+    met = lambda: [np.intersect1d(*(N.signatures([s])[0] for s in p)).size > 0 for p in pairs]
+    some = sum(met())
+    real = N.enumeration(N.N2, N.K2)
+    monkeypatch.setattr(N, "enumeration", lambda n2, k2: ([tuple(range(n2))], real[1].any(axis=1, keepdims=True), real[2]))
+    assert some > 10 and not any(met())
+
+
+def test_packing_round_trip():
+    x = np.sort(np.random.default_rng(1).integers(0, 1 << 40, 1000)).astype(np.uint64)
+    assert (N._unplanes(N._planes(x, 5), 5) == x).all() and len(N._unplanes(b"", 3)) == 0
