@@ -9,6 +9,8 @@ subsets of N2 - K2 subparts are enumerated and each gives one signature, the has
 * Breaking a part (leaving no signature in common) costs at least min(K2 + 1, subparts the set fills) differences. Parts
   are taken in one fixed order until their cost exceeds the most differences a partner may have: whichever part two
   similar sets first agree in lies within what both have written.
+* Larger sets take a few more parts, so that similar ones agree in two to four of them (AGREE): chance meetings in a
+  single signature are no candidates. A signature carries how much it counts.
 * A set whose parts cost too little in all ("thin": short poems) signs besides with every two of its first features in
   hash order, of which a partner must share two (of a single feature: that one). If one of two similar sets is not thin
   they meet in a part, if both are thin in such a pair.
@@ -51,7 +53,11 @@ THRESHOLD = 0.6
 #: Subparts of a part, and how many of them may differ.
 N2, K2 = 3, 1
 #: Features of a band's largest set for each part.
-PER_PART = 2.5
+PER_PART = 2.0
+#: Parts in which similar sets must agree, by the size of the band's largest set from which on so many are asked for.
+AGREE = ((0, 1), (28, 2), (64, 3), (120, 4))
+#: A signature counts WHOLE / (agreeing parts asked for); a pair is a candidate from WHOLE on.
+WHOLE = 12
 #: Members of a signature that are paired up; others are found by their rarest features.
 BUCKET = 64
 #: Marked sets at one rare feature beyond which two are asked for; of the features before a meeting the first few are kept.
@@ -141,26 +147,32 @@ def _band_signatures(flat, owner, sizes, members, band: int, top: int, g: float)
     subsets, own, costs = enumeration(N2, K2)
     pattern = filled.reshape(-1, N2) @ (1 << np.arange(N2))
     cost = costs[pattern].reshape(-1, n1)
-    most = _differences(sizes[members], top, g)
+    asked = max(t for least, t in AGREE if top >= least)
+    most = _differences(sizes[members], top, g) + (asked - 1) * (K2 + 1)
     wanted = ((np.cumsum(cost, axis=1) - cost) <= most[:, None]).reshape(-1)
     part, who = np.tile(np.arange(n1, dtype=np.uint64), len(members)), np.repeat(members, n1)
     sigs, sets = [], []
     for j, subset in enumerate(subsets):
         at = np.flatnonzero(wanted & own[pattern, j])
         total = content[at][:, list(subset)].sum(axis=1, dtype=np.uint64)
-        sigs.append(_mix(total + _mix(part[at], 500 + band), 700))
+        sigs.append(_counting(_mix(total + _mix(part[at], 500 + band), 700), asked))
         sets.append(who[at])
     return np.concatenate(sigs), np.concatenate(sets), members[cost.sum(axis=1) <= most]
 
 
+def _counting(sig: np.ndarray, asked: int) -> np.ndarray:
+    """Signatures whose two lowest bits say in how many of their kind a pair must agree."""
+    return sig & np.uint64(~3 & 0xFFFFFFFFFFFFFFFF) | np.uint64(asked - 1)
+
+
 def _pair_signatures(feats: np.ndarray, g: float) -> np.ndarray:
     """Of a thin set: every two of its first n - ceil(g n) + 2 features in hash order; of a single feature that one."""
     n = len(feats)
     order = np.sort(_mix(feats, 900))[: n - math.ceil(g * n - 1e-9) + 2]
     if n == 1:
-        return _mix(order, 901)
+        return _counting(_mix(order, 901), 1)
     a, b = np.triu_indices(len(order), 1)
-    return _mix(order[a] + _mix(order[b], 902), 903)
+    return _counting(_mix(order[a] + _mix(order[b], 902), 903), 1)
 
 
 def signatures(sets: list[np.ndarray], g: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +259,7 @@ class Sets:
 # ---------------------------------------------------------------- packed signatures, met bucket by bucket
 _PACKED = pa.schema([("bucket", pa.int64()), ("base", pa.int64()), ("sigs", pa.binary()), ("refs", pa.binary())])
 _PACKED_DDL = "bucket bigint, base bigint, sigs binary, refs binary"
-_MET = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("worth", pa.int32())])
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -303,56 +315,57 @@ def _pack(buckets: int, bucket_size: int, g: float):
     return run
 
 
-def _met(sig: np.ndarray, ids: np.ndarray, bucket_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (a < b) of sets under one signature, and the members of signatures that have too many."""
+def _met(sig: np.ndarray, ids: np.ndarray, bucket_size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Pairs (a < b) of sets under one signature with what it counts, and the members of signatures that have too many."""
     order = np.argsort(sig, kind="stable")
     sig, ids = sig[order], ids[order]
     starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
     sizes = np.diff(np.r_[starts, len(sig)])
-    lefts, rights = [], []
+    worth = (WHOLE // ((sig & np.uint64(3)) + np.uint64(1))).astype(np.int64)
+    parts = [(np.zeros(0, np.int64),) * 3]
     for size in np.unique(sizes[(sizes > 1) & (sizes <= bucket_size)]).tolist():
-        group = ids[starts[sizes == size][:, None] + np.arange(size)]
+        at = starts[sizes == size]
+        group = ids[at[:, None] + np.arange(size)]
         x, y = np.triu_indices(size, 1)
-        lefts.append(group[:, x].reshape(-1))
-        rights.append(group[:, y].reshape(-1))
-    hot = ids[np.repeat(sizes > bucket_size, sizes)]
-    if not lefts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), hot
-    a, b = np.concatenate(lefts), np.concatenate(rights)
-    return np.minimum(a, b), np.maximum(a, b), hot
+        a, b = group[:, x].reshape(-1), group[:, y].reshape(-1)
+        parts.append((np.minimum(a, b), np.maximum(a, b), np.repeat(worth[at], len(x))))
+    return [np.concatenate(c) for c in zip(*parts, strict=True)], ids[np.repeat(sizes > bucket_size, sizes)]
 
 
-def _meet(bucket_size: int):
-    def told(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b, pa.int64())], schema=_MET)
+def _summed(a: np.ndarray, b: np.ndarray, worth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, with what its signatures count."""
+    if not len(a):
+        return a, b, worth
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    return a[starts], b[starts], np.minimum(WHOLE, np.add.reduceat(worth[order], starts))
 
-    def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        keep = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-        return a[keep], b[keep]
+
+def _meet(bucket_size: int):
+    def told(a, b=None, worth=None) -> pa.RecordBatch:
+        others = [pa.nulls(len(a), t) if x is None else pa.array(x, t) for x, t in ((b, pa.int64()), (worth, pa.int32()))]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), *others], schema=_MET)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sigs, ids, left, right, held = None, [], [], [], [], 0
+        now, sigs, ids, held, size = None, [], [], [], 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            nonlocal held, left, right
+            nonlocal held, size
             if sigs:
-                a, b, hot = _met(np.concatenate(sigs), np.concatenate(ids), bucket_size)
-                a, b = distinct(a, b)
-                left.append(a)
-                right.append(b)
-                held += len(a)
+                pairs, hot = _met(np.concatenate(sigs), np.concatenate(ids), bucket_size)
+                held.append(_summed(*pairs))
+                size += len(held[-1][0])
                 if len(hot):
-                    yield told(np.unique(hot), None)
-            if held > MEET:
-                yield told(*distinct(np.concatenate(left), np.concatenate(right)))
-                left, right, held = [], [], 0
+                    yield told(np.unique(hot))
+            if size > MEET:
+                yield told(*_summed(*(np.concatenate(c) for c in zip(*held, strict=True))))
+                held, size = [], 0
 
         for batch in batches:
             for bucket, base, sig, ref in zip(*(batch.column(c).to_pylist() for c in _PACKED.names), strict=True):
                 if bucket < 0:
-                    yield told(base + _unplanes(ref, 3).astype(np.int64), None)
+                    yield told(base + _unplanes(ref, 3).astype(np.int64))
                     continue
                 if bucket != now:
                     yield from close()
@@ -360,21 +373,22 @@ def _meet(bucket_size: int):
                 sigs.append(_unplanes(sig, 5))
                 ids.append(base + _unplanes(ref, 3).astype(np.int64))
         yield from close()
-        if held:
-            yield told(*distinct(np.concatenate(left), np.concatenate(right)))
+        if size:
+            yield told(*_summed(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
     return run
 
 
 def _candidates(sets: Sets) -> tuple[DataFrame, DataFrame]:
-    """(a, b) sets that share a signature of a small bucket; (id) sets that are under a hot one."""
+    """(a, b) sets that agree in as many parts as they must; (id) sets that are under a hot signature."""
     spark = sets.spark
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(tasks, -(-2 * sets.size() // MEET))  # hash buckets of about so many signatures, however large the corpus
     packed = sets.features().select("id", "features").mapInArrow(_pack(buckets, BUCKET, sets.g), _PACKED_DDL)
     placed = packed.repartition("bucket").sortWithinPartitions("bucket")
-    met = cut(placed.mapInArrow(_meet(BUCKET), "a bigint, b bigint"))
-    return met.filter("b is not null").distinct(), met.filter("b is null").select(F.col("a").alias("id")).distinct()
+    met = cut(placed.mapInArrow(_meet(BUCKET), "a bigint, b bigint, worth int"))
+    pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum("worth").alias("worth")).filter(F.col("worth") >= WHOLE).select("a", "b")
+    return pairs, met.filter("b is null").select(F.col("a").alias("id")).distinct()
 
 
 # ---------------------------------------------------------------- sets under hot signatures

@@ -79,7 +79,8 @@ def test_similar_sets_share_a_signature(monkeypatch, n2, k2):
     seen = 0
     for a, b in similar_sets(np.random.default_rng(7), 900):
         sig, who = N.signatures([a, b])
-        assert np.intersect1d(sig[who == 0], sig[who == 1]).size
+        shared = np.intersect1d(sig[who == 0], sig[who == 1])
+        assert (N.WHOLE // ((shared & np.uint64(3)).astype(int) + 1)).sum() >= N.WHOLE
         assert len(np.unique(sig[who == 0])) == (who == 0).sum()
         seen += 1
     assert seen > 300
@@ -90,7 +91,7 @@ def test_signatures_do_not_depend_on_the_corpus():
     sets = [np.unique(rng.integers(0, 1 << 60, int(rng.integers(1, 300)))) for _ in range(50)]
     sig, who = N.signatures(sets)
     alone = N.signatures([sets[9]])[0]
-    assert sorted(sig[who == 9].tolist()) == sorted(alone.tolist()) and len(sig) < 2.2 * sum(map(len, sets))
+    assert sorted(sig[who == 9].tolist()) == sorted(alone.tolist()) and len(sig) < 2.5 * sum(map(len, sets))
 
 
 def test_the_enumeration_decides(monkeypatch):
