@@ -9,7 +9,7 @@ subsets of N2 - K2 subparts are enumerated and each gives one signature, the has
 * Breaking a part (leaving no signature in common) costs at least min(K2 + 1, subparts the set fills) differences. Parts
   are taken in one fixed order until their cost exceeds the most differences a partner may have: whichever part two
   similar sets first agree in lies within what both have written.
-* Larger sets take a few more parts, so that similar ones agree in two to four of them (AGREE): chance meetings in a
+* Larger sets take a few more parts, so that similar ones agree in two to twelve of them (AGREE): chance meetings in a
   single signature are no candidates. A signature carries how much it counts.
 * A set whose parts cost too little in all ("thin": short poems) signs besides with every two of its first features in
   hash order, of which a partner must share two (of a single feature: that one). If one of two similar sets is not thin
@@ -55,7 +55,7 @@ N2, K2 = 3, 1
 #: Features of a band's largest set for each part.
 PER_PART = 2.0
 #: Parts in which similar sets must agree, by the size of the band's largest set from which on so many are asked for.
-AGREE = ((0, 1), (28, 2), (64, 3), (120, 4))
+AGREE = ((0, 1), (28, 2), (64, 3), (120, 4), (240, 6), (480, 12))
 #: A signature counts WHOLE / (agreeing parts asked for); a pair is a candidate from WHOLE on.
 WHOLE = 12
 #: Members of a signature that are paired up; others are found by their rarest features.
@@ -161,8 +161,8 @@ def _band_signatures(flat, owner, sizes, members, band: int, top: int, g: float)
 
 
 def _counting(sig: np.ndarray, asked: int) -> np.ndarray:
-    """Signatures whose two lowest bits say in how many of their kind a pair must agree."""
-    return sig & np.uint64(~3 & 0xFFFFFFFFFFFFFFFF) | np.uint64(asked - 1)
+    """Signatures whose four lowest bits say in how many of their kind a pair must agree."""
+    return sig & ~np.uint64(15) | np.uint64(asked)
 
 
 def _pair_signatures(feats: np.ndarray, g: float) -> np.ndarray:
@@ -321,7 +321,7 @@ def _met(sig: np.ndarray, ids: np.ndarray, bucket_size: int) -> tuple[list[np.nd
     sig, ids = sig[order], ids[order]
     starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
     sizes = np.diff(np.r_[starts, len(sig)])
-    worth = (WHOLE // ((sig & np.uint64(3)) + np.uint64(1))).astype(np.int64)
+    worth = WHOLE // (sig & np.uint64(15)).astype(np.int64)
     parts = [(np.zeros(0, np.int64),) * 3]
     for size in np.unique(sizes[(sizes > 1) & (sizes <= bucket_size)]).tolist():
         at = starts[sizes == size]
