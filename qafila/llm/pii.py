@@ -15,15 +15,15 @@ from __future__ import annotations
 import re
 import unicodedata as ud
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qafila.llm.unify import LATIN_TWINS, MARKS
-from qafila.runtime import spread
+from qafila.llm.unify import LATIN_TWINS, MARKS, consistent
+from qafila.runtime import cut, spread
 
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "person_name": "[PERSON_NAME]"}
 
@@ -54,6 +54,7 @@ class _OneToOne(dict):
 
 _ONE = _OneToOne()
 _GONE = re.compile("[­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿]|" + MARKS.pattern)
+_TWIN = re.compile("[Ͱ-ԯ]")
 _MIXED = re.compile(r"[A-Za-z][^\W\d_]*[Ͱ-ԯ]|[Ͱ-ԯ][^\W\d_]*[A-Za-z]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TO_LATIN = str.maketrans(LATIN_TWINS)
@@ -67,33 +68,44 @@ _SPELLED = re.compile(r"\b(?:(?:" + "|".join(_DIGIT_WORDS) + r")\b[ -]{0,2}){7,}
 _SPELLED_ONE = re.compile("|".join(_DIGIT_WORDS), re.I)
 _AT = r"(?:\s*[\[({<]\s*(?:at|آت|ات|@)\s*[\])}>]\s*|\s?@\s?)"
 _DOT = r"(?:\s*[\[({<]\s*(?:dot|نقطة|\.)\s*[\])}>]\s*|\.|\s(?:dot|نقطة)\s)"
+#: A dot inside the local part, where a plain one needs no rewriting.
+_SPELLED_DOT = r"(?:\s*[\[({<]\s*(?:dot|نقطة|\.)\s*[\])}>]\s*|\s(?:dot|نقطة)\s)"
 #: An address with its disguises; plain words "at" and "dot" count only together.
 _DISGUISED = re.compile(
-    rf"(?P<local>[\w.+'-]*[\w+'-])(?P<at>{_AT}|\s(?:at|آت)\s(?=[\w-]+(?:\.[\w-]+)*\s(?:dot|نقطة)\s))(?P<domain>[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[a-z]{{2,}})(?![\w-])",
+    rf"(?P<local>(?:[\w+'-]+{_SPELLED_DOT})*[\w.+'-]*[\w+'-])(?P<at>{_AT}|\s(?:at|آت)\s(?=[\w-]+(?:\.[\w-]+)*\s(?:dot|نقطة)\s))(?P<domain>[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[a-z]{{2,}})(?![\w-])",
     re.I | re.A,
 )
-_DOT_ANY = re.compile(_DOT, re.I)
-_AT_HINT = re.compile(r"@|[\[({<] ?(?:at|آت|ات)\b|\s(?:at|آت)\s[\w.-]+\s(?:dot|نقطة)\s", re.I)
-_SPELLED_HINT = re.compile(r"\b(?:" + "|".join(_DIGIT_WORDS) + r")\b[ -]{1,2}(?:" + "|".join(_DIGIT_WORDS) + r")\b", re.I)
+_DOT_ANY, _DOT_SPELLED = re.compile(_DOT, re.I), re.compile(_SPELLED_DOT, re.I)
+_AT_WORD = re.compile(r"(?<![^\W_])(?:at|آت|ات)(?![^\W_])", re.I)
+
+
+def _may_spell_digits(low: str) -> bool:
+    """Seven digit words stand in a row only where seven are counted."""
+    return sum(map(low.count, _DIGIT_WORDS)) >= 7
+
+
+def _may_disguise(low: str) -> bool:
+    return "@" in low or (("dot" in low or "نقطة" in low or "." in low) and _AT_WORD.search(low) is not None)
 
 
 def deobfuscate(text: str) -> tuple[str, list[int] | None, list[int] | None]:
     """The view, and of each of its characters the source start and end (None: the same positions)."""
     view = text.translate(_ONE) if not text.isascii() else text
-    if _MIXED.search(view):
+    if not text.isascii() and _TWIN.search(view) and _MIXED.search(view):
         view = _WORD.sub(lambda m: m.group(0).translate(_TO_LATIN) if re.search("[A-Za-z]", m.group(0)) else m.group(0), view)
     starts: list[int] | None = None
     if _GONE.search(view):
         starts = [i for i, c in enumerate(view) if not _GONE.match(c)]
         view = "".join(view[i] for i in starts)
     ends = None if starts is None else [i + 1 for i in starts]
-    for hint, rule, rewrite in ((_SPELLED_HINT, _SPELLED, _spelled), (_AT_HINT, _DISGUISED, _plain_address)):
-        if hint.search(view) and rule.search(view):
-            view, starts, ends = _splice(view, starts or list(range(len(view))), ends or list(range(1, len(view) + 1)), rule, rewrite)
+    low = view.lower()
+    for may, rule, rewrite in ((_may_spell_digits, _SPELLED, _spelled), (_may_disguise, _DISGUISED, _plain_address)):
+        if may(low) and rule.search(view):
+            view, starts, ends = _respliced(view, starts or list(range(len(view))), ends or list(range(1, len(view) + 1)), rule, rewrite)
     return view, starts, ends
 
 
-def _splice(view: str, starts: list[int], ends: list[int], rule: re.Pattern, rewrite) -> tuple[str, list[int], list[int]]:
+def _respliced(view: str, starts: list[int], ends: list[int], rule: re.Pattern, rewrite) -> tuple[str, list[int], list[int]]:
     chars, new_starts, new_ends, last = [], [], [], 0
 
     def keep(a: int, b: int) -> None:
@@ -125,15 +137,15 @@ def _spelled(m: re.Match) -> Iterator[tuple[str, int, int]]:
 
 
 def _plain_address(m: re.Match) -> Iterator[tuple[str, int, int]]:
-    yield m.group("local"), *m.span("local")
-    yield "@", *m.span("at")
-    at, domain = m.start("domain"), m.group("domain")
-    for d in _DOT_ANY.finditer(domain):
-        a, b = m.start("domain") + d.start(), m.start("domain") + d.end()
-        yield m.string[at:a], at, a
-        yield ".", a, b
-        at = b
-    yield m.string[at : m.end("domain")], at, m.end("domain")
+    for name, dots in (("local", _DOT_SPELLED), ("domain", _DOT_ANY)):
+        at = m.start(name)
+        for d in dots.finditer(m.string, *m.span(name)):
+            yield m.string[at : d.start()], at, d.start()
+            yield ".", *d.span()
+            at = d.end()
+        yield m.string[at : m.end(name)], at, m.end(name)
+        if name == "local":
+            yield "@", *m.span("at")
 
 
 # ---------------------------------------------------------------- detectors over the view
@@ -146,6 +158,7 @@ _PHONE = re.compile(
     r"|(?:\+|00)\d{1,4}[ .-]\d{1,4}(?:[ .-]\d{2,4}){1,4}"  # +99 12 345 6789
     r"|(?:\+|00)\d{9,13}"
     rf"|\(0\d{{1,4}}\){_SEP}?\d{{2,4}}(?:{_SEP}?\d{{2,4}}){{1,3}}"  # (012) 345-6789
+    rf"|\(\d{{3}}\) ?\d{{3}}{_SEP}\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}}|\d{{3}}\.\d{{3}}\.\d{{4}}"  # (555) 123-4567
     r"|0\d{2}-\d{3}-\d{4}|0\d{2}\.\d{3}\.\d{4}|0\d{2} \d{3} \d{4}|0\d{2}/\d{7}|0\d{2} \d{2} \d{2} \d{3}|0\d{9}"
     r")(?![\w@]|[-/]\d|[.,:]\d)"
 )
@@ -153,7 +166,7 @@ _PHONE = re.compile(
 _PHONE_WORD = re.compile(r"(?:tel|phone|call|whatsapp|mobile|ring me on|fax|هاتف|جوال|اتصلوا على|تلفون|واتساب)[^\d\w]{0,4}$", re.I)
 
 _ID_LABEL = re.compile(
-    r"(?<!\w)(?:passport|identity card|identity|national (?:number|id)|residence permit|permit|id(?: card)?(?= ?(?:no|number|nr|#|:))"
+    r"(?<!\w)(?:passport|identity card|identity|national (?:number|id|insurance)|residence permit|permit|ssn|social security|(?:driver'?s?|driving) licen[cs]e|tax id|id(?: card)?(?= ?(?:no|number|nr|#|:))"
     r"|جواز السفر|جواز سفر|بطاقة الهوية|بطاقة|رقم الهوية|الهوية|الرقم الوطني|هوية|رخصة الإقامة|الإقامة)"
     r"(?: ?(?:number|no\.?|nr\.?|#|رقمها|رقمه|رقم))*(?: is| هو| هي)?[ :.\n]{1,3}",
     re.I,
@@ -163,6 +176,8 @@ _ID_VALUE = re.compile(
 )
 
 _STREET = r"(?:street|st|road|rd|avenue|ave|lane|ln|alley|terrace|quay|square|boulevard|blvd|crescent)\b\.?"
+#: Other words for streets, capitalised and with a town behind.
+_PLACE = r"(?-i:Hill|Drive|Way|Court|Place|Close|Row|Park|Walk|Mews|View|Grove|Rise|Green|Gate|Yard|Passage|Highway|Parkway|Circle|Gardens)"
 _NAMED = r"[^\W\d_]+(?:[ '-][^\W\d_]+)?"
 _TOWN = r"[^\W\d_]+(?: (?!(?:by|and|on|is|at|in|for)\b)[^\W\d_]+)?"
 _GAP = r"(?:, ?| ?\r?\n|, ?\r?\n)"
@@ -170,6 +185,7 @@ _EN_ADDRESS = re.compile(
     r"(?<![\w/-])(?:"
     rf"(?:(?:flat|apt\.?|apartment|unit|suite) \d+(?:-?[a-z])?, ?)?\d{{1,4}}(?:-?[a-z])? {_NAMED} {_STREET}"
     rf"|(?<!\w)[^\W\d_]+ (?:street|st|road|rd|avenue|ave|lane|ln|alley|terrace|quay)\b\.? \d{{1,4}}(?:-?[a-z])?(?=, ?\d{{4,6}} |, ?[^\W\d_])"
+    rf"|\d{{1,4}}(?:-?[a-z])? (?-i:[A-Z])[^\W\d_]+(?: (?-i:[A-Z])[^\W\d_]+)? {_PLACE}(?=, ?(?-i:[A-Z])[^\W\d_])"
     r"|p\. ?o\. ?box \d+|po box \d+|post office box \d+"
     rf")(?:{_GAP}(?:\d{{4,6}} )?{_TOWN}(?: \d{{4,6}})?)?",
     re.I,
@@ -184,26 +200,53 @@ _AR_ADDRESS = re.compile(
     r")"
 )
 
-# A person's name in the shapes people write: "Given Family", "Given M. Family-Family", "G. Family", "FAMILY, Given".
-_L = r"[^\W\d_]"
-_LATIN_NAME = rf"(?:{_L}{{2,}}(?:-{_L}{{2,}})?, {_L}{{2,}}|(?:{_L}\. ?){{1,2}}{_L}{{2,}}(?:-{_L}{{2,}})?|{_L}{{2,}} (?:{_L}\. ?)?{_L}{{2,}}(?:-{_L}{{2,}})?)"
+# ---------------------------------------------------------------- names
+# A Latin name: words with a capital each (of any case only where see _latin_name), initials, particles before the family.
+_W = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+_PARTICLE = r"(?:(?:ibn|bin|bint|b\.|van|von|der|de|del|di|da|la|le) )"
+_LATIN_NAME = re.compile(rf"(?P<last>{_W}), (?P<first>{_W})(?![^\W\d_])|(?:[^\W\d_]\. ?){{1,2}}{_PARTICLE}*{_W}|{_W} (?:[^\W\d_]\. ?)?(?:(?:ibn|bin|bint|b\.) {_W} )*{_PARTICLE}*{_W}", re.I)
 _A = r"[ء-غـ-ي]"
-_ARABIC_NAME = rf"(?:{_A}{{3,}}، {_A}{{2,}}|(?:{_A}\. ?){{1,2}}{_A}{{3,}}|{_A}{{2,}} {_A}\. {_A}{{3,}}|{_A}{{2,}} {_A}{{3,}}(?: {_A}{{3,}})?)"
-_TITLE = r"(?:(?:dr|mr|mrs|ms|miss|prof|professor|sheikh|rev|sir)\.? |(?:السيدة?|الأستاذة?|الدكتورة?|الشيخة?|د\.|أ\.) ?)?"
-_NAME_CUES = [
-    rf"(?:my name is|i am called|yours(?: truly| sincerely)?,|regards,|signed(?: by|,|:)|sent by|please thank|copied for us by|written by|belongs to|leaf belongs to|thanks to) {_TITLE}(?P<n>{_LATIN_NAME})",
-    rf"(?<!\w)(?P<n>{_LATIN_NAME}) (?:read the proofs|disagrees with)",
-    rf"(?:كتبه|كتبها|اسمي|وقعه|المخلصة?|التوقيع|توقيع) ?:? {_TITLE}(?P<n>{_ARABIC_NAME})",
-    rf"(?:أرسلها إلينا|أرسله إلينا|نقله|نسخه|نسخها) (?:السيدة?|الأستاذة?|الدكتورة?|الشيخ|د\.)? ?(?P<n>{_ARABIC_NAME})",
-    rf"شكرا (?:للأستاذة?|للسيدة?|للدكتورة?|ل) ?(?P<n>{_ARABIC_NAME})(?= على)",
-    rf"قرأ (?P<n>{_ARABIC_NAME})(?= هذا البيت)",
+_ARABIC_NAME = rf"(?:{_A}{{3,}}، {_A}{{2,}}|(?:{_A}\. ?){{1,2}}{_A}{{3,}}|{_A}{{2,}} {_A}\. {_A}{{3,}}|{_A}{{2,}}(?: (?:بن|ابن|بنت) {_A}{{2,}})* {_A}{{3,}}(?: {_A}{{3,}})?)"
+_LATIN_TITLE = re.compile(r"(?:dr|mr|mrs|ms|miss|prof|professor|sheikh|rev|sir)\.? ", re.I)
+_TITLE = r"(?:(?:السيدة?|الأستاذة?|الدكتورة?|الشيخة?|د\.|أ\.) ?)?"
+# Words that may stand capitalised where a name could, and are none.
+_NO_NAME = frozenset(
+    "a all an and any as at best both but by call cc copied contact dear each email every fax few for from he hello her here his i if in is it its kind love many me most my no not "
+    "of on only or order our phone please prof professor regards replies see sent she signed sincerely so some tel thank thanks that the their them these they this those to two three "
+    "us was we what when where which who whoever why with write yes yours you your dr mr mrs ms miss sheikh rev sir street road avenue lane box po page line verse volume".split()
+)
+#: What a name follows, searched in the lower-cased view; each starts with letters that are looked for first.
+_BEFORE = [
+    (first, re.compile(r"(?<![^\W_])" + rule))
+    for first, rule in (
+        ("name", r"(?:my name is|(?:full )?name ?:) ?"), ("i am", r"i am (?:called )?"), ("i'm", "i'm "), ("this is", "this is "), ("yours", r"yours(?: truly| sincerely| faithfully)?,\s+"),
+        ("regards", r"regards,\s+"), ("best", r"best(?: wishes)?,\s+"), ("sincerely", r"sincerely,\s+"), ("cheers", r"cheers,\s+"), ("thank", r"(?:thanks|thank you),\s+"),
+        ("signed", r"signed(?: by|,|:) "), ("signature", r"signature ?: ?"), ("contact", r"contact(?: person)? ?:? "), ("author", r"author ?: ?"), ("from", r"from ?: ?"), ("attn", r"attn\.? ?:? "),
+        (" by ", r"(?:sent|written|copied|copied for us|transcribed|read|owned|prepared|typed|translated|collated) by "), ("belong", r"belong(?:s|ed) to "), ("thank", r"(?:please thank|thanks to|thank) "),
+        ("behalf", "on behalf of "), ("care of", "care of "), ("c/o", "c/o "),
+        ("my ", r"my (?:colleague|friend|brother|sister|father|mother|cousin|aunt|uncle|teacher|student|neighbou?r|assistant|wife|husband|son|daughter|manager|doctor|lawyer|landlord),? "),
+        ("call", "call(?:ed)? "), ("ask", "ask(?:ed)?(?: for)? "), ("meet", "meet "), ("met", "met "), ("wr", r"(?:write|wrote) to "), ("visit", "visit(?:ed)? "), ("phone", "phoned? "),
+        ("dr", r"dr\.? "), ("mr", r"mrs?\.? "), ("ms", r"ms\.? "), ("miss", "miss "), ("prof", r"prof(?:essor|\.)? "), ("sheikh", "sheikh "), ("rev", r"rev\.? "), ("sir", "sir "),
+    )
 ]
-_NAMES = [re.compile(p, re.I | re.M) for p in _NAME_CUES]
-_NAME_HINT = re.compile(r"name is|i am called|yours|regards,|signed|sent by|thank|copied for us|written by|belongs to|read the proofs|disagrees with|كتبه|اسمي|وقعه|المخلص|توقيع|أرسله|نقله|نسخه|شكرا|قرأ", re.I)
-_STREET_HINT = re.compile(rf"\b{_STREET}|box \d", re.I)
-_AR_HINT = re.compile(r"شارع|حي |ص ?\. ?ب|صندوق بريد")
-#: How poets are credited, not private persons; a capital "B." is a person's initial.
-_CREDIT = re.compile(r"(?:^|[ ،,])(?:بن|ابن|بنت|[Ii]bn|[Bb]int) |(?<=\w )b\. |(?:^|[ ,])[Aa]l-")
+#: What people are said to do, with their name before it.
+_AFTER = re.compile(r" (?:reads?|disagrees?|agrees|wrote|writes|copied|sent|called|met|signed|lives|said|says|asked|replied|adds|confirmed|transcribed|translated)(?![^\W_])")
+_BACK = re.compile(rf"(?<![^\W_])(?:{_W},? |(?:[^\W\d_]\. ?))(?:[^\W\d_]\. ?|{_PARTICLE})*{_W}$")
+_ENDS = re.compile(r"\s*(?:[.,;:!?\n\r]|$)")
+_ARABIC_BEFORE = [
+    (firsts, re.compile(rule))
+    for firsts, rule in (
+        (("كتبه", "كتبها", "اسمي", "وقعه", "المخلص", "توقيع", "الاسم", "تحيات"), rf"(?:كتبه|كتبها|اسمي|وقعه|المخلصة?|التوقيع|توقيع|الاسم|تحياتي،|تحيات) ?:? {_TITLE}(?P<n>{_ARABIC_NAME})"),
+        (("إلينا", "نقله", "نسخه", "نسخها", "زميل", "صديق"), rf"(?:أرسلها إلينا|أرسله إلينا|نقله|نسخه|نسخها|زميلي|زميلتي|صديقي|صديقتي) (?:السيدة?|الأستاذة?|الدكتورة?|الشيخ|د\.)? ?(?P<n>{_ARABIC_NAME})"),
+        (("شكرا",), rf"شكرا (?:للأستاذة?|للسيدة?|للدكتورة?|ل) ?(?P<n>{_ARABIC_NAME})(?= على)"),
+        (("قرأ",), rf"قرأ (?P<n>{_ARABIC_NAME})(?= هذا البيت)"),
+    )
+]
+_STREETS = ("street", "st", "road", "rd", "avenue", "ave", "lane", "ln", "alley", "terrace", "quay", "square", "boulevard", "blvd", "crescent", "box ") + tuple("hill drive way court place close row park walk mews view grove rise green gate yard passage highway circle gardens".split())
+_AR_STREETS = ("شارع", "حي ", "ص.ب", "ص .ب", "ص. ب", "ص . ب", "صندوق بريد")
+
+
+_DIGIT = re.compile("[0-9]")
 
 
 def _phones(view: str) -> Iterator[tuple[int, int]]:
@@ -222,27 +265,70 @@ def _ids(view: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def _names(view: str, credits: frozenset[str]) -> Iterator[tuple[int, int]]:
-    for rule in _NAMES:
-        for m in rule.finditer(view):
-            name = m.group("n")
-            if not _CREDIT.search(name) and name not in credits:
-                yield m.span("n")
-
-
-def spans(text: str | None, credits: frozenset[str] = frozenset()) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of every personal detail, in code points of the source text."""
+def _latin_name(view: str, at: int, known: frozenset[str], whole: bool = False) -> tuple[int, int] | None:
+    """The name that starts at a place. Its words have capitals; all in lower case it must have a known given name, or an
+    initial and nothing behind it in its clause."""
+    while title := _LATIN_TITLE.match(view, at):
+        at = title.end()
+    m = _LATIN_NAME.match(view, at)
+    if m is None or not view[at].isascii() or (whole and m.end() != len(view)):
+        return None
+    words = [w for w in re.split(r"[ ,.]+", m.group(0)) if w]
+    full = [w for w in words if len(w) > 1 and w.lower() not in ("ibn", "bin", "bint", "van", "von", "der", "de", "del", "di", "da", "la", "le")]
+    if any(w.lower() in _NO_NAME for w in full) or len(full[-1]) < 2:
+        return None
+    capital = [(w[3:] if w[:3].lower() in ("al-", "el-") else w)[0].isupper() for w in full]
+    if all(capital):
+        return m.span()
+    if not any(capital) and (any(w in known for w in full) or (len(words) > len(full) and (whole or _ENDS.match(view, m.end())))):
+        return m.span()
+    return None
+
+
+def _names(view: str, low: str, credits, known: frozenset[str]) -> Iterator[tuple[int, int]]:
+    found = []
+    for first, rule in _BEFORE:
+        if first in low:
+            found += [_latin_name(view, m.end(), known) for m in rule.finditer(low)]
+    for m in _AFTER.finditer(low):
+        # the two or three words before, if they are a name up to here
+        far = max(0, m.start() - 80)
+        back = _BACK.search(view[far : m.start()])
+        if back and (hit := _latin_name(view[: m.start()], far + back.start(), known, whole=True)):
+            shouted = view[m.start() + 1].isupper()  # capitals say nothing in a text of capitals
+            first = re.match(_W, view[hit[0] :]).group(0).lower()
+            found.append(hit if first in known or len(first) == 1 or (view[hit[0]].isupper() and not shouted) else None)
+    for firsts, rule in _ARABIC_BEFORE:
+        if any(f in low for f in firsts):
+            found += [m.span("n") for m in rule.finditer(view)]
+    for hit in filter(None, found):
+        if _spelling(view[slice(*hit)]) not in credits and _spelling(view[max(0, view.rfind("\n", 0, hit[0]) + 1) : hit[1]].strip()) not in credits:
+            yield hit
+
+
+def _spelling(name: str) -> int:
+    """The number a spelling of a name is compared by: a 64-bit hash of its consistent form."""
+    return xxhash.xxh64_intdigest(consistent(name) or "") - (1 << 63)
+
+
+def spans(text: str | None, credits: frozenset[int] | set[int] = frozenset(), known: frozenset[str] = frozenset()) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of every personal detail, in code points of the source text.
+
+    credits: numbers (_spelling) of the names that are no case; known: given names, lower case.
+    """
     if not text:
         return []
     view, starts, ends = deobfuscate(text)
+    low = view.lower()
+    if len(low) != len(view):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in view)
     hits = [("email", *m.span()) for m in _EMAIL.finditer(view)] if "@" in view else []
-    if any(c.isdigit() for c in view):
+    if _DIGIT.search(view):
         hits += [("phone", *s) for s in _phones(view)]
         hits += [("id_number", *s) for s in _ids(view)]
-        rules = [rule for rule, hint in ((_EN_ADDRESS, _STREET_HINT), (_AR_ADDRESS, _AR_HINT)) if hint.search(view)]
+        rules = [rule for rule, firsts in ((_EN_ADDRESS, _STREETS), (_AR_ADDRESS, _AR_STREETS)) if any(f in low for f in firsts)]
         hits += [("address", *m.span()) for rule in rules for m in rule.finditer(view)]
-    if _NAME_HINT.search(view):
-        hits += [("person_name", *s) for s in _names(view, credits)]
+    hits += [("person_name", *s) for s in _names(view, low, credits, known)]
     rank = {"email": 0, "id_number": 1, "phone": 2, "address": 3, "person_name": 4}
     out: list[tuple[str, int, int]] = []
     for kind, a, b in sorted(set(hits), key=lambda h: (h[1], -h[2], rank[h[0]])):
@@ -252,37 +338,86 @@ def spans(text: str | None, credits: frozenset[str] = frozenset()) -> list[tuple
     return out if starts is None else [(k, starts[a], ends[b - 1]) for k, a, b in out]
 
 
-def redacted(text: str | None, found: list[tuple[str, int, int]]) -> str | None:
-    if text is None:
-        return None
-    parts, last = [], 0
-    for kind, a, b in found:
-        parts += [text[last:a], PLACEHOLDER[kind]]
-        last = b
-    return "".join([*parts, text[last:]])
-
+#: Spellings of credits sent to every task (8 bytes each: 40 MB at most); beyond, names are held against them by a join.
+CREDIT_ROWS = 5_000_000
+#: given_names is a reference table; a larger one is refused, not cut.
+MAX_GIVEN = 100_000
 
-_RESULT = T.StructType([
-    T.StructField("details", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start_pos", T.LongType()), T.StructField("end_pos", T.LongType())]))),
-    T.StructField("redacted", T.StringType()),
-])
 
+@F.pandas_udf(T.LongType())
+def _spellings(names: pd.Series) -> pd.Series:
+    return names.map(_spelling, na_action="ignore").astype("Int64")
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with two more columns: details (kind, start_pos, end_pos) and redacted. Row-local, no shuffle of its own."""
 
-    @F.pandas_udf(_RESULT)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [spans(t) for t in texts]
-        return pd.DataFrame({
-            "details": [[{"kind": k, "start_pos": a, "end_pos": b} for k, a, b in f] for f in found],
-            "redacted": [redacted(t, f) for t, f in zip(texts, found, strict=True)],
-        })
-
-    return docs.withColumn("_pii", run(F.col(text))).withColumns({"details": F.col("_pii.details"), "redacted": F.col("_pii.redacted")}).drop("_pii")
-
-
-def find_details(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _credits(credits: DataFrame | None) -> DataFrame | None:
+    """spelling: the numbers of all credited names."""
+    if credits is None:
+        return None
+    return credits.filter("poet_name is not null").select("poet_name").distinct().select(_spellings("poet_name").alias("spelling")).distinct()
+
+
+def _detector(docs: DataFrame, text: str, spellings: DataFrame | None, given_names: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """docs with details (kind, start_pos, end_pos, spelling), and the spellings still to be left out by a join."""
+    spark, known, left = docs.sparkSession, frozenset(), spellings
+    if given_names is not None:
+        rows = given_names.select(F.lower("latin_form").alias("g")).filter("g is not null").distinct().limit(MAX_GIVEN + 1).collect()
+        if len(rows) > MAX_GIVEN:
+            raise ValueError(f"more than {MAX_GIVEN} given names")
+        known = frozenset(r.g for r in rows)
+    none: frozenset[int] = frozenset()
+    sent = spark.sparkContext.broadcast(none)
+    if spellings is not None:
+        spellings = cut(spellings)
+        left = spellings
+        if spellings.count() <= CREDIT_ROWS:
+            sent, left = spark.sparkContext.broadcast(frozenset(spellings.toPandas()["spelling"].tolist())), None
+
+    joined = left is not None
+
+    @F.pandas_udf(_DETAILS)
+    def run(texts: pd.Series) -> pd.Series:
+        rows = []
+        for t in texts:
+            found = spans(t, sent.value, known)
+            rows.append([{"kind": k, "start_pos": a, "end_pos": b, "spelling": _spelling(t[a:b]) if joined and k == "person_name" else None} for k, a, b in found])
+        return pd.Series(rows)
+
+    return docs.withColumn("details", run(F.col(text))), left
+
+
+_DETAILS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start_pos", T.LongType()), T.StructField("end_pos", T.LongType()), T.StructField("spelling", T.LongType())]))
+
+
+def _splice(text, details):
+    """The text with a placeholder for each detail; an expression over the sorted spans, so the JVM does it."""
+    mark = F.create_map(*(F.lit(x) for kv in PLACEHOLDER.items() for x in kv))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+    step = lambda acc, d: F.struct(F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (d["start_pos"] - acc["at"]).cast("int")), mark[d["kind"]]).alias("out"), d["end_pos"].alias("at"))
+    return F.aggregate(details, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+
+
+def redact(docs: DataFrame, text: str = "text", credits: DataFrame | None = None, given_names: DataFrame | None = None) -> DataFrame:
+    """docs with two more columns: details (kind, start_pos, end_pos) and redacted.
+
+    Row-local, no shuffle of its own, unless there are more than CREDIT_ROWS spellings of credits (poet_name): then the
+    documents are numbered and written first, and those with a credited name are found by a join.
+    """
+    plain = lambda d: F.struct(d["kind"].alias("kind"), d["start_pos"].alias("start_pos"), d["end_pos"].alias("end_pos"))
+    found, left = _detector(docs, text, _credits(credits), given_names)
+    if left is not None:
+        found = cut(found.withColumn("_row", F.monotonically_increasing_id()))
+        named = found.select("_row", F.explode("details").alias("d")).select("_row", "d.start_pos", "d.spelling")
+        wrong = named.join(left, "spelling", "left_semi").groupBy("_row").agg(F.collect_set("start_pos").alias("_credited"))
+        found = found.join(wrong, "_row", "left").withColumn("details", F.filter("details", lambda d: ~F.array_contains(F.coalesce("_credited", F.array().cast("array<bigint>")), d["start_pos"])))
+        found = found.drop("_row", "_credited")
+    found = found.withColumn("details", F.transform("details", plain))
+    return found.withColumn("redacted", F.when(F.size("details") == 0, F.col(text)).otherwise(_splice(F.col(text), F.col("details"))))
+
+
+def find_details(docs: DataFrame, key: str = "doc_id", text: str = "text", credits: DataFrame | None = None, given_names: DataFrame | None = None) -> DataFrame:
     """key, kind, start_pos: one row per occurrence. Texts are spread first, as a small file may be one task."""
-    found = redact(spread(docs.select(key, F.col(text).alias("text"))))
-    return found.select(key, F.explode("details").alias("d")).select(key, "d.kind", "d.start_pos")
+    found, left = _detector(spread(docs.select(key, F.col(text).alias("text"))), "text", _credits(credits), given_names)
+    rows = found.select(key, F.explode("details").alias("d")).select(key, "d.kind", "d.start_pos", "d.spelling")
+    if left is not None:
+        rows = rows.join(left, "spelling", "left_anti")
+    return rows.select(key, "kind", "start_pos")

@@ -75,11 +75,12 @@ def _p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find_details(table(spark, d, "documents"))
+    return pii.find_details(table(spark, d, "documents"), credits=table(spark, d, "poet_names"), given_names=table(spark, d, "given_names"))
 
 
 def _p9_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redact(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "redacted")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.redact(docs, credits=table(spark, d, "poet_names"), given_names=table(spark, d, "given_names")).select("doc_id", "redacted")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

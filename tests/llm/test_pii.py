@@ -39,6 +39,20 @@ CASES = [
     ("قرأ نوح يوسف بلماوي هذا البيت", [("person_name", "نوح يوسف بلماوي")]),
     ("شكرا للأستاذة د. حسروش على النسخة", [("person_name", "د. حسروش")]),
     ("It is credited to Nuh b. Yusuf Hasadi. ينسب إلى نوح بن يوسف السكراقفي.", []),
+    ("My colleague Anna Keller agrees", [("person_name", "Anna Keller")]),
+    ("Best, Anna Keller", [("person_name", "Anna Keller")]),
+    ("Name: Maria Gomez", [("person_name", "Maria Gomez")]),
+    ("Dr. Maria Gomez met us", [("person_name", "Maria Gomez")]),
+    ("please call John Smith at noon", [("person_name", "John Smith")]),
+    ("I met Peter van Dyke yesterday", [("person_name", "Peter van Dyke")]),
+    ("Yours, Sami al-Haddad", [("person_name", "Sami al-Haddad")]),
+    ("(555) 123-4567", [("phone", "(555) 123-4567")]),
+    ("call 555-123-4567", [("phone", "555-123-4567")]),
+    ("SSN 123-45-6789", [("id_number", "123-45-6789")]),
+    ("12 Rose Hill, Oldtown", [("address", "12 Rose Hill, Oldtown")]),
+    ("jane dot doe at mail dot example", [("email", "jane dot doe at mail dot example")]),
+    ("Thanks to all readers. It was written by hand in 1901 and belongs to whoever finds it. Regards, see you soon", []),
+    ("BOTH LINES WERE FOUND TRANSCRIBED TWICE", []),
 ]
 
 
@@ -50,7 +64,7 @@ def test_cases(text, want):
 def test_offsets_survive_removed_characters():
     text = "ك​ـلاَم a​b@c.te­st ok"
     ((kind, a, b),) = P.spans(text)
-    assert kind == "email" and text[a] == "a" and text[b - 1] == "t" and P.redacted(text, P.spans(text)) == "ك​ـلاَم [EMAIL] ok"
+    assert kind == "email" and text[a] == "a" and text[b - 1] == "t" and text[:a] + "[EMAIL]" + text[b:] == "ك​ـلاَم [EMAIL] ok"
 
 
 def test_look_alike_letters_in_an_address():
@@ -66,3 +80,17 @@ def test_tables(spark):
     out = [r for r in P.redact(df).collect() if r.doc_id < 4]
     assert {r.text: r.redacted for r in out} == {rows[0][1]: "Yours, [PERSON_NAME]\nCall [PHONE]", None: None, "": "", "x": "x"}
     assert P.find_details(df.filter(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("rows", [5_000_000, 0])
+def test_credits_and_known_names(spark, monkeypatch, rows):
+    """Names in the table of credits are no case, whichever way they are held against it."""
+    monkeypatch.setattr(P, "CREDIT_ROWS", rows)
+    texts = [(1, "Yours, Sami al-Haddad\nMy name is rana marsh and I"), (2, "Yours, Nuh Hasadi"), (2, "قرأ نوح بلماوي هذا البيت. Name: Nuh Hasadi"), (3, None), (4, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumns({"spelling": F.lit(1), "d": F.lit(2)})
+    credits = spark.createDataFrame([("Nuh  Hasadi",), ("Nuh Hasadi",), (None,)], "poet_name string")
+    given = spark.createDataFrame([("Rana",), (None,)], "latin_form string")
+    got = sorted((r.doc_id, r.kind, r.start_pos) for r in P.find_details(docs, credits=credits, given_names=given).collect())
+    assert got == [(1, "person_name", 7), (1, "person_name", 33), (2, "person_name", 4)]
+    out = sorted((r.doc_id, r.redacted or "", r.spelling) for r in P.redact(docs, credits=credits, given_names=given).collect())
+    assert out == [(1, "Yours, [PERSON_NAME]\nMy name is [PERSON_NAME] and I", 1), (2, "Yours, Nuh Hasadi", 1), (2, "قرأ [PERSON_NAME] هذا البيت. Name: Nuh Hasadi", 1), (3, "", 1), (4, "", 1)]
