@@ -6,11 +6,11 @@ pairs by connected components.
 1. Every spelling is parsed into tokens and roles (given name, father, family; titles, by-names, "son of" words, order
    and script resolved). Spellings with the same parts are one form; only forms are compared.
 2. Phonetic codes are consonant skeletons that Arabic and Latin spellings share (long vowels, ayn and hamza dropped,
-   emphatic and plain letters folded). A form's blocks are its sorted codes: given with family, father with family;
-   each also with any one code letter left out, so that one typing error never separates two forms.
-3. Two forms are accepted if family and given name agree (Jaro-Winkler at least MIN_JW and at most one typing error, or
-   the nickname table says so) and the fathers do not disagree. A given name occurs once in a family, so the father may
-   be missing.
+   emphatic and plain letters folded). A form's blocks are the sorted codes of two of its tokens: given name and family,
+   father and family; the first also with any one code letter left out, so that a slip never separates two forms.
+3. Jaro-Winkler compares the whole names, nicknames replaced by their given name, and accepts from MIN_JW on. An exact
+   check follows: relatives differ by little, so each part may be one typing error apart, different names of the table
+   are different, and fathers must not disagree. A given name occurs once in a family, so the father may be missing.
 4. Accepted pairs are clustered. Forms that give only initials join the one cluster of the family that fits; if several
    fit, era and place of residence decide; if still several, they stay alone.
 
@@ -35,7 +35,8 @@ from qafila.llm.unify import MARKS, consistent
 from qafila.operators.components import components
 from qafila.runtime import cut
 
-MIN_JW = 0.8
+#: The least similarity of two spellings of one person.
+MIN_JW = 0.84
 #: given_names is a reference table; a larger one is refused, not cut.
 MAX_LEXICON = 100_000
 
@@ -205,48 +206,51 @@ def _one_left_out(code: str) -> list[str]:
 
 
 def block_keys(p: dict) -> list[str]:
-    """Sorted phonetic codes. The family with one letter left out meets every one-letter slip of it."""
-    family, given, father = phonetic(p["family"]), phonetic(p["given"]), phonetic(p["father"])
-    keys = set()
-    if len(p["given"]) > 1:
-        g = p["given"] if p["given_known"] else None
-        for f in _one_left_out(family):
-            if g:
-                keys.add("g|" + "|".join(sorted((g, f))))
-        if len(p["father"]) > 1 and p["father_known"]:
-            keys.add("f|" + "|".join(sorted((p["father"], family))))
-        for x in _one_left_out(given):
-            keys.add("s|" + "|".join(sorted((x, family))))
-    return sorted(keys)
-
-
-def same_family(a: dict, b: dict) -> bool:
-    if a["script"] == b["script"]:
-        return a["family"] == b["family"] or (one_slip(a["family"], b["family"]) and jaro_winkler(a["family"], b["family"]) >= MIN_JW)
-    x, y = skeleton(a["family"]), skeleton(b["family"])
-    return x == y or (x.translate(_EMPHATIC) == y.translate(_EMPHATIC) and (a["family"].isascii() or b["family"].isascii()))
+    """Sorted phonetic codes of given name and family, and of father and family. Each code also with any one letter left
+    out, so that a slip in one of the two never parts two forms; the codes are those of both scripts."""
+    if len(p["given"]) < 2:
+        return []
+    family, given = phonetic(p["family"]), phonetic(p["given"])
+    pairs = {(given, x) for x in _one_left_out(family)} | {(x, family) for x in _one_left_out(given)}
+    if len(p["father"]) > 1:
+        pairs.add((phonetic(p["father"]), family))
+    return sorted({"|".join(sorted(pair)) for pair in pairs})
 
 
-def same_token(a: str, a_known: bool, b: str, b_known: bool) -> bool:
-    if a == b:
-        return True
-    if a_known and b_known:
-        return False
-    return one_slip(a, b) and jaro_winkler(a, b) >= 0.55
+def compared(a: dict, b: dict) -> tuple[str, str]:
+    """What Jaro-Winkler compares: family without article, given name by the nickname table, father if both tell him.
+
+    Between scripts the family counts by its phonetic code; given names are the table's own in both.
+    """
+    fathers = len(a["father"]) > 1 and len(b["father"]) > 1
+    family = (lambda f: re.sub("^ال(?=...)", "", f)) if a["script"] == b["script"] else phonetic
+    return tuple(" ".join([family(p["family"]), p["given"], *([p["father"]] if fathers else [])]) for p in (a, b))
+
+
+def _same_part(a: str, a_known: bool, b: str, b_known: bool) -> bool:
+    """One typing error at most; two different names of the table are no slips of each other."""
+    return a == b or (not (a_known and b_known) and one_slip(a, b))
 
 
 def same_person(a: dict, b: dict) -> bool:
-    """Whether two written-out forms mean one person; at most one of the three parts may be a slip."""
-    if not (same_family(a, b) and same_token(a["given"], a["given_known"], b["given"], b["given_known"])):
+    """Whether two written-out forms mean one person.
+
+    Jaro-Winkler over the whole name decides (MIN_JW); an exact check follows, as namesakes of a family differ by little:
+    each part at most one typing error apart and at most two of the three parts, no initial against another name.
+    """
+    if jaro_winkler(*compared(a, b)) < MIN_JW:
+        return False
+    if a["script"] == b["script"]:
+        family = one_slip(a["family"], b["family"])
+    else:
+        family = phonetic(a["family"]) == phonetic(b["family"]) and (skeleton(a["family"]) == skeleton(b["family"]) or a["family"].isascii() or b["family"].isascii())
+    if not (family and _same_part(a["given"], a["given_known"], b["given"], b["given_known"])):
         return False
     slips = (a["family"] != b["family"] and a["script"] == b["script"]) + (a["given"] != b["given"])
     if len(a["father"]) > 1 and len(b["father"]) > 1:
-        if not same_token(a["father"], a["father_known"], b["father"], b["father_known"]):
-            return False
         slips += a["father"] != b["father"]
-    elif a["father"] and b["father"] and a["script"] == b["script"] and a["father_first"] != b["father_first"]:
-        return False
-    return slips <= 2
+        return slips <= 2 and _same_part(a["father"], a["father_known"], b["father"], b["father_known"])
+    return not (a["father"] and b["father"] and a["script"] == b["script"] and a["father_first"] != b["father_first"])
 
 
 _FORM = T.StructType([T.StructField(k, T.BooleanType() if k.endswith("_known") else T.StringType()) for k in PARTS] + [T.StructField("keys", T.ArrayType(T.StringType()))])
@@ -305,9 +309,12 @@ def _accepted(forms: DataFrame) -> DataFrame:
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.form_id") < F.col("y.form_id")))
     pairs = pairs.select(F.col("x.form_id").alias("a"), F.col("y.form_id").alias("b"), F.col("x.p").alias("pa"), F.col("y.p").alias("pb")).dropDuplicates(["a", "b"])
 
+    def parts(side: pd.DataFrame):
+        return (dict(zip(PARTS, row, strict=True)) for row in zip(*(side[c].tolist() for c in PARTS), strict=True))
+
     @F.pandas_udf(T.BooleanType())
     def accept(pa: pd.DataFrame, pb: pd.DataFrame) -> pd.Series:
-        return pd.Series([same_person(a, b) for a, b in zip(pa.to_dict("records"), pb.to_dict("records"), strict=True)], dtype=bool)
+        return pd.Series(list(map(same_person, parts(pa), parts(pb))), dtype=bool)
 
     return exact.unionByName(pairs.filter(accept("pa", "pb")).select("a", "b"))
 

@@ -14,7 +14,12 @@ SHARE = 0.1
 
 
 def _p1_sample(spark: SparkSession, d: str) -> DataFrame:
-    return sample.growing_sample(table(spark, d, "poem_records"), SHARE).select("sample_id", F.round("prn", 9).alias("prn"))
+    """Two loads into one registry: the earlier half of the loading time, then all records, those known among them."""
+    records = table(spark, d, "poem_records")
+    at = F.col("loaded_at").cast("timestamp").cast("double")
+    span = records.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    loads = [records.filter(at <= F.lit((span.a + span.b) / 2)), records] if span.a is not None else [records]
+    return sample.growing_sample(loads, SHARE).select("sample_id", F.round("prn", 9).alias("prn"))
 
 
 def _p2_found(spark: SparkSession, d: str) -> DataFrame:

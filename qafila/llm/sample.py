@@ -40,13 +40,19 @@ class Registry:
         self.spark, self.seed = spark, seed
         self.path = path or scratch_path(spark, "prn")
 
-    def read(self) -> DataFrame:
-        """All numbers; of an identifier written twice by a job that was repeated, the first sight."""
+    def _stored(self) -> DataFrame | None:
+        """The rows as written; None before the first insert."""
         try:
-            stored = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        except Exception as e:  # nothing registered yet
+            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
+            return None
+
+    def read(self) -> DataFrame:
+        """All numbers; of an identifier written twice by a job that was repeated, the first sight."""
+        stored = self._stored()
+        if stored is None:
             return self.spark.createDataFrame([], self.SCHEMA)
         return stored.groupBy("sample_id", "prn", "folder").agg(F.min("first_seen").alias("first_seen"))
 
@@ -64,15 +70,14 @@ class Registry:
         return max(asked, highest)
 
     def insert(self, records: DataFrame) -> None:
-        """Register identifiers not seen before; those seen keep their number and first sight."""
-        fresh = (
-            records.filter(F.col("sample_id").isNotNull())
-            .groupBy("sample_id")
-            .agg(F.min("loaded_at").cast("timestamp").alias("first_seen"))
-            .join(self.read().select("sample_id"), "sample_id", "left_anti")
-            .withColumn("prn", permanent_number(F.col("sample_id"), self.seed))
-            .withColumn("folder", F.floor(F.col("prn") * FOLDERS).cast("int"))
-        )
+        """Register identifiers not seen before by an anti-join; those seen keep their number and first sight.
+
+        Joined by folder as well, so that both sides are laid out alike; a folder's rows are written by few tasks.
+        """
+        asked = records.filter(F.col("sample_id").isNotNull()).groupBy("sample_id").agg(F.min("loaded_at").cast("timestamp").alias("first_seen"))
+        asked = asked.withColumn("prn", permanent_number(F.col("sample_id"), self.seed)).withColumn("folder", F.floor(F.col("prn") * FOLDERS).cast("int"))
+        known = self._stored()
+        fresh = asked if known is None else asked.join(known.select("sample_id", "folder"), ["sample_id", "folder"], "left_anti")
         fresh.select("sample_id", "prn", "first_seen", "folder").write.mode("append").partitionBy("folder").parquet(self.path)
 
     def select(self, share: float) -> DataFrame:
@@ -88,8 +93,11 @@ class Registry:
         return self.select(self.threshold(float(share)))
 
 
-def growing_sample(records: DataFrame, share: float, seed: str = SEED, path: str | None = None) -> DataFrame:
-    """Register all records and return the sample of the given share, or of the highest asked of this registry before."""
-    registry = Registry(records.sparkSession, path, seed)
-    registry.insert(records.select("sample_id", "loaded_at"))
+def growing_sample(loads: DataFrame | list[DataFrame], share: float, seed: str = SEED, path: str | None = None) -> DataFrame:
+    """Register the loads in turn and return the sample of the given share, or of the highest asked of this registry
+    before. Records that came with an earlier load keep their number and first sight."""
+    loads = loads if isinstance(loads, list) else [loads]
+    registry = Registry(loads[0].sparkSession, path, seed)
+    for records in loads:
+        registry.insert(records.select("sample_id", "loaded_at"))
     return registry.sample(share)

@@ -50,6 +50,21 @@ def test_measures():
     assert M.skeleton("الحاصذوحقي") == M.skeleton("ḥaṣadhuḥaqi")
 
 
+def test_comparator_and_blocks_decide(spark, monkeypatch):
+    """Taking away the threshold joins two short names slipped in both parts; taking away a code parts two spellings."""
+    lexicon = M.Lexicon(GIVEN)
+    a, b = M.parse("لب مس", lexicon), M.parse("بل سم", lexicon)
+    assert M.one_slip(a["given"], b["given"]) and M.one_slip(a["family"], b["family"]) and not M.same_person(a, b)
+    whole = [M.parse(n, lexicon) for n in NUH if len(M.parse(n, lexicon)["given"]) > 1]
+    assert all(M.jaro_winkler(*M.compared(x, y)) >= M.MIN_JW for x, y in itertools.combinations(whole, 2) if M.same_person(x, y))
+    names, given = tables(spark, [NUH[:4] + NUH[9:10]])
+    assert M.same_person_pairs(names, given).count() == 10
+    monkeypatch.setattr(M, "_one_left_out", lambda code: [code])
+    assert not set(M.block_keys(M.parse("سالم بنعامش", lexicon))) & set(M.block_keys(M.parse("سالم بنعامشق", lexicon)))
+    monkeypatch.setattr(M, "MIN_JW", 0.0)
+    assert M.same_person(a, b)
+
+
 def naive(sizes, shares):
     total = sum(sizes)
     lack = {n: s * total for n, s in shares}
