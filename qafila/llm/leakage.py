@@ -3,10 +3,14 @@
 Method: Wu-Manber multi-pattern search over words. The patterns are all windows of MIN_WORDS consecutive words of the
 evaluation items, so all have one length. The shift table, keyed by blocks of two words, says how far the window may
 move; almost everywhere it moves by the whole length. Where the shift is zero, the hash of the block selects a bucket of
-patterns, the hash of the first two words (prefix check) thins it, and a direct comparison confirms.
+patterns, the hash of the first two words (prefix check) thins it, and a direct comparison of all words confirms.
 
-The evaluation items are a stated query set run against all documents, in blocks of bounded size (BLOCK_CHARS), each
-block compiled once on the driver and sent to the executors as one broadcast of proven size.
+Words are compared by their 64-bit hashes, twelve of them in a row. A machine is a few flat arrays, about 30 bytes for
+each word of the items, and is built without copying a pattern: windows are places in one array of words.
+
+The evaluation items are a stated query set run against all documents, in blocks of bounded size (BLOCK_CHARS: at most
+60 MB of arrays), each compiled once on the driver and sent to the executors as one broadcast. Where there are several,
+the documents are turned into words once and written to the shared folder, not once a block.
 
 Defined results: null, empty and short texts leak nothing; items of fewer than MIN_WORDS words match nothing; a passage
 that several items share is reported for each of them; repeated items and documents each have their rows.
@@ -14,86 +18,114 @@ that several items share is reported for each of them; repeated items and docume
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qafila.llm.unify import words
-from qafila.runtime import spread
+from qafila.llm.neardup import word_hashes
+from qafila.runtime import cut, spread
 
 MIN_WORDS = 12
 #: Characters of evaluation text compiled into one pattern block.
 BLOCK_CHARS = 8_000_000
 
 
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    """A key of every block of two neighbouring words."""
+    return (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] + (hashes[:-1] >> np.uint64(29)))
+
+
 class WuManber:
-    """Patterns of one length over a word alphabet; words of no pattern are symbol 0."""
+    """Patterns of one length over word hashes."""
 
     def __init__(self, items: Iterable[tuple[int, str | None]], length: int = MIN_WORDS) -> None:
-        self.length = length
-        self.symbol: dict[str, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        for item, text in items:
-            ids = tuple(self.symbol.setdefault(w, len(self.symbol) + 1) for w in words(text))
-            for i in range(len(ids) - length + 1):
-                owners[ids[i : i + length]].add(item)
-        self.default = length - 1
-        self.shift: dict[tuple[int, int], int] = {}
-        buckets: dict[tuple[int, int], dict[tuple[int, int], list]] = defaultdict(lambda: defaultdict(list))
-        for pattern, who in owners.items():
-            for end in range(2, length + 1):
-                block = pattern[end - 2 : end]
-                self.shift[block] = min(self.shift.get(block, self.default), length - end)
-            buckets[pattern[-2:]][pattern[:2]].append((pattern, frozenset(who)))
-        self.buckets = {k: dict(v) for k, v in buckets.items()}
-
-    def items_in(self, text: str | None) -> set[int]:
+        self.length, self.default = length, length - 1
+        parts = [(item, h) for item, h in ((item, word_hashes(text)) for item, text in items) if len(h) >= length]
+        sizes = np.array([len(h) for _, h in parts], dtype=np.int64)
+        self.words = np.concatenate([h for _, h in parts]) if parts else np.zeros(0, np.uint64)
+        begins = np.r_[0, np.cumsum(sizes)[:-1]] if parts else np.zeros(0, np.int64)
+        within = np.arange(len(self.words)) - np.repeat(begins, sizes)  # place of a word in its item
+        left = np.repeat(sizes, sizes) - within
+        pairs = _pairs(self.words)
+        # the block at a place ends a window's word e at best; blocks across two items are none
+        real = np.flatnonzero(left[:-1] > 1)
+        shifts = length - np.minimum(length, within[real] + 2)
+        order = np.lexsort((shifts, pairs[real]))
+        keys = pairs[real][order]
+        first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+        self.keys, self.shift = keys[first], shifts[order][first].astype(np.int16)
+        starts = np.flatnonzero(left >= length)
+        tails = pairs[starts + length - 2] if len(starts) else np.zeros(0, np.uint64)
+        order = np.argsort(tails, kind="stable")
+        self.tails, self.starts = tails[order], starts[order].astype(np.int32)
+        self.owner = np.repeat(np.array([item for item, _ in parts], dtype=np.int64), sizes)
+
+    def items_in(self, words: str | np.ndarray | None) -> set[int]:
+        """The items of which a text, or the hashes of its words, holds a passage."""
         found: set[int] = set()
-        if not text or not self.shift:
+        hashes = word_hashes(words) if words is None or isinstance(words, str) else words
+        n, length = len(hashes), self.length
+        if n < length or not len(self.keys):
             return found
-        symbol = self.symbol
-        ids = [symbol.get(w, 0) for w in words(text)]
-        at, n, length, default = self.length, len(ids), self.length, self.default
-        while at <= n:
-            step = self.shift.get((ids[at - 2], ids[at - 1]), default)
-            if step:
-                at += step
+        pairs = _pairs(hashes)
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        steps = np.where(self.keys[at] == pairs, self.shift[at], self.default).tolist()
+        end = length - 2  # the block that ends the window
+        while end < n - 1:
+            if step := steps[end]:
+                end += step
                 continue
-            start = at - length
-            for pattern, who in self.buckets.get((ids[at - 2], ids[at - 1]), {}).get((ids[start], ids[start + 1]), ()):
-                if tuple(ids[start:at]) == pattern:
-                    found |= who
-            at += 1
+            a, b = np.searchsorted(self.tails, pairs[end], "left"), np.searchsorted(self.tails, pairs[end], "right")
+            begin = end + 2 - length
+            for w in self.starts[a:b][self._heads(self.starts[a:b]) == pairs[begin]]:
+                if (self.words[w : w + length] == hashes[begin : end + 2]).all():
+                    found.add(int(self.owner[w]))
+            end += 1
         return found
 
+    def _heads(self, starts: np.ndarray) -> np.ndarray:
+        x, y = self.words[starts], self.words[starts + 1]
+        return (x * np.uint64(0x9E3779B97F4A7C15)) ^ (y + (x >> np.uint64(29)))
 
-def _blocks(items: DataFrame, block_chars: int) -> list[list[tuple[int, str]]]:
+
+def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The query set in blocks: its size is measured first, so that no block outgrows the bound."""
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // block_chars))
     part = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    return [[(r.item_id, r.text) for r in items.filter(part == k).collect()] for k in range(n)]
+    for k in range(n):
+        yield [(r.item_id, r.text) for r in (items.filter(part == k) if n > 1 else items).collect()]
 
 
 def _search(machine):
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(machine.value.items_in(t)))
+    def run(values: pd.Series) -> pd.Series:
+        hashed = lambda v: v if v is None or isinstance(v, str) else np.asarray(v, dtype=np.int64).view(np.uint64)
+        return values.map(lambda v: sorted(machine.value.items_in(hashed(v))))
 
     return run
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _hashed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: word_hashes(t).view(np.int64))
+
+
 def leaked_items(docs: DataFrame, items: DataFrame, length: int = MIN_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id: every document with every item it shares a passage of at least `length` words with."""
     spark = docs.sparkSession
-    texts = spread(docs.select("doc_id", "text").filter(F.col("text").isNotNull()))
+    texts = spread(docs.select("doc_id", F.col("text").alias("words")).filter(F.col("text").isNotNull()))
+    blocks = _blocks(items.select("item_id", "text").filter(F.col("text").isNotNull()), block_chars)
+    machine, rest = WuManber(next(blocks), length), next(blocks, None)
+    if rest is not None:
+        texts = cut(texts.select("doc_id", _hashed("words").alias("words")))
     parts = []
-    for block in _blocks(items.select("item_id", "text").filter(F.col("text").isNotNull()), block_chars):
-        machine = spark.sparkContext.broadcast(WuManber(block, length))
-        parts.append(texts.select("doc_id", F.explode(_search(machine)("text")).alias("item_id")))
+    while machine is not None:
+        parts.append(texts.select("doc_id", F.explode(_search(spark.sparkContext.broadcast(machine))("words")).alias("item_id")))
+        machine, rest = None if rest is None else WuManber(rest, length), next(blocks, None)
     return reduce(DataFrame.unionByName, parts)

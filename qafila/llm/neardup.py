@@ -85,12 +85,17 @@ def _word_hash(w: str) -> int:
     return h
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word of a text, in order."""
+    ws = words(text)
+    return np.fromiter(map(_word_hash, ws), dtype=np.uint64, count=len(ws))
+
+
 def features(verses: list[str | None] | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct pairs of neighbouring words, all verses in order."""
-    ws = words(" ".join(v for v in verses if v)) if verses is not None else []
-    if len(ws) < 2:
+    h = word_hashes(" ".join(v for v in verses if v) if verses is not None else None)
+    if len(h) < 2:
         return np.zeros(0, dtype=np.int64)
-    h = np.fromiter(map(_word_hash, ws), dtype=np.uint64, count=len(ws))
     return np.unique(_mix(_mix(h[:-1], 11) * np.uint64(3) + _mix(h[1:], 12), 13).astype(np.int64))
 
 

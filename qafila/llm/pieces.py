@@ -43,13 +43,16 @@ def poem_text(verses: Column) -> Column:
 
 
 class RangeMaximum:
-    """Sparse table over strengths; of equal strengths the rightmost position wins."""
+    """Sparse table over strengths; of equal strengths the rightmost position wins.
 
-    def __init__(self, strengths: np.ndarray) -> None:
+    Levels reach to the widest window that is asked for (4 bytes for each position and level).
+    """
+
+    def __init__(self, strengths: np.ndarray, widest: int | None = None) -> None:
         self.s = strengths
-        self.rows = [np.arange(len(strengths))]
-        width = 1
-        while 2 * width <= len(strengths):
+        self.rows = [np.arange(len(strengths), dtype=np.int32)]
+        width, most = 1, min(len(strengths), widest or len(strengths))
+        while 2 * width <= most:
             left, right = self.rows[-1][:-width], self.rows[-1][width:]
             self.rows.append(np.where(strengths[right] >= strengths[left], right, left))
             width *= 2
@@ -69,8 +72,9 @@ def strengths_of(text: str) -> np.ndarray:
     """strength[i]: of a cut before position i."""
     code = _codes(text)
     out = np.ones(len(code) + 1, dtype=np.int8)
-    kinds = {int(c): (2 if chr(c).isspace() or ud.category(chr(c))[0] == "P" else 0 if ud.combining(chr(c)) or chr(c) in "‍️" else 1) for c in np.unique(code)}
-    kind = np.vectorize(kinds.get, otypes=[np.int8])(code) if len(code) else np.zeros(0, dtype=np.int8)
+    different, which = np.unique(code, return_inverse=True)
+    kinds = np.array([(2 if chr(c).isspace() or ud.category(chr(c))[0] == "P" else 0 if ud.combining(chr(c)) or chr(c) in "‍️" else 1) for c in different.tolist()], dtype=np.int8)
+    kind = kinds[which]
     out[1:][kind == 2] = 2
     out[:-1][kind == 0] = 0
     at = text.find(" = ")
@@ -87,7 +91,7 @@ def cut_points(text: str, chunk: int, overlap: int) -> list[tuple[int, int]]:
     n = len(text)
     if chunk is None or chunk < 1 or n <= chunk:
         return [(0, n)]
-    index = RangeMaximum(strengths_of(text))
+    index = RangeMaximum(strengths_of(text), chunk + 1)
     heads = np.r_[0, np.flatnonzero(_codes(text) == 10) + 1]  # where couplets begin
     out, start, done = [], 0, 0
     while True:
