@@ -20,12 +20,14 @@ def brute(edges):
     return label
 
 
-@pytest.mark.parametrize("task_rows", [2_000_000, 20])
+@pytest.mark.parametrize("task_rows", [2_000_000, 60, 20])
 def test_random_graphs(spark, task_rows):
     rng = random.Random(3)
     edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(110)] + [(500 + i, 501 + i) for i in range(40)] + [(7, 7), (900, 900)]
     df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(9)
-    got = {r.node: r.component for r in components(df, fan_in=2, task_rows=task_rows).collect()}
+    rows = components(df, task_rows=task_rows).collect()
+    assert len(rows) == len({r.node for r in rows})
+    got = {r.node: r.component for r in rows}
     assert got == brute(edges)
 
 
