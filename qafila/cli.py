@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+from pyspark import SparkConf
 from pyspark.sql import functions as F
 
 from qafila.operators import canonical, curation, events, generation, selection
@@ -69,7 +71,8 @@ def summarise(spark, a) -> int:
 def main(argv: list[str] | None = None, spark=None) -> int:
     """0 complete, 1 something is unresolved or empty, 2 bad input."""
     a = parser().parse_args(argv)
-    spark = spark or build_session()
+    # under spark-submit, which sets a master, the session is the launcher's
+    spark = spark or build_session(None if SparkConf().contains("spark.master") or "MASTER" in os.environ else "local[*]")
     try:
         return {"curate": curate, "generate": generate, "summarise": summarise}[a.command](spark, a)
     except Exception as e:  # bad files, refused rows

@@ -9,6 +9,7 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from qafila.operators import replay
@@ -23,8 +24,8 @@ class RequestFailed(RuntimeError):
         self.kind, self.status, self.retry_after = kind, status, retry_after
 
     @property
-    def retryable(self) -> bool:
-        return self.kind in ("timeout", "transport", "malformed") or self.status in (408, 429) or (self.status or 0) >= 500
+    def event(self) -> str:
+        return replay.event_of(self.kind, self.status)
 
 
 def share_of(ceiling: int, tasks: int) -> int:
@@ -38,44 +39,45 @@ class Member:
     state: replay.Endpoint
     baseline: float | None = None
     in_flight: int = 0
+    served: int = 0  # the number of the last request it took
+
+    def load(self, now: float) -> float | None:
+        """The share of its seats that are taken; None if no seat is free."""
+        seats = self.state.seats(now)
+        return self.in_flight / seats if self.in_flight < seats else None
 
 
 @dataclass
 class Pool:
-    """chat() takes the least loaded endpoint that is not resting; after a failure another one, then the same again."""
+    """chat() takes the least loaded endpoint with a free seat, of equal ones whoever has waited longest; after a failure
+    one that has not failed this request, if there is any."""
 
     members: list[Member]
     retries: int = 3
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
-    _turn: int = 0
+    _taken: int = 0
     _lock: threading.Condition = field(default_factory=threading.Condition)
     attempts: list[tuple[str, str]] = field(default_factory=list)
 
-    def _free(self, tried: set[str]) -> Member | None:
-        now = self.clock()
-        enabled = [m for m in self.members if not m.state.disabled]
-        if not enabled:
-            raise Outage("no usable endpoint")
-        fits = []
-        for m in [x for x in enabled if x.name not in tried] or enabled:
-            limit = 1 if m.state.half_open or m.state.circuit_until else m.state.effective
-            if m.state.circuit_until <= now and m.in_flight < limit:
-                fits.append(m)
-        place = {m.name: i for i, m in enumerate(self.members)}
-        return min(fits, key=lambda m: (m.in_flight / max(1, m.state.effective), (place[m.name] - self._turn) % len(place)), default=None)
-
     def _take(self, tried: set[str]) -> Member:
         with self._lock:
-            while (m := self._free(tried)) is None:
-                resting = [x.state.circuit_until - self.clock() for x in self.members if x.state.circuit_until > self.clock()]
-                if resting:
-                    self.sleep(max(0.01, min(*resting, 1.0)) if len(resting) > 1 else max(0.01, min(resting[0], 1.0)))
-                else:
-                    self._lock.wait(0.25)
-            m.in_flight += 1
-            self._turn = ([x.name for x in self.members].index(m.name) + 1) % len(self.members)
-            return m
+            while True:
+                usable = [m for m in self.members if not m.state.disabled]
+                if not usable:
+                    raise Outage("no usable endpoint")
+                asked = [m for m in usable if m.name not in tried] or usable
+                now = self.clock()
+                free = [(share, m.served, m) for m in asked if (share := m.load(now)) is not None]
+                if free:
+                    break
+                # a rest ends by itself, a taken seat is given back by whoever has it
+                rests = [m.state.circuit_until - now for m in asked if m.state.circuit_until > now]
+                self.sleep(min(rests)) if len(rests) == len(asked) else self._lock.wait(0.25)
+            chosen = min(free, key=lambda x: x[:2])[2]
+            self._taken += 1
+            chosen.in_flight, chosen.served = chosen.in_flight + 1, self._taken
+            return chosen
 
     def _give(self, m: Member, outcome: str, status: int | None, took: float | None, retry_after: float | None, attempt: int) -> None:
         with self._lock:
@@ -91,10 +93,9 @@ class Pool:
             try:
                 answer = m.backend.chat(messages, seed)
             except RequestFailed as e:
-                outcome = "authentication" if e.status in (401, 403) else e.kind
-                self._give(m, outcome, e.status, None, e.retry_after, k)
+                self._give(m, e.kind, e.status, None, e.retry_after, k)
                 tried.add(m.name)
-                if not e.retryable and outcome != "authentication":
+                if e.event == replay.FATAL:
                     raise
                 if len(tried) >= len(self.members) and k < self.retries:
                     self.sleep(float(min(2**k, 16)))
@@ -108,9 +109,11 @@ class Pool:
             return [{"endpoint_id": m.name, "hard": m.state.hard, "effective": m.state.effective, "disabled": m.state.disabled, "requests": m.state.requests, "successes": m.state.successes} for m in self.members]
 
 
-def load(backend: Backend, requests: list[list[dict]], workers: int, seconds: float, clock: Callable[[], float] = time.perf_counter) -> list[dict]:
-    """Closed-loop load: workers take requests in turn until the time is over; one row per finished request."""
-    rows, lock, turn, until = [], threading.Lock(), iter(range(1 << 60)), clock() + seconds
+def load(backend: Backend, requests: list[list[dict]], workers: int, seconds: float, clock: Callable[[], float] = time.perf_counter, warm_up: float = 0.0) -> list[dict]:
+    """Closed-loop load: workers take requests in turn until the time is over; one row per request begun after the
+    warm-up and finished, however late."""
+    rows, lock, turn, began_at = [], threading.Lock(), iter(range(1 << 60)), clock()
+    measured, until = began_at + warm_up, began_at + warm_up + seconds
 
     def work() -> None:
         while clock() < until:
@@ -121,8 +124,9 @@ def load(backend: Backend, requests: list[list[dict]], workers: int, seconds: fl
                 backend.chat(requests[i % len(requests)], i)
             except (RequestFailed, Outage) as e:
                 error = str(e)
-            with lock:
-                rows.append({"request": i % len(requests), "latency": clock() - began, "error": error})
+            if began >= measured:
+                with lock:
+                    rows.append({"request": i % len(requests), "begun": began - began_at, "latency": clock() - began, "error": error})
 
     threads = [threading.Thread(target=work) for _ in range(workers)]
     for t in threads:
@@ -130,3 +134,27 @@ def load(backend: Backend, requests: list[list[dict]], workers: int, seconds: fl
     for t in threads:
         t.join()
     return rows
+
+
+def in_order(work: Callable, items: list, workers: int) -> list:
+    """A bounded parallel map whose results stand in the order of the items; the first Outage ends it and is raised,
+    any other error is the result of its item."""
+    if workers < 1:
+        raise ValueError("at least one worker")
+
+    def one(item):
+        try:
+            return work(item)
+        except Outage:
+            raise
+        except Exception as e:  # a failed item is a row, not a failed run
+            return e
+
+    with ThreadPoolExecutor(workers) as pool:
+        jobs = [pool.submit(one, x) for x in items]
+        try:
+            return [job.result() for job in jobs]
+        except Outage:
+            for job in jobs:
+                job.cancel()
+            raise

@@ -14,15 +14,6 @@ from qafila.runtime import table
 
 
 def couplet_normal_form(spark, d):
-    """First couplets written three ways, brought to one."""
-    p = poems(spark, d).filter("couplet_count > 0")
-    k = F.col("record_no") % 3
-    v0, v1 = F.get("verses", F.lit(0)), F.get("verses", F.lit(1))
-    raw = F.when(k == 0, F.concat(F.lit("  "), v0, F.lit("="), v1)).when(k == 1, F.concat(v0, F.lit("   =  "), v1, F.lit(" "))).otherwise(F.concat(v0, F.lit(" = "), v1, F.lit(" = x")))
-    return p.select("record_no", F.sha2(X.normal_couplet(raw), 256).alias("digest"))
-
-
-def couplet_normal_forms(spark, d):
     """Every couplet written three ways in turn, brought to one."""
     pair = lambda n: F.struct(n.alias("couplet_no"), F.get("verses", 2 * n - 2).alias("v0"), F.get("verses", 2 * n - 1).alias("v1"))
     p = poems(spark, d).filter("couplet_count > 0").select("record_no", F.explode(F.transform(F.sequence(F.lit(1), F.col("couplet_count")), pair)).alias("x")).select("record_no", "x.*")
@@ -32,11 +23,6 @@ def couplet_normal_forms(spark, d):
 
 
 def grounding_words(spark, d):
-    docs = table(spark, d, "documents").filter("lang = 'en'")
-    return docs.select("doc_id", F.array_join(F.array_sort(X.grounding_words(F.regexp_replace("text", r"[^\x00-\x7f]", " "))), " ").alias("words"))
-
-
-def grounding_words_all(spark, d):
     """The words of every document as stored, whatever its language is said to be."""
     return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(X.grounding_words(F.col("text"))), " ").alias("words"))
 
@@ -146,7 +132,7 @@ def daily_lateness(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    couplet_normal_form, couplet_normal_forms, grounding_words, grounding_words_all, stripped_marks, choice_labels, code_fences, instruction_fingerprints, poem_containment, chunk_summary, review_decisions,
+    couplet_normal_form, grounding_words, stripped_marks, choice_labels, code_fences, instruction_fingerprints, poem_containment, chunk_summary, review_decisions,
     settings_match, reuse_defaults, endpoint_pick, matching_events, retry_waits, iso_stamps, answer_forms, duplicate_items, tokens_by_setting, daily_lateness,
 )}
 
@@ -154,11 +140,9 @@ _ONCE, _LOG = M.ONCE, M.LOG
 _TRIM = lambda x: f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
 
 SQL = {
-    "couplet_normal_form": f"WITH {P}, x AS (SELECT record_no, nfc_normalize(verses[1]) AS a, nfc_normalize(verses[2]) AS b FROM p WHERE couplet_count > 0) SELECT record_no, sha256(CASE WHEN record_no % 3 = 2 OR contains(a || b, '=') THEN {_TRIM("a || ' = ' || b || ' = x'")} ELSE {_TRIM('a')} || ' = ' || {_TRIM('b')} END) AS digest FROM x",
-    "couplet_normal_forms": f"WITH {P}, x AS (SELECT record_no, n, nfc_normalize(verses[2 * n - 1]) AS a, nfc_normalize(verses[2 * n]) AS b FROM (SELECT record_no, verses, unnest(range(1, couplet_count + 1)) AS n FROM p)) SELECT record_no, CAST(n AS INT) AS couplet_no, sha256(CASE WHEN (record_no + n) % 3 = 2 OR contains(a || b, '=') THEN {_TRIM("a || ' = ' || b || ' = x'")} ELSE {_TRIM('a')} || ' = ' || {_TRIM('b')} END) AS digest FROM x",
-    "grounding_words_all": r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(translate(regexp_replace(text, '[\x{0610}-\x{061a}\x{064b}-\x{065f}\x{0670}\x{06d6}-\x{06ed}\x{0640}]', '', 'g'), 'أإآٱ', 'اااا')),
+    "couplet_normal_form": f"WITH {P}, x AS (SELECT record_no, n, nfc_normalize(verses[2 * n - 1]) AS a, nfc_normalize(verses[2 * n]) AS b FROM (SELECT record_no, verses, unnest(range(1, couplet_count + 1)) AS n FROM p)) SELECT record_no, CAST(n AS INT) AS couplet_no, sha256(CASE WHEN (record_no + n) % 3 = 2 OR contains(a || b, '=') THEN {_TRIM("a || ' = ' || b || ' = x'")} ELSE {_TRIM('a')} || ' = ' || {_TRIM('b')} END) AS digest FROM x",
+    "grounding_words": r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(translate(regexp_replace(text, '[\x{0610}-\x{061a}\x{064b}-\x{065f}\x{0670}\x{06d6}-\x{06ed}\x{0640}]', '', 'g'), 'أإآٱ', 'اااا')),
         '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{0600}-\x{06ff}]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents""",
-    "grounding_words": "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(regexp_replace(text, '[^\\x00-\\x7f]', ' ', 'g')), '[a-z0-9_]+'), lambda w: length(w) >= 3))), ' ') AS words FROM documents WHERE lang = 'en'",
     "stripped_marks": "SELECT doc_id, sha256(translate(regexp_replace(text, '[\\x{610}-\\x{61a}\\x{64b}-\\x{65f}\\x{670}\\x{6d6}-\\x{6ed}\\x{640}]', '', 'g'), 'أإآٱ', 'اااا')) AS digest FROM documents WHERE text IS NOT NULL",
     "choice_labels": "WITH q AS (SELECT prompt_id, CASE WHEN prompt_id LIKE '%1' THEN 'أ) ' WHEN prompt_id LIKE '%2' THEN ' (ب. ' ELSE '' END || ground_truth AS a FROM mcq_items) SELECT prompt_id, count(*) FILTER (regexp_matches(a, '^\\s*[\\(\\[]?[أبجد][\\)\\]\\-.:：]')) AS labelled, count(*) AS n FROM q GROUP BY 1",
     "code_fences": f"""WITH {_ONCE} SELECT event_id, '{{"k":' || event_id || '}}' AS clean FROM e""",

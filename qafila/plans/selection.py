@@ -159,12 +159,6 @@ def levels(spark, d):
 
 
 def field_hiding(spark, d):
-    """Public projection: fields dropped from structs inside an array."""
-    rows = poems(spark, d).select("sample_id", F.transform("verses", lambda v, i: F.struct(i.alias("i"), v.alias("text"), (i % 2 == 0).alias("first"))).alias("parts"))
-    return rows.select("sample_id", F.to_json(F.slice(F.transform("parts", lambda p: p.dropFields("text")), 1, 3)).alias("public"))
-
-
-def field_hiding_all(spark, d):
     """Public projection of every verse."""
     rows = poems(spark, d).select("sample_id", F.transform("verses", lambda v, i: F.struct(i.alias("i"), v.alias("text"), (i % 2 == 0).alias("first"))).alias("parts"))
     return rows.select("sample_id", F.to_json(F.transform("parts", lambda p: p.dropFields("text"))).alias("public"))
@@ -173,7 +167,7 @@ def field_hiding_all(spark, d):
 QUERIES = {f.__name__: f for f in (
     latest_records, couplet_cap, cap_then_limit, oversize_guard, completion_eligible, selected_ids, mcq_work_items, mcq_prompts, corruption_counts, request_seeds,
     completion_prefix, estimate_work, spt_schedule, couplet_explode, three_couplet_chunks, packed_chunks, contiguous_indices, pilot_strata, pilot_selection, pilot_shortfall,
-    fixture_choices, fixture_mix, levels, field_hiding, field_hiding_all,
+    fixture_choices, fixture_mix, levels, field_hiding, 
 )}
 
 P = """p0 AS (SELECT sample_id, max(struct_pack(a := loaded_at, b := record_no)) AS k FROM poem_records GROUP BY 1),
@@ -231,6 +225,5 @@ SQL = {
           CASE WHEN i < 8 THEN i WHEN i < 16 THEN i - 8 WHEN i < 48 THEN i - 16 ELSE i - 48 END AS turn FROM range(80) AS t(i))
         SELECT i, kind, sample_id FROM seats JOIN bank ON k = turn % n""",
     "levels": "SELECT settings_id, CAST(level AS INT) AS level FROM (SELECT DISTINCT settings_id, unnest(list_concat(list_filter([1, 2, 4, 8, 16, 24, 32], lambda x: x <= max_repairs * 5 + 1), [max_repairs * 5 + 1])) AS level FROM generation_settings)",
-    "field_hiding": f"""WITH {P} SELECT sample_id, '[' || array_to_string(list_transform(range(0, least(3, len(verses))), lambda i: '{{"i":' || i || ',"first":' || CASE WHEN i % 2 = 0 THEN 'true' ELSE 'false' END || '}}'), ',') || ']' AS public FROM p""",
-    "field_hiding_all": f"""WITH {P} SELECT sample_id, '[' || array_to_string(list_transform(range(0, len(verses)), lambda i: '{{"i":' || i || ',"first":' || CASE WHEN i % 2 = 0 THEN 'true' ELSE 'false' END || '}}'), ',') || ']' AS public FROM p""",
+    "field_hiding": f"""WITH {P} SELECT sample_id, '[' || array_to_string(list_transform(range(0, len(verses)), lambda i: '{{"i":' || i || ',"first":' || CASE WHEN i % 2 = 0 THEN 'true' ELSE 'false' END || '}}'), ',') || ']' AS public FROM p""",
 }

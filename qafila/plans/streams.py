@@ -44,12 +44,6 @@ def stream_checkpoint_replay(spark, d):
 
 
 def parquet_round_trip(spark, d):
-    path = scratch_path(spark, "roundtrip")
-    files.write_records(table(spark, d, "meters"), path)
-    return spark.read.parquet(path)
-
-
-def parquet_round_trip_all(spark, d):
     """The poem table whole: arrays, nulls and timestamps, and as many rows as there are."""
     path = scratch_path(spark, "roundtrip")
     files.write_records(table(spark, d, "poem_records"), path)
@@ -69,7 +63,7 @@ def jsonl_lines(spark, d):
     return files.as_json_lines(M.once(spark, d).select("event_id", "endpoint_id", "status"))
 
 
-QUERIES = {f.__name__: f for f in (stream_progress, stream_windows, stream_checkpoint_replay, parquet_round_trip, parquet_round_trip_all, jsonl_round_trip, jsonl_lines)}
+QUERIES = {f.__name__: f for f in (stream_progress, stream_windows, stream_checkpoint_replay, parquet_round_trip, jsonl_round_trip, jsonl_lines)}
 
 SQL = {
     "stream_progress": "SELECT endpoint_id, status, count(*) AS n, CAST(sum(completion_tokens) AS BIGINT) AS tokens FROM request_events GROUP BY 1, 2",
@@ -77,8 +71,7 @@ SQL = {
     "stream_checkpoint_replay": f"""WITH {M.LOG}, s AS (SELECT sample_id, x.s AS seq, x.fp AS fingerprint, true AS done, NULL AS error FROM won),
         f AS (SELECT sample_id, max(seq) AS seq, NULL AS fingerprint, false AS done, arg_max(error, seq) AS error FROM l WHERE event = 'sample_failure' AND sample_id NOT IN (SELECT sample_id FROM won) GROUP BY 1)
         SELECT * FROM s UNION ALL SELECT * FROM f""",
-    "parquet_round_trip": "SELECT * FROM meters",
-    "parquet_round_trip_all": "SELECT * FROM poem_records",
+    "parquet_round_trip": "SELECT * FROM poem_records",
     "jsonl_round_trip": f"WITH {M.ONCE} SELECT event_id, sample_id, endpoint_id, status, finish_reason FROM e",
     "jsonl_lines": f"""WITH {M.ONCE} SELECT '{{"event_id":' || event_id || ',"endpoint_id":' || coalesce('"' || endpoint_id || '"', 'null') || ',"status":"' || status || '"}}' AS value FROM e""",
 }

@@ -26,12 +26,6 @@ def template_choice(spark, d):
 
 
 def reasoning_prompts(spark, d):
-    p = poems(spark, d).withColumn("lines", X.couplets(F.col("verses"))).filter(F.size("lines") > 0)
-    m = R.reasoning_messages(F.lit(None).cast("string"), F.lit(None).cast("string"), F.array_join(F.slice("lines", 1, 3), "\n"), F.get("lines", F.lit(3)), F.lit(True))
-    return p.select("sample_id", F.size(m).alias("messages"), F.sha2(m[3]["content"], 256).alias("digest"))
-
-
-def reasoning_prompts_all(spark, d):
     """The prompt of every three-couplet chunk of every poem, with its neighbours; all but the first continue."""
     p = poems(spark, d).select("sample_id", F.explode(couplet_chunks(X.couplets(F.col("verses")), F.lit(0))).alias("c"))
     c = F.col("c")
@@ -51,12 +45,6 @@ def _block(i, text):
 
 
 def reasoning_render(spark, d):
-    p = poems(spark, d)
-    blocks = F.transform(F.slice(X.couplets(F.col("verses")), 1, 2), lambda x, i: _block(i + 1, x))
-    return p.select("sample_id", F.sha2(R.render_reasoning(F.lit(" نظرة "), blocks, R.is_prose(F.col("meter_name"))), 256).alias("digest"))
-
-
-def reasoning_render_all(spark, d):
     """A block for every couplet."""
     blocks = F.transform(X.couplets(F.col("verses")), lambda x, i: _block(i + 1, x))
     return poems(spark, d).select("sample_id", F.sha2(R.render_reasoning(F.lit(" نظرة "), blocks, R.is_prose(F.col("meter_name"))), 256).alias("digest"))
@@ -68,12 +56,6 @@ def response_render(spark, d):
 
 
 def completion_render(spark, d):
-    p = poems(spark, d).filter("couplet_count >= 2")
-    text = R.completion_instruction(F.lit("اكتب \n"), F.get(X.couplets(F.col("verses")), F.lit(0)), F.col("couplet_count"), F.lit(1))
-    return p.select("sample_id", F.sha2(text, 256).alias("digest"))
-
-
-def completion_render_all(spark, d):
     """The instruction with the seeded number of couplets as its beginning."""
     p = poems(spark, d).filter("couplet_count >= 2").withColumn("k", seeded.prefix_length("sample_id", "couplet_count"))
     beginning = F.array_join(F.slice(X.couplets(F.col("verses")), F.lit(1), F.col("k")), "\n")
@@ -135,7 +117,7 @@ def mcq_choices(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     message_arrays, template_choice, reasoning_prompts, repair_prompts, reasoning_render, response_render, completion_render, mcq_render, reconstruction_render,
-    instruction_contract, invalid_responses, sft_records, mcq_choices, reasoning_prompts_all, reasoning_render_all, completion_render_all,
+    instruction_contract, invalid_responses, sft_records, mcq_choices,
 )} | {f"outcomes_{n.replace('-', '_')}": partial(task_outcomes, name=n) for n in G.TASKS}
 
 
@@ -146,22 +128,18 @@ def _s(x: str) -> str:
 _FEET = "CASE meter_name " + " ".join(f"WHEN {_s(k)} THEN {_s(v)}" for k, v in R.FEET.items()) + " END"
 _ASKING = f"{_s(R.TEMPLATES['sound'])} || chr(10) || 'البحر: ' || meter_name || chr(10) || 'عدد الأبيات: ' || couplet_count || chr(10) || 'الحد الأدنى: 200' || chr(10) || CASE WHEN meter_name = 'النثر' THEN 'النص نثر: انظر في الإيقاع الداخلي.' ELSE 'كل شطر على هذا النمط: ' || {_FEET} END || chr(10) || CASE WHEN meter_name = 'النثر' THEN 'خطة عملية لصناعة نص شعري منثور:' ELSE 'خطة عملية لصناعة بيت على بحر ' || meter_name || ':' END || chr(10) || poem_text"
 _LABELS = (("المعنى", "intended_meaning"), ("الصلة بما قبله", "connection_to_previous"), ("الصورة", "imagery_and_diction"), ("صياغة أولى", "first_draft"), ("قرار المراجعة", "problem_with_first_draft"), ("الصياغة المنقحة", "revised_draft"), ("الفحص الأول", "first_hemistich_scansion"), ("الفحص الثاني", "second_hemistich_scansion"), ("القافية", "rhyme_check"))
-_BLOCKS = "array_to_string(list_transform(range(1, least(2, len(lines)) + 1), lambda i: CASE WHEN meter_name = 'النثر' THEN 'الوحدة' ELSE 'البيت' END || ' ' || i || ':' || chr(10) || " + " || chr(10) || ".join(f"'{a}: {b} ' || lines[i]" for a, b in _LABELS) + "), chr(10) || chr(10))"
-_ALL_BLOCKS = _BLOCKS.replace("least(2, len(lines))", "len(lines)")
+_BLOCKS = "array_to_string(list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN meter_name = 'النثر' THEN 'الوحدة' ELSE 'البيت' END || ' ' || i || ':' || chr(10) || " + " || chr(10) || ".join(f"'{a}: {b} ' || lines[i]" for a, b in _LABELS) + "), chr(10) || chr(10))"
 _CH = [f"'{x}) ' || meter_name || ' {i}'" for i, x in enumerate("أبجد")]
 
 SQL = {
     "message_arrays": f"WITH {P}, m AS (SELECT sample_id, [{_s(R.SYSTEM)}, 'بيتان على الرجز', '{{\"instruction\":\"الموضوع العام: وصف نهر. 2 بيتان على الرجز.\"}}', 'نص منثور من ثلاث وحدات', '{{\"instruction\":\"الموضوع العام: وصف ليل. 3 وحدات من النثر.\"}}', {_ASKING}] AS c FROM p) SELECT sample_id, CAST(n AS INT) AS n, (['system', 'user', 'assistant', 'user', 'assistant', 'user'])[n + 1] AS role, sha256(c[n + 1]) AS digest FROM (SELECT sample_id, c, unnest(range(0, 6)) AS n FROM m)",
     "template_choice": f"WITH {P} SELECT sample_id, ([{', '.join(_s(t) for t in R.TEMPLATES)}])[CAST(('0x' || substr(sha256('template:' || sample_id), 1, 8))::UBIGINT % {len(R.TEMPLATES)} AS BIGINT) + 1] AS template_id FROM p",
-    "reasoning_prompts": f"WITH {P} SELECT sample_id, 4 AS messages, sha256('الأبيات:' || chr(10) || array_to_string(lines[1:3], chr(10)) || CASE WHEN len(lines) > 3 THEN chr(10) || 'البيت التالي: ' || lines[4] ELSE '' END || chr(10) || 'أعد overview و verse_reasoning.') AS digest FROM p WHERE len(lines) > 0",
-    "reasoning_prompts_all": f"""WITH {P}, c AS (SELECT sample_id, lines, unnest(range(0, len(lines), 3)) AS s FROM p)
+    "reasoning_prompts": f"""WITH {P}, c AS (SELECT sample_id, lines, unnest(range(0, len(lines), 3)) AS s FROM p)
         SELECT sample_id, CAST(s AS INT) AS start, 4 AS messages, sha256('الأبيات:' || chr(10) || array_to_string(lines[s + 1:s + 3], chr(10)) || CASE WHEN s > 0 THEN chr(10) || 'البيت السابق: ' || lines[s] ELSE '' END
           || CASE WHEN s + 4 <= len(lines) THEN chr(10) || 'البيت التالي: ' || lines[s + 4] ELSE '' END || chr(10) || CASE WHEN s = 0 THEN 'أعد overview و verse_reasoning.' ELSE 'أعد verse_reasoning. النظرة العامة: نظرة' END) AS digest FROM c""",
-    "reasoning_render_all": f"WITH {P} SELECT sample_id, sha256('نظرة' || chr(10) || chr(10) || {_ALL_BLOCKS}) AS digest FROM p",
-    "repair_prompts": f"WITH {P} SELECT sample_id, 4 AS messages, sha256({_s(R.JUDGE)} || '|<source>' || chr(10) || poem_text || chr(10) || '</source>' || chr(10) || '<candidate>' || chr(10) || '{{}}' || chr(10) || '</candidate>|raw|أصلح:' || chr(10) || '- one' || chr(10) || '- ' || meter_name) AS digest FROM p",
     "reasoning_render": f"WITH {P} SELECT sample_id, sha256('نظرة' || chr(10) || chr(10) || {_BLOCKS}) AS digest FROM p",
+    "repair_prompts": f"WITH {P} SELECT sample_id, 4 AS messages, sha256({_s(R.JUDGE)} || '|<source>' || chr(10) || poem_text || chr(10) || '</source>' || chr(10) || '<candidate>' || chr(10) || '{{}}' || chr(10) || '</candidate>|raw|أصلح:' || chr(10) || '- one' || chr(10) || '- ' || meter_name) AS digest FROM p",
     "response_render": f"WITH {P} SELECT sample_id, sha256('كلام' || chr(10) || chr(10) || 'بعد' || chr(10) || chr(10) || 'النتيجة النهائية:' || chr(10) || chr(10) || poem_text) AS digest FROM p",
-    "completion_render": f"WITH {P} SELECT sample_id, sha256('اكتب' || chr(10) || chr(10) || 'البداية:' || chr(10) || lines[1] || chr(10) || chr(10) || 'أكمل ' || (couplet_count - 1) || ' من ' || couplet_count || ' بيتا.') AS digest FROM p WHERE couplet_count >= 2",
     "mcq_render": f"WITH {P} SELECT sample_id, sha256('القصيدة:' || chr(10) || poem_text || chr(10) || chr(10) || 'السؤال:' || chr(10) || 'ما الوزن؟' || chr(10) || chr(10) || 'الخيارات:' || chr(10) || {' || chr(10) || '.join(_CH)}) AS question, sha256('ننظر' || chr(10) || '- شاهد' || chr(10) || {' || chr(10) || '.join(f"'- ' || {c} || ': تقييم ' || meter_name || ' {i}'" for i, c in enumerate(_CH))} || chr(10) || 'خلاصة' || chr(10) || 'الإجابة: ' || {_CH[2]}) AS answer FROM p",
     "reconstruction_render": f"WITH {P} SELECT sample_id, sha256('البيت 1:' || chr(10) || 'خ ← ' || meter_name || chr(10) || 'ت' || chr(10) || 'س' || chr(10) || 'ر' || chr(10) || chr(10) || poem_text) AS digest FROM p",
     "instruction_contract": f"""WITH {P}, x AS (SELECT *, couplet_count % 4 AS k, chr(10) || '' AS nl FROM p),

@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def build_session(master: str = "local[8]", shuffle: int = 8, app: str = "qafila") -> SparkSession:
-    """A local session with the settings the engine is tested under."""
+def build_session(master: str | None = "local[8]", shuffle: int = 8, app: str = "qafila") -> SparkSession:
+    """A local session with the settings the engine is tested under; with no master the one of the launcher, whose
+    settings then hold."""
+    common = {"spark.sql.adaptive.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    if master is None:
+        builder = SparkSession.builder.appName(app)
+        for key, value in common.items():
+            builder = builder.config(key, value)
+        return builder.getOrCreate()
     return (
         SparkSession.builder.master(master)
         .appName(app)
@@ -33,10 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the session's spark.checkpoint.dir.
 
-    Only where the session names none (tests, a single machine) is a temporary folder made and set.
+    Only in local mode, where one machine is all there is, a temporary folder is made and set if none is named; a cluster
+    that names none is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="qafila-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)

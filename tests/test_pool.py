@@ -2,7 +2,7 @@ import pytest
 
 from qafila.operators import replay
 from qafila.operators.generation import Outage
-from qafila.operators.pool import Member, Pool, RequestFailed, load, share_of
+from qafila.operators.pool import Member, Pool, RequestFailed, in_order, load, share_of
 
 
 class Scripted:
@@ -61,3 +61,22 @@ def test_busy_endpoint_is_left_in_peace():
 def test_load_and_shares():
     rows = load(Scripted("x"), [[], []], 3, 0.05)
     assert rows and all(r["error"] is None for r in rows) and share_of(32, 5) == 6 and share_of(1, 9) == 1
+
+
+def test_warm_up_is_left_out():
+    rows = load(Scripted("x"), [[]], 2, 0.03, warm_up=0.03)
+    assert rows and all(r["begun"] >= 0.03 for r in rows)
+
+
+def test_bounded_map_keeps_order():
+    def work(x):
+        if x == 3:
+            raise ValueError("three")
+        return x * x
+
+    got = in_order(work, list(range(20)), 4)
+    assert got[:3] == [0, 1, 4] and isinstance(got[3], ValueError) and got[19] == 361 and in_order(work, [], 2) == []
+    with pytest.raises(Outage):
+        in_order(lambda x: Pool([]).chat([], x), [1, 2], 1)
+    with pytest.raises(ValueError):
+        in_order(work, [1], 0)

@@ -1,4 +1,4 @@
-"""The queries named ..._all take every couplet and document, not only the first of them."""
+"""Queries take every couplet and document, not only the first of them."""
 
 import json
 import os
@@ -34,11 +34,11 @@ def test_chunks_go_on_from_an_offset(spark):
 
 def test_a_prompt_for_every_chunk(spark):
     wanted = poems(spark, DIR).select(F.sum(F.ceil(F.col("couplet_count") / 3)).alias("n"), F.count("*").alias("poems")).first()
-    assert len(rows(spark, "reasoning_prompts_all")) == wanted.n > wanted.poems
+    assert len(rows(spark, "reasoning_prompts")) == wanted.n > wanted.poems
 
 
 def test_completion_begins_with_the_seeded_prefix(spark):
-    got = {r.sample_id: (r.k, r.digest) for r in rows(spark, "completion_render_all")}
+    got = {r.sample_id: (r.k, r.digest) for r in rows(spark, "completion_render")}
     con = duckdb.connect()
     for r in poems(spark, DIR).filter("couplet_count >= 2").select("sample_id", "couplet_count", X.couplets(F.col("verses")).alias("lines")).collect():
         n, k = r.couplet_count, seeded.prefix_length_py(r.sample_id, r.couplet_count)
@@ -55,12 +55,12 @@ def test_grounding_words_of_every_document(spark):
     for r in docs:
         found = word.findall(X.MARK_RE.sub("", r.text).translate(fold).lower()) if r.text is not None else None
         want[r.doc_id] = None if found is None else " ".join(sorted({w for w in found if len(w) >= 3}))
-    got = {r.doc_id: r.words for r in rows(spark, "grounding_words_all")}
+    got = {r.doc_id: r.words for r in rows(spark, "grounding_words")}
     assert got == want and any(re.search("[ء-ي]{3}", w or "") for w in got.values())
 
 
 def test_every_couplet_is_normalised_and_every_verse_projected(spark):
-    couplets, shown = rows(spark, "couplet_normal_forms"), {r.sample_id: json.loads(r.public) for r in rows(spark, "field_hiding_all")}
+    couplets, shown = rows(spark, "couplet_normal_form"), {r.sample_id: json.loads(r.public) for r in rows(spark, "field_hiding")}
     p = poems(spark, DIR).select("sample_id", "record_no", "couplet_count", F.size("verses").alias("n")).collect()
     assert sorted((r.record_no, r.couplet_no) for r in couplets) == sorted((r.record_no, i) for r in p for i in range(1, r.couplet_count + 1))
     assert all(shown[r.sample_id] == [{"i": i, "first": i % 2 == 0} for i in range(r.n)] for r in p)
