@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qafila.operators.selection import latest
+from qafila.runtime import cut
 
 SAFE_RETRYABLE = 0.005
 GOOD_ENOUGH = 0.95
@@ -16,9 +23,37 @@ def delivered_once(events: DataFrame) -> DataFrame:
     return latest(events, "event_id", "arrived_at")
 
 
-def percentile(c: str, p: float) -> Column:
-    """Nearest rank; of nothing 0."""
-    return F.coalesce(F.expr(f"percentile_disc({p}) within group (order by {c})"), F.lit(0.0))
+def percentiles(events: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """The keys with one column a share: the nearest-rank percentile of the values that are not null.
+
+    Exact, and no task holds a key: equal values are counted before the shuffle, the distinct ones are ranged over tasks
+    by key and value, and a place is found from what stands before a task and within it. Keys may be null; keys without
+    a value have no row.
+    """
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = events.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_k"), F.col(value).alias("_v")).groupBy("_k", "_v").agg(F.count("*").alias("_c"))
+    placed = cut(counted.repartitionByRange(tasks, "_k", "_v").withColumn("_task", F.spark_partition_id()))
+    by_key = Window.partitionBy("_k")
+    held = placed.groupBy("_k", "_task").agg(F.sum("_c").alias("_here"))
+    held = held.withColumns({"_before": F.sum("_here").over(by_key.orderBy("_task")) - F.col("_here"), "_all": F.sum("_here").over(by_key)})
+    inside = Window.partitionBy("_task", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("_upto", F.sum("_c").over(inside)).join(held, ["_k", "_task"]).withColumn("_upto", F.col("_upto") + F.col("_before"))
+
+    def found(share: float) -> Column:
+        rank = F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("_all") - 1e-9))
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank), F.col("_v")))
+
+    return ranked.groupBy("_k").agg(*(found(p).alias(name) for name, p in shares.items())).select("_k.*", *shares)
+
+
+def with_percentiles(rows: DataFrame, events: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """rows (one a key) with the percentiles of their events; of nothing 0."""
+    of = percentiles(events, keys, value, shares)
+    same = F.lit(True)
+    for k in keys:
+        same = same & rows[k].eqNullSafe(of[k])
+    joined = rows.join(of, same, "left")
+    return joined.select(*(rows[c] for c in rows.columns), *(F.coalesce(of[c], F.lit(0.0)).alias(c) for c in shares))
 
 
 def workload(events: DataFrame, keys: list[str], timeout_s: float) -> DataFrame:
@@ -36,10 +71,9 @@ def workload(events: DataFrame, keys: list[str], timeout_s: float) -> DataFrame:
         F.count_if(ok & (F.col("finish_reason") == "length")).alias("truncations"),
         F.coalesce(F.sum(F.when(ok, F.col("prompt_tokens"))), F.lit(0)).alias("prompt_tokens"),
         F.coalesce(F.sum(F.when(ok, F.col("completion_tokens"))), F.lit(0)).alias("completion_tokens"),
-        percentile("elapsed_seconds", 0.5).alias("p50"),
-        percentile("elapsed_seconds", 0.95).alias("p95"),
         seconds.alias("seconds"),
     )
+    rows = with_percentiles(rows, events, keys, "elapsed_seconds", {"p50": 0.5, "p95": 0.95})
     rate = F.when(F.col("requests") > 0, F.col("retryable_errors") / F.col("requests")).otherwise(1.0)
     return rows.withColumns({
         "requests_per_second": F.col("successes") / F.col("seconds"),
@@ -92,20 +126,67 @@ def merge_provenance(current: DataFrame, prior: DataFrame) -> DataFrame:
     )
 
 
+class _Sliding:
+    """The values of a moving span, in order of time and in order of size."""
+
+    def __init__(self) -> None:
+        self.times: deque[tuple[float, float]] = deque()
+        self.sizes: list[float] = []
+
+    def add(self, t: float, x: float) -> None:
+        self.times.append((t, x))
+        insort(self.sizes, x)
+
+    def drop_before(self, t: float) -> None:
+        while self.times and self.times[0][0] < t:
+            x = self.times.popleft()[1]
+            del self.sizes[bisect_left(self.sizes, x)]
+
+
 def trailing_percentile(events: DataFrame, keys: list[str], span_s: int, p: float, at_least: int) -> DataFrame:
-    """For each event the nearest-rank percentile of the key's latencies in the last span_s seconds, itself included.
+    """For each event the nearest-rank percentile of the key's latencies in the last span_s seconds, itself and those of
+    the same moment included.
 
     Keys are few and their history long, so rows are cut into time buckets of one span; each row also goes to the next
-    bucket as context. A window sees two spans of one key, never a whole history.
+    bucket as context. Buckets stream through a task in order of time, and it holds the values of one span, kept sorted.
     """
     t = F.col("ts").cast("timestamp").cast("double")
-    rows = events.filter("elapsed_seconds is not null").withColumn("t", t).withColumn("bucket", F.floor(F.col("t") / span_s))
-    both = rows.withColumn("b", F.explode(F.array("bucket", F.col("bucket") + 1)))
-    w = Window.partitionBy(*keys, "b").orderBy("t").rangeBetween(-span_s, 0)
-    seen = both.withColumn("recent", F.sort_array(F.collect_list("elapsed_seconds").over(w))).filter("b = bucket")
-    n = F.size("recent")
-    at = F.least(n - 1, F.ceil(p * n).cast("int") - 1)
-    return seen.filter(n >= at_least).select("event_id", *keys, n.alias("n_recent"), F.get("recent", at).alias("percentile"))
+    rows = events.filter("elapsed_seconds is not null").select("event_id", *keys, t.alias("t"), F.col("elapsed_seconds").alias("x"))
+    rows = rows.withColumn("bucket", F.floor(F.col("t") / span_s)).withColumn("b", F.explode(F.array("bucket", F.col("bucket") + 1)))
+    placed = rows.repartition(*keys, "b").sortWithinPartitions(*keys, "b", "t")
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    ddl = ", ".join(f"{c} {kinds[c]}" for c in ("event_id", *keys)) + ", n_recent int, percentile double"
+    names = ["event_id", *keys]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, span, moment, waiting = None, _Sliding(), None, []
+
+        def told() -> list[tuple]:
+            """Those of one moment see each other, so they are told when it is over."""
+            n = len(span.sizes)
+            if n < at_least or not waiting:
+                return []
+            at = max(0, math.ceil(p * n - 1e-9) - 1)
+            return [(*w, n, span.sizes[at]) for w in waiting]
+
+        for batch in batches:
+            out = []
+            for *row, at, x, bucket, b in zip(*(batch[c].tolist() for c in (*names, "t", "x", "bucket", "b")), strict=True):
+                place = (*row[1:], b)
+                if place != now or at != moment:
+                    out += told()
+                    waiting = []
+                if place != now:
+                    now, span = place, _Sliding()
+                moment = at
+                span.drop_before(at - span_s)
+                span.add(at, x)
+                if bucket == b:
+                    waiting.append(row)
+            yield pd.DataFrame(out, columns=[*names, "n_recent", "percentile"])
+        yield pd.DataFrame(told(), columns=[*names, "n_recent", "percentile"])
+
+    return placed.mapInPandas(run, ddl)
 
 
 def parse_metrics(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -20,7 +20,12 @@ def source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def poems(spark: SparkSession, d: str) -> DataFrame:
-    return C.canonicalize(source(spark, d), on_tie="flag", on_invalid="drop")
+    return C.canonicalize(source(spark, d), on_tie="flag", on_invalid="drop", on_meter="flag")
+
+
+def lean_poems(spark: SparkSession, d: str) -> DataFrame:
+    """Without the arrays of sources."""
+    return C.canonicalize(source(spark, d), on_tie="flag", on_invalid="drop", on_meter="flag", arrays=False)
 
 
 def _texts(df: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def canonical_poems(spark, d):
 
 
 def source_order(spark, d):
-    ordered = poems(spark, d).select("sample_id", F.get("source_row_indices", F.lit(0)).alias("first_row"))
+    ordered = lean_poems(spark, d).select("sample_id", "first_row")
     return ordered.orderBy("first_row")
 
 
@@ -50,19 +55,24 @@ def meter_votes(spark, d):
 
 
 def meter_conflicts(spark, d):
-    return poems(spark, d).filter("metadata_conflict").select("sample_id", "meter_id", "tied")
+    return lean_poems(spark, d).filter("metadata_conflict").select("sample_id", "meter_id", "tied")
 
 
 def source_provenance(spark, d):
     return poems(spark, d).select("sample_id", F.size("source_row_indices").cast("bigint").alias("n_rows"), F.size("source_urls").cast("bigint").alias("n_urls"))
 
 
+def poem_sources(spark, d):
+    """Every source row of every poem, as rows."""
+    return C.sources(source(spark, d), "drop")
+
+
 def split_counts(spark, d):
-    return poems(spark, d).groupBy(X.sft_split(F.col("sample_id")).alias("sft_split")).agg(F.count("*").alias("n"))
+    return lean_poems(spark, d).groupBy(X.sft_split(F.col("sample_id")).alias("sft_split")).agg(F.count("*").alias("n"))
 
 
 def poem_text_digest(spark, d):
-    return poems(spark, d).select("sample_id", F.sha2(X.format_poem(F.col("verses")), 256).alias("digest"), F.length(X.format_poem(F.col("verses"))).cast("bigint").alias("n_chars"))
+    return lean_poems(spark, d).select("sample_id", F.sha2(X.format_poem(F.col("verses")), 256).alias("digest"), F.length(X.format_poem(F.col("verses"))).cast("bigint").alias("n_chars"))
 
 
 def projected_scan(spark, d):
@@ -176,7 +186,7 @@ def authors_sorted(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    canonical_poems, source_order, invalid_rows, meter_votes, meter_conflicts, source_provenance, split_counts, poem_text_digest, projected_scan,
+    canonical_poems, source_order, invalid_rows, meter_votes, meter_conflicts, source_provenance, poem_sources, split_counts, poem_text_digest, projected_scan,
     classical_subset, classical_summary, era_counts, location_authors, author_semi_join, uncovered_authors, first_biography, biography_candidates,
     merged_union, overlap_audit, rejected_authors, author_union, review_audit, url_checks, meter_distribution, value_counts_with_null, split_concat, preview, authors_sorted,
 )}
@@ -222,6 +232,7 @@ SQL = {
     "meter_votes": f"SELECT sha256(array_to_string(poem_verses, chr(9246))) AS sample_id, CAST(poem_meter AS INT) AS meter_id, count(*) AS votes FROM ({GOOD}) GROUP BY poem_verses, poem_meter",
     "meter_conflicts": f"WITH {POEMS} SELECT sample_id, CAST(meter_id AS INT) AS meter_id, tied FROM poems WHERE metadata_conflict",
     "source_provenance": f"WITH {POEMS} SELECT sample_id, n_rows, coalesce(n_urls, 0) AS n_urls FROM poems LEFT JOIN urls ON urls.v = verses",
+    "poem_sources": f"SELECT sha256(array_to_string(poem_verses, chr(9246))) AS sample_id, row_idx, poem_url FROM ({GOOD})",
     "split_counts": f"WITH {POEMS} SELECT {SPLIT} AS sft_split, count(*) AS n FROM poems GROUP BY 1",
     "poem_text_digest": f"WITH {POEMS} SELECT sample_id, sha256({TEXT}) AS digest, length({TEXT}) AS n_chars FROM poems",
     "projected_scan": "SELECT row_idx, poem_title, poem_theme, poem_meter, len(poem_verses) AS n_verses, poem_url, poet_name FROM poem_source",

@@ -106,7 +106,7 @@ def contiguous_indices(spark, d):
 
 def _strata(spark, d):
     p = poems(spark, d)
-    return p.withColumn("stratum", X.size_stratum(F.col("couplet_count"), F.length("poem_text") > OVERSIZE)).select("sample_id", "stratum", F.length("poem_text").alias("n_chars"))
+    return p.withColumn("stratum", X.size_stratum(F.col("couplet_count"), F.length("poem_text") > OVERSIZE)).select("sample_id", "record_no", "stratum", F.length("poem_text").alias("n_chars"))
 
 
 def pilot_strata(spark, d):
@@ -114,13 +114,12 @@ def pilot_strata(spark, d):
 
 
 def pilot_selection(spark, d):
-    """Quotas per stratum by id; of the oversized the longest comes first."""
+    """Quotas per stratum by id; of the oversized the longest comes first, of equal ones the first in source order."""
     rows = _strata(spark, d)
     usual = {k: v for k, v in QUOTAS.items() if k != "oversized"}
     plain = S.first_per_stratum(rows, "stratum", usual, "sample_id")
     big = rows.filter("stratum = 'oversized'")
-    longest = big.agg(F.max_by("sample_id", F.struct("n_chars", F.expr("-xxhash64(sample_id)"))).alias("top"), F.max("n_chars").alias("most"))
-    top = big.join(F.broadcast(longest), big.n_chars == longest.most).agg(F.min("sample_id").alias("top"))
+    top = big.agg(F.max_by("sample_id", F.struct("n_chars", -F.col("record_no"))).alias("top"))
     marked = big.join(F.broadcast(top), big.sample_id == top.top, "left").withColumn("later", F.col("top").isNull())
     oversized = S.first_per_stratum(marked.drop("top"), "stratum", {"oversized": QUOTAS["oversized"]}, "later", "sample_id")
     return plain.select("sample_id", "stratum", "stratum_rank").unionByName(oversized.select("sample_id", "stratum", "stratum_rank"))
@@ -212,8 +211,8 @@ SQL = {
     "packed_chunks": f"{PACK} SELECT sample_id, CAST(chunk_no AS INT) AS chunk_no, length(chunk) AS n_chars, sha256(chunk) AS digest FROM packed",
     "contiguous_indices": f"WITH {P} SELECT sample_id, true AS contiguous FROM p WHERE couplet_count > 0",
     "pilot_strata": f"WITH {P} SELECT {_STRATUM} AS stratum, count(*) AS n FROM p GROUP BY 1",
-    "pilot_selection": f"""WITH {P}, s AS (SELECT sample_id, {_STRATUM} AS stratum, length(poem_text) AS n_chars FROM p),
-        top AS (SELECT min(sample_id) AS id FROM s WHERE stratum = 'oversized' AND n_chars = (SELECT max(n_chars) FROM s WHERE stratum = 'oversized')),
+    "pilot_selection": f"""WITH {P}, s AS (SELECT sample_id, record_no, {_STRATUM} AS stratum, length(poem_text) AS n_chars FROM p),
+        top AS (SELECT sample_id AS id FROM s WHERE stratum = 'oversized' ORDER BY n_chars DESC, record_no LIMIT 1),
         r AS (SELECT sample_id, stratum, CAST(row_number() OVER (PARTITION BY stratum ORDER BY CASE WHEN stratum = 'oversized' AND sample_id = (SELECT id FROM top) THEN 0 ELSE 1 END, sample_id) AS INT) AS stratum_rank FROM s)
         SELECT sample_id, stratum, stratum_rank FROM r WHERE stratum_rank <= CASE stratum {" ".join(f"WHEN '{k}' THEN {v}" for k, v in QUOTAS.items())} ELSE 0 END""",
     "pilot_shortfall": f"""WITH {P}, q AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {v})" for k, v in {**QUOTAS, "couplets_75_plus": 15}.items())}) AS t(stratum, quota)),

@@ -28,12 +28,13 @@ def stream_progress(spark, d):
 
 
 def stream_windows(spark, d):
-    rows = folds.drain(folds.windows(_events(spark, d), "ts", "1 day", "10 days", "request_kind"), "complete", "windows")
+    """The windows that the watermark has closed; later ones are not told yet."""
+    rows = folds.drain(folds.windows(_events(spark, d), "ts", "1 day", "10 days", "request_kind"), "append", "windows")
     return rows.select(F.col("window_start").cast("date").cast("string").alias("day"), "request_kind", "n")
 
 
 def stream_checkpoint_replay(spark, d):
-    events = folds.once(_events(spark, d), "event_id", "arrived_at", "3650 days")
+    events = _events(spark, d)  # an event delivered twice has one seq, so the fold takes it once
     ok, kind = F.col("status") == "ok", F.col("request_kind")
     event = F.when(~ok, "sample_failure").when(kind.isin("mcq", "reconstruction"), "sample_success").otherwise("other")
     fingerprint = F.when(F.col("settings_id") % 4 != 0, F.concat(F.lit("fp"), (F.col("settings_id") % 3).cast("string")))
@@ -43,6 +44,17 @@ def stream_checkpoint_replay(spark, d):
     return last.filter("seq >= 0")
 
 
+def stream_stage_replay(spark, d):
+    """The chunks that may be resumed, from the log as a stream."""
+    e = _events(spark, d).filter("sample_id is not null and status = 'ok' and request_kind in ('instruction', 'reasoning')")
+    event = F.when(F.col("request_kind") == "instruction", "instruction_success").otherwise("reasoning_chunk_success")
+    fingerprint = F.when(F.col("settings_id") % 4 != 0, F.concat(F.lit("fp"), (F.col("settings_id") % 3).cast("string")))
+    log = e.select("sample_id", F.col("event_id").alias("seq"), event.alias("event"), fingerprint.alias("fingerprint"), ((F.col("event_id") % 4) * 3).cast("int").alias("start_offset"))
+    rows = folds.drain(folds.stages(log), "update", "stages")
+    last = rows.groupBy("sample_id").agg(F.max_by("chunks", "batch").alias("chunks"))
+    return last.select("sample_id", F.explode("chunks").alias("c")).select("sample_id", "c.start_offset", "c.fingerprint", "c.seq")
+
+
 def parquet_round_trip(spark, d):
     """The poem table whole: arrays, nulls and timestamps, and as many rows as there are."""
     path = scratch_path(spark, "roundtrip")
@@ -54,7 +66,7 @@ def jsonl_round_trip(spark, d):
     path = scratch_path(spark, "jsonl")
     rows = M.once(spark, d).select("event_id", "sample_id", "endpoint_id", "status", "finish_reason")
     files.write_jsonl(rows, path)
-    back = files.read_jsonl(spark, path, "event_id bigint, sample_id string, endpoint_id string, status string, finish_reason string")
+    back = files.read_jsonl(spark, path, "event_id bigint, sample_id string, endpoint_id string, status string, finish_reason string", numbered=True)
     return files.require_readable(back)
 
 
@@ -63,14 +75,15 @@ def jsonl_lines(spark, d):
     return files.as_json_lines(M.once(spark, d).select("event_id", "endpoint_id", "status"))
 
 
-QUERIES = {f.__name__: f for f in (stream_progress, stream_windows, stream_checkpoint_replay, parquet_round_trip, jsonl_round_trip, jsonl_lines)}
+QUERIES = {f.__name__: f for f in (stream_progress, stream_windows, stream_checkpoint_replay, stream_stage_replay, parquet_round_trip, jsonl_round_trip, jsonl_lines)}
 
 SQL = {
     "stream_progress": "SELECT endpoint_id, status, count(*) AS n, CAST(sum(completion_tokens) AS BIGINT) AS tokens FROM request_events GROUP BY 1, 2",
-    "stream_windows": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, request_kind, count(*) AS n FROM request_events GROUP BY 1, 2",
+    "stream_windows": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, request_kind, count(*) AS n FROM request_events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 DAY FROM request_events) GROUP BY 1, 2",
     "stream_checkpoint_replay": f"""WITH {M.LOG}, s AS (SELECT sample_id, x.s AS seq, x.fp AS fingerprint, true AS done, NULL AS error FROM won),
         f AS (SELECT sample_id, max(seq) AS seq, NULL AS fingerprint, false AS done, arg_max(error, seq) AS error FROM l WHERE event = 'sample_failure' AND sample_id NOT IN (SELECT sample_id FROM won) GROUP BY 1)
         SELECT * FROM s UNION ALL SELECT * FROM f""",
+    "stream_stage_replay": M.SQL["resume_chunks"],
     "parquet_round_trip": "SELECT * FROM poem_records",
     "jsonl_round_trip": f"WITH {M.ONCE} SELECT event_id, sample_id, endpoint_id, status, finish_reason FROM e",
     "jsonl_lines": f"""WITH {M.ONCE} SELECT '{{"event_id":' || event_id || ',"endpoint_id":' || coalesce('"' || endpoint_id || '"', 'null') || ',"status":"' || status || '"}}' AS value FROM e""",

@@ -5,6 +5,7 @@ Sinks are idempotent: a micro-batch that is repeated after a failure replaces wh
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,7 +47,8 @@ def progress(events: DataFrame, *keys: str) -> DataFrame:
 
 
 def windows(events: DataFrame, time: str, width: str, late: str, *keys: str) -> DataFrame:
-    """Tumbling event-time windows; rows later than the watermark are dropped once their window is closed."""
+    """Tumbling event-time windows for append mode: a window is told once the watermark has passed it, and rows that come
+    later still are dropped."""
     return events.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
 
 
@@ -74,3 +76,30 @@ def replay(log: DataFrame) -> DataFrame:
         yield pd.DataFrame({"sample_id": [key[0]], "seq": [seq], "fingerprint": [fingerprint], "done": [done], "error": [error]})
 
     return log.groupBy("sample_id").applyInPandasWithState(fold, _OUT, _STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+_CHUNKS = "array<struct<start_offset:int,fingerprint:string,seq:bigint>>"
+
+
+def stages(log: DataFrame) -> DataFrame:
+    """The stages of every sample as state: the last instruction and the last chunk of each offset. A chunk older than an
+    instruction with another fingerprint is void. One updated row per sample and micro-batch: sample_id, chunks.
+
+    What decides is the order of seq, not of arrival: the state keeps of each instruction fingerprint the last seq.
+    """
+
+    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        said, chunks = json.loads(state.get[0]) if state.exists else ([], [])
+        said, chunks = {f: s for f, s in said}, {o: (s, f) for o, s, f in chunks}
+        for part in parts:
+            for seq, event, fingerprint, offset in zip(*(part[c].tolist() for c in ("seq", "event", "fingerprint", "start_offset")), strict=True):
+                fingerprint = fingerprint if isinstance(fingerprint, str) else None
+                if event == "instruction_success":
+                    said[fingerprint] = max(seq, said.get(fingerprint, seq))
+                elif event == "reasoning_chunk_success" and seq > chunks.get(offset, (-1, None))[0]:
+                    chunks[offset] = (seq, fingerprint)
+        state.update((json.dumps([list(said.items()), [(o, *c) for o, c in chunks.items()]]),))
+        live = [(o, f, s) for o, (s, f) in sorted(chunks.items()) if not any(at > s and other != f for other, at in said.items())]
+        yield pd.DataFrame({"sample_id": [key[0]], "chunks": [[{"start_offset": o, "fingerprint": f, "seq": s} for o, f, s in live]]})
+
+    return log.groupBy("sample_id").applyInPandasWithState(fold, f"sample_id string, chunks {_CHUNKS}", "stages string", "update", GroupStateTimeout.NoTimeout)

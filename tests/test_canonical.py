@@ -28,11 +28,20 @@ def test_first_row_wins_equal_scores_and_blank_counts_as_filled(spark):
     assert r.poem_title == " " and r.poet_name == ""
 
 
+def test_unknown_meters_and_sources(spark):
+    source = spark.createDataFrame([(1, None, None, 99, ["a", "b"], "u1", "p"), (2, None, None, 99, ["a", "b"], None, "p"), (3, None, None, 1, ["c"], "u", "p")], "row_idx bigint, poem_title string, poem_theme string, poem_meter bigint, poem_verses array<string>, poem_url string, poet_name string")
+    with pytest.raises(Exception, match="Unknown meter ID: 99"):
+        C.canonicalize(source, on_invalid="drop").collect()
+    (r,) = C.canonicalize(source, on_invalid="drop", on_meter="flag", arrays=False).collect()
+    assert r.meter_name is None and r.first_row == 1 and "source_urls" not in r
+    assert sorted((s.row_idx, s.poem_url) for s in C.sources(source, "drop").collect()) == [(1, "u1"), (2, None)]
+
+
 def test_ties(spark):
     df = rows(spark, (1, None, None, 3, ["a", "b"], None, None), (2, None, None, 2, ["a", "b"], None, None))
     (r,) = C.canonicalize(df, on_tie="flag").collect()
     assert (r.meter_id, r.tied) == (2, True)
-    with pytest.raises(Exception, match="Tied meter metadata"):
+    with pytest.raises(Exception, match="Tied meters of the poem first seen in row"):
         C.canonicalize(df).collect()
 
 

@@ -14,9 +14,19 @@ T0 = dt.datetime(2026, 1, 1)
 @pytest.mark.parametrize("n", [0, 1, 2, 20, 21])
 def test_percentile(spark, n):
     values = [float((i * 7) % n) for i in range(n)]
-    df = spark.createDataFrame([(v,) for v in values], "x double")
+    df = spark.createDataFrame([(k, v) for v in [*values, None] for k in ("a", None)], "k string, x double")
     want = sorted(values)[math.ceil(0.95 * n) - 1] if n else 0.0
-    assert df.agg(E.percentile("x", 0.95).alias("p")).first().p == want
+    rows = E.with_percentiles(df.groupBy("k").count(), df, ["k"], "x", {"p": 0.95})
+    assert sorted((str(r.k), r["count"], r.p) for r in rows.collect()) == [("None", n + 1, want), ("a", n + 1, want)]
+
+
+def test_percentiles_over_many_tasks(spark):
+    rng = random.Random(8)
+    data = [(rng.choice("ab"), rng.choice([1.0, 2.0, rng.random() * 50])) for _ in range(3000)]
+    df = spark.createDataFrame(data, "k string, x double").repartition(6)
+    got = {r.k: (r.low, r.high) for r in E.percentiles(df, ["k"], "x", {"low": 0.5, "high": 0.99}).collect()}
+    of = {k: sorted(x for j, x in data if j == k) for k in "ab"}
+    assert got == {k: (xs[math.ceil(0.5 * len(xs)) - 1], xs[math.ceil(0.99 * len(xs)) - 1]) for k, xs in of.items()}
 
 
 def test_capacity(spark):

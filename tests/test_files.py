@@ -20,12 +20,36 @@ def test_json_lines(spark, tmp_path):
     good = files.read_jsonl(spark, path, "a int, b string")
     assert sorted((r.a, r.b) for r in files.require_readable(good).collect()) == [(1, "ن"), (2, None)]
     bad = files.read_jsonl(spark, str(tmp_path / "extra.txt"), "a int")
-    with pytest.raises(Exception, match="Invalid checkpoint JSON"):
+    with pytest.raises(Exception, match="Not a JSON object: {broken"):
         files.require_readable(bad).collect()
+    with pytest.raises(Exception, match="Not a JSON object in line 2: {broken"):
+        files.require_readable(files.read_jsonl(spark, str(tmp_path / "extra.txt"), "a int", numbered=True)).collect()
     files.write_jsonl(spark.createDataFrame([(3, "x")], "a int, b string"), path, "append")
     assert files.read_jsonl(spark, path, "a int").count() == 3
 
 
+def test_line_numbers_across_blocks(spark, tmp_path):
+    with open(tmp_path / "many.txt", "w") as f:
+        f.writelines(f"line {i}\n" for i in range(1, 2001))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = files.numbered_lines(spark, str(tmp_path / "many.txt")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 2000 and all(r.value == f"line {r.line_no}" for r in rows)
+
+
+def test_driver_side_log_and_environment(tmp_path):
+    log, env = str(tmp_path / "log.jsonl"), str(tmp_path / ".env")
+    files.append_event({"a": "ن"}, log)
+    files.append_event({"a": 1}, log, version=None)
+    assert [json.loads(x) for x in open(log, encoding="utf-8")] == [{"checkpoint_version": 3, "a": "ن"}, {"a": 1}]
+    with open(env, "w") as f:
+        f.write("# a comment\n\nexport ENDPOINT_1_URL='http://a'\nENDPOINT_2_URL=http://b\nENDPOINT_KEY=k\nENDPOINT_2_MODEL=\"m\"\n")
+    got = files.endpoints_from_env(files.read_env(env))
+    assert [(e["url"], e["api_key"], e["model"]) for e in got] == [("http://a", "k", None), ("http://b", "k", "m")]
+
+
 def test_records_and_splits(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "a int")
     assert not files.write_records(df.limit(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()

@@ -1,9 +1,7 @@
 """Merges are right where one read partition packs the files of several tasks, as with a default parallelism of 1."""
 
-import numpy as np
 import pytest
 
-from qafila.llm import neardup
 from qafila.operators.components import components
 
 
@@ -20,9 +18,3 @@ def packed(spark):
 def test_components_over_packed_files(packed):
     edges = packed.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint").repartition(6)
     assert {r.component for r in components(edges).collect()} == {0}
-
-
-def test_sketch_over_packed_files(packed):
-    rows = packed.createDataFrame([(["كلمة اولى", f"كلمة رقم {i}"],) for i in range(6)], "verses array<string>")
-    one, many = neardup.corpus_counts(rows.coalesce(1)), neardup.corpus_counts(rows.repartition(6))
-    assert np.array_equal(one, many) and many.max() > 0
