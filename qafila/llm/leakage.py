@@ -67,14 +67,29 @@ class WuManber:
 
     def items_in(self, words: str | np.ndarray | None) -> set[int]:
         """The items of which a text, or the hashes of its words, holds a passage."""
+        return self.search([words])[0]
+
+    def search(self, texts: list) -> list[set[int]]:
+        """items_in for many texts. The shifts of all their blocks are looked up at once; a text without a block of shift
+        zero holds nothing."""
+        hashed = [word_hashes(t) if t is None or isinstance(t, str) else t for t in texts]
+        out: list[set[int]] = [set() for _ in texts]
+        flat = np.concatenate([*hashed, np.zeros(1, np.uint64)])
+        if len(flat) < 2 or not len(self.keys):
+            return out
+        pairs = _pairs(flat)
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        steps = np.where(self.keys[at] == pairs, self.shift[at], self.default)
+        ends = np.cumsum([len(h) for h in hashed])
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(steps == 0), "right")).tolist():
+            if i < len(hashed) and len(hashed[i]) >= self.length:
+                begin = ends[i] - len(hashed[i])
+                out[i] = self._walk(hashed[i], pairs[begin : ends[i] - 1], steps[begin : ends[i] - 1].tolist())
+        return out
+
+    def _walk(self, hashes: np.ndarray, pairs: np.ndarray, steps: list[int]) -> set[int]:
         found: set[int] = set()
-        hashes = word_hashes(words) if words is None or isinstance(words, str) else words
         n, length = len(hashes), self.length
-        if n < length or not len(self.keys):
-            return found
-        pairs = _pairs(hashes)
-        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
-        steps = np.where(self.keys[at] == pairs, self.shift[at], self.default).tolist()
         end = length - 2  # the block that ends the window
         while end < n - 1:
             if step := steps[end]:
@@ -105,8 +120,11 @@ def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]
 def _search(machine):
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def run(values: pd.Series) -> pd.Series:
-        hashed = lambda v: v if v is None or isinstance(v, str) else np.asarray(v, dtype=np.int64).view(np.uint64)
-        return values.map(lambda v: sorted(machine.value.items_in(hashed(v))))
+        texts = [v if v is None or isinstance(v, str) else np.asarray(v, dtype=np.int64).view(np.uint64) for v in values]
+        found = []
+        for i in range(0, len(texts), 256):
+            found += [sorted(x) for x in machine.value.search(texts[i : i + 256])]
+        return pd.Series(found, index=values.index)
 
     return run
 

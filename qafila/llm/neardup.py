@@ -64,10 +64,22 @@ BUCKET = 64
 WIDE, REMEMBERED = 4096, 16
 #: Features signed at a time, and signatures met at a time.
 CHUNK, MEET = 400_000, 1_000_000
-_WORD_IDS: dict[str, int] = {}
 _KEPT_WORDS = 500_000
 
 
+class _WordHashes(dict):
+    """The 64-bit hashes of words, filled as they are met and emptied when it holds too many."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) > _KEPT_WORDS:
+            self.clear()
+        self[w] = h = xxhash.xxh64_intdigest(w)
+        return h
+
+
+_WORD_HASH = _WordHashes()
+
+
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     """Another, independent hash of 64-bit hashes."""
     z = x.astype(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
@@ -76,19 +88,10 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def _word_hash(w: str) -> int:
-    h = _WORD_IDS.get(w)
-    if h is None:
-        if len(_WORD_IDS) > _KEPT_WORDS:
-            _WORD_IDS.clear()
-        h = _WORD_IDS[w] = xxhash.xxh64_intdigest(w)
-    return h
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash of each word of a text, in order."""
     ws = words(text)
-    return np.fromiter(map(_word_hash, ws), dtype=np.uint64, count=len(ws))
+    return np.fromiter(map(_WORD_HASH.__getitem__, ws), dtype=np.uint64, count=len(ws))
 
 
 def features(verses: list[str | None] | None) -> np.ndarray:
