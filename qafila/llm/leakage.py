@@ -40,6 +40,11 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] + (hashes[:-1] >> np.uint64(29)))
 
 
+def _both(tail: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """A key of a window's last and first block."""
+    return (tail * np.uint64(0xBF58476D1CE4E5B9)) ^ (head >> np.uint64(7)) ^ (head << np.uint64(57))
+
+
 class WuManber:
     """Patterns of one length over word hashes."""
 
@@ -63,6 +68,7 @@ class WuManber:
         tails = pairs[starts + length - 2] if len(starts) else np.zeros(0, np.uint64)
         order = np.argsort(tails, kind="stable")
         self.tails, self.starts = tails[order], starts[order].astype(np.int32)
+        self.both = np.unique(_both(tails, pairs[starts])) if len(starts) else np.zeros(0, np.uint64)
         self.owner = np.repeat(np.array([item for item, _ in parts], dtype=np.int64), sizes)
 
     def items_in(self, words: str | np.ndarray | None) -> set[int]:
@@ -70,8 +76,8 @@ class WuManber:
         return self.search([words])[0]
 
     def search(self, texts: list) -> list[set[int]]:
-        """items_in for many texts. The shifts of all their blocks are looked up at once; a text without a block of shift
-        zero holds nothing."""
+        """items_in for many texts. The shifts of all their blocks are looked up at once, and where they are zero whether
+        a pattern of the bucket begins as the window does; a text without such a window holds nothing."""
         hashed = [word_hashes(t) if t is None or isinstance(t, str) else t for t in texts]
         out: list[set[int]] = [set() for _ in texts]
         flat = np.concatenate([*hashed, np.zeros(1, np.uint64)])
@@ -81,7 +87,12 @@ class WuManber:
         at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
         steps = np.where(self.keys[at] == pairs, self.shift[at], self.default)
         ends = np.cumsum([len(h) for h in hashed])
-        for i in np.unique(np.searchsorted(ends, np.flatnonzero(steps == 0), "right")).tolist():
+        # windows that end in a block of shift zero and begin as a pattern of its bucket does
+        last = np.flatnonzero(steps == 0)
+        last = last[last >= self.length - 2]
+        both = _both(pairs[last], pairs[last + 2 - self.length])
+        found = np.minimum(np.searchsorted(self.both, both), len(self.both) - 1)
+        for i in np.unique(np.searchsorted(ends, last[self.both[found] == both], "right")).tolist():
             if i < len(hashed) and len(hashed[i]) >= self.length:
                 begin = ends[i] - len(hashed[i])
                 out[i] = self._walk(hashed[i], pairs[begin : ends[i] - 1], steps[begin : ends[i] - 1].tolist())
