@@ -2,7 +2,7 @@
 
 The loop runs inside one Arrow-batched function per work item, cheap checks before the judge, so a row never crosses the
 cluster between attempts. The two poem-writing tasks have a second stage: a row for every three couplets goes through the
-same loop, and one shuffle brings the chunks of a poem together. The backend is any object with chat(messages, seed) -> str; the default is a deterministic
+same loop, and one shuffle brings the chunks of a poem together. Stages keep a log if one is given (Log). The backend is any object with chat(messages, seed) -> str; the default is a deterministic
 offline one whose faults are chosen by hash, so every branch of the loop is exercised and reruns agree.
 
 A failed item is a row with its error, never a failed task; only an outage of the backend (Outage) fails the job.
@@ -17,15 +17,17 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qafila.functions import seeded
 from qafila.functions import text as X
 from qafila.operators import contracts as C
+from qafila.operators import conversations as K
 from qafila.operators import render as R
-from qafila.operators.selection import couplet_chunks, with_prompt, work_items
+from qafila.operators.selection import couplet_chunks, packed_chunks, with_prompt, work_items
+from qafila.runtime import cut
 
 #: Fewest characters of an instruction, as its prompt asks.
 MIN_INSTRUCTION = 200
@@ -44,19 +46,35 @@ def _pick(*parts: object, n: int) -> int:
 
 
 class OfflineBackend:
-    """Answers built from the request; about one first answer in five is faulty, later ones are sound."""
+    """Answers built from the request. By hash of the seed about one first answer in five breaks its contract, one in nine
+    is rejected by the judge, and one verdict in six is malformed at first; a repaired answer keeps its contract."""
 
-    def __init__(self, fault_of: int = 5) -> None:
-        self.fault_of = fault_of
+    def __init__(self, fault_of: int = 5, reject_of: int = 9, garble_of: int = 6) -> None:
+        self.fault_of, self.reject_of, self.garble_of = fault_of, reject_of, garble_of
 
     def chat(self, messages: list[dict], seed: int) -> str:
-        ask = json.loads(messages[-1]["content"]) if messages[-1]["content"].startswith("{") else {}
-        repaired = len(messages) > 2
-        if ask.get("kind") == "judge":
-            return '{"passed":true,"errors":[]}'
+        if messages[0]["content"].startswith(K.JUDGE):
+            return self._judge(seed)
+        ask, repaired = K.request_in(messages)
         if not repaired and _pick(seed, "fault", n=self.fault_of) == 0:
             return "```json\n{\"oops\": true}\n```"
-        return json.dumps(getattr(self, "_" + ask["kind"].replace("-", "_"))(ask), ensure_ascii=False)
+        return K.as_json(self.answer(ask))
+
+    def answer(self, ask: dict) -> dict:
+        return getattr(self, "_" + ask["kind"].replace("-", "_"))(ask)
+
+    def _judge(self, seed: int) -> str:
+        seed, turn = seed - JUDGE_SEED, 0
+        if seed >= JUDGE_TURN:
+            seed, turn = seed - JUDGE_TURN, 1
+        if not turn and _pick(seed, "garble", n=self.garble_of) == 0:
+            return "not a verdict"
+        if _pick(seed, "reject", n=self.reject_of) == 0:
+            return '{"passed":false,"errors":["weak"]}'
+        return '{"passed":true,"errors":[]}'
+
+    def _chunk_analysis(self, ask: dict) -> dict:
+        return {"note": f"قطعة من {len(ask['chunk'])} حرفا"}
 
     def _mcq(self, ask: dict) -> dict:
         wrong = [f"{ask['truth']} {w}" for w in ("آخر", "ثان", "ثالث")]
@@ -96,13 +114,31 @@ class OfflineBackend:
 
 @dataclass(frozen=True)
 class Task:
-    """A workflow: which rows it takes, what it asks, what it accepts. Extend by adding one to TASKS."""
+    """A workflow: which rows it takes, what it asks, what it accepts, what is known of it. Extend by adding one to TASKS."""
 
     name: str
     items: Callable[[DataFrame], DataFrame]  # work_id, sample_id, ask (JSON)
     accept: Callable[[dict, dict], object]
     max_repairs: int = 2
     chunked: bool = False  # whether reasoning over the couplets follows
+    judged: bool = True
+    estimate: str | None = None  # the column of selection.estimate that counts its requests
+    stages: tuple[str, ...] = ("sample",)  # what its log may hold
+    settings: tuple[str, ...] = ("temperature", "top_p", "max_tokens", "max_source_chars")  # what a fingerprint covers
+    metadata: tuple[str, ...] = ("poet_name", "meter_name")  # columns its records carry
+    unit: str = "poem"  # what a pilot and a benchmark count
+    fixtures: tuple[tuple[str, int], ...] = (("request", 40), ("validation", 40))  # the request mix of a benchmark
+
+    def contract(self, settings: dict) -> dict:
+        """The settings of a run that this task's answers depend on."""
+        return {"task_type": self.name} | {k: settings.get(k) for k in self.settings}
+
+    def fingerprint(self, settings: dict) -> str:
+        return hashlib.sha256(json.dumps(self.contract(settings), ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+    def trace(self) -> dict:
+        """What a run says of the task when it begins."""
+        return {"task_type": self.name, "stages": list(self.stages), "max_repairs": self.max_repairs, "settings": list(self.settings), "unit": self.unit}
 
 
 def _ask(kind: str, **columns) -> F.Column:
@@ -147,13 +183,20 @@ def _accept_chunk(value: dict, ask: dict) -> dict:
     return {"overview": overview, "verse_reasoning": blocks}
 
 
+def _accept_note(value: dict, ask: dict) -> dict:
+    C.need(value.keys() == {"note"} and isinstance(value["note"], str) and bool(value["note"].strip()), "not only a note")
+    return {"note": value["note"].strip()}
+
+
+_WRITING = {"chunked": True, "stages": ("instruction", "reasoning_chunk", "sample"), "fixtures": (("instruction", 8), ("instruction_validation", 8), ("reasoning", 32), ("reasoning_validation", 32))}
+_WRITES = ("temperature", "top_p", "max_tokens", "min_chars", "max_source_chars")
 TASKS: dict[str, Task] = {
     t.name: t
     for t in (
-        Task("poem-generation", _poem_items("poem-generation"), _accept_instruction, chunked=True),
-        Task("poem-completion", _poem_items("poem-completion"), _accept_instruction, chunked=True),
-        Task("mcq", _mcq_items, lambda v, a: C.question_candidate(v, a["question"], a["truth"])),
-        Task("poem-reconstruction", _reconstruction_items, lambda v, a: C.reconstruction_candidate(v, a["poem"].split("\n"), a["count"])),
+        Task("poem-generation", _poem_items("poem-generation"), _accept_instruction, estimate="generation", settings=(*_WRITES, "chunk_chars"), **_WRITING),
+        Task("poem-completion", _poem_items("poem-completion"), _accept_instruction, estimate="completion", settings=(*_WRITES, "prefix_policy"), **_WRITING),
+        Task("mcq", _mcq_items, lambda v, a: C.question_candidate(v, a["question"], a["truth"]), estimate="mcq", unit="question"),
+        Task("poem-reconstruction", _reconstruction_items, lambda v, a: C.reconstruction_candidate(v, a["poem"].split("\n"), a["count"]), estimate="reconstruction"),
     )
 }
 
@@ -164,59 +207,133 @@ def task(name: str) -> Task:
     return TASKS[name]
 
 
+#: Seeds of the judge lie above those of the answers, of a verdict asked for again above those.
+JUDGE_SEED, JUDGE_TURN, VERDICTS = 1 << 40, 1 << 41, 3
+_DEMONSTRATED = OfflineBackend()
+
+
+def verdict(ask: dict, candidate: object, backend: Backend, seed: int) -> list[str]:
+    """What the judge holds against a candidate, given source and candidate; asked again while its answer is no verdict."""
+    messages = K.judging(ask, candidate)
+    for turn in range(VERDICTS):
+        try:
+            told = C.object_of(backend.chat(messages, seed + JUDGE_SEED + (JUDGE_TURN if turn else 0)))
+        except C.Broken:
+            continue
+        errors = told.get("errors")
+        listed = isinstance(errors, list) and all(isinstance(e, str) and e.strip() for e in errors)
+        if told.keys() == {"passed", "errors"} and isinstance(told["passed"], bool) and listed and told["passed"] == (not errors):
+            return errors
+    raise C.Broken(f"validation response was invalid after {VERDICTS} attempts")
+
+
 def attempt(t: Task, work_id: str, ask: str, backend: Backend, **known) -> dict:
-    """One work item to the end: the accepted value or the last error, and how many attempts it took.
+    """One work item to the end: the accepted value or the last error, and how many answers it took.
 
-    What is known of the item besides its request goes to the contract, not to the backend.
+    Every answer is held against the contract first and shown to the judge only if it keeps it. What is wrong goes back
+    with the refused answer. What is known of the item besides its request goes to the contract, not to the backend.
     """
     request, seed = json.loads(ask), int(hashlib.sha256(work_id.encode()).hexdigest()[:8], 16)
-    messages, error = [{"role": "user", "content": ask}], None
+    messages = base = K.asking(request, _DEMONSTRATED.answer)
+    error = None
     for k in range(t.max_repairs + 1):
         raw = backend.chat(messages, seed + k)
         try:
             value = t.accept(C.object_of(raw), request | known)
-            judged = json.dumps({"kind": "judge", "source": request, "candidate": value}, ensure_ascii=False)
-            verdict = C.object_of(backend.chat([{"role": "user", "content": judged}], seed + 100_000))
-            C.need(verdict.get("passed") is True, "judge rejected: " + "; ".join(map(str, verdict.get("errors", []))))
-            return {"value": json.dumps(value, ensure_ascii=False), "error": None, "attempts": k + 1}
+            errors = verdict(request, value, backend, seed + k) if t.judged else []
+            if not errors:
+                return {"value": K.as_json(value), "error": None, "attempts": k + 1}
+            error = "judge rejected: " + "; ".join(errors)
         except C.Broken as e:
-            error = str(e)
-            messages = [messages[0], {"role": "assistant", "content": raw}, {"role": "user", "content": ask}]
+            errors = [error := str(e)]
+        messages = K.repairing(base, raw, errors)
     return {"value": None, "error": f"remained invalid after repairs: {error}", "attempts": t.max_repairs + 1}
 
 
-def _stage(t: Task, rows: DataFrame, backend: Backend, keep: list[str], known: tuple[str, ...] = ()) -> DataFrame:
-    """The kept columns with value, error and attempts of each row's request (column key seeds it); no request, no attempt."""
+class Log:
+    """What earlier runs accepted: key, fingerprint, value, attempts, error, at. Runs append to it stage by stage, so one
+    that is broken off is taken up where it stopped; an answer counts only under the fingerprint it was given for."""
+
+    DDL = "key string, fingerprint string, value string, attempts int, error string, at timestamp"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.DDL).parquet(self.path)
+        except Exception as e:  # no run yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], self.DDL)
+
+    def accepted(self) -> DataFrame:
+        """Of each key and fingerprint the last answer that was accepted."""
+        last = self.read().filter("error is null").groupBy("key", "fingerprint").agg(F.max_by(F.struct("value", "attempts"), "at").alias("x"))
+        return last.select("key", "fingerprint", F.col("x.value").alias("had"), F.col("x.attempts").alias("had_attempts"))
+
+    def append(self, made: DataFrame) -> None:
+        made.select("key", "fingerprint", "value", "attempts", "error", F.current_timestamp().alias("at")).write.mode("append").parquet(self.path)
+
+
+def _stage(t: Task, rows: DataFrame, backend: Backend, keep: list[str], known: tuple[str, ...] = (), log: Log | None = None, contract: str = "") -> DataFrame:
+    """The kept columns with value, error and attempts of each row's request (column key seeds it); no request, no attempt.
+
+    With a log, requests it holds an accepted answer for are not asked again, and what is new is added to it.
+    """
     made = [T.StructField("value", T.StringType()), T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType())]
+    had = ("had", "had_attempts") if log else ()
+    if log:
+        rows = rows.withColumn("fingerprint", F.sha2(F.concat_ws("|", F.lit(contract), "ask"), 256)).join(log.accepted(), ["key", "fingerprint"], "left")
+        keep = [*keep, *(c for c in ("key", "fingerprint") if c not in keep), "had"]
 
-    def one(key: str, ask: str | None, *more) -> dict:
+    def one(key: str, ask: str | None, value: str | None, attempts, *more) -> dict:
         if ask is None:
             return {"value": None, "error": None, "attempts": 0}
+        if isinstance(value, str):
+            return {"value": value, "error": None, "attempts": int(attempts)}
         return attempt(t, key, ask, backend, **dict(zip(known, more, strict=True)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [one(*row) for row in zip(*(batch[c] for c in ("key", "ask", *known)), strict=True)]
+            prior = [batch[c] for c in had] or [[None] * len(batch)] * 2
+            done = [one(*row) for row in zip(batch["key"], batch["ask"], *prior, *(batch[c] for c in known), strict=True)]
             yield pd.DataFrame({**{c: batch[c] for c in keep}, **{f.name: [x[f.name] for x in done] for f in made}})
 
-    return rows.mapInPandas(run, T.StructType([rows.schema[c] for c in keep] + made))
+    out = rows.mapInPandas(run, T.StructType([rows.schema[c] for c in keep] + made))
+    if log:  # written once, so that nothing is asked twice
+        out = cut(out)
+        log.append(out.filter("had is null and attempts > 0"))
+        out = out.drop("had", "fingerprint")
+    return out
 
 
 _REASONING = Task("reasoning-chunk", lambda rows: rows, _accept_chunk)
+_ANALYSIS = Task("chunk-analysis", lambda rows: rows, _accept_note, judged=False)
 _CHUNK = "overview string, verse_reasoning array<struct<verse_index:int," + ",".join(f"{f}:string" for f in C.BLOCK_FIELDS[1:]) + ">>"
 
 
-def _written(made: DataFrame, backend: Backend) -> DataFrame:
+def _summarised(rows: DataFrame, backend: Backend, most: int, chunk_chars: int, log: Log | None, contract: str) -> DataFrame:
+    """rows with the request of each oversized poem about the notes of its chunks, in order, instead of its text."""
+    big = rows.filter(F.length("poem_text") > most).select("work_id", F.posexplode(packed_chunks(X.couplets(F.col("verses")), chunk_chars)).alias("at", "chunk"))
+    asks = big.select("work_id", "at", F.concat_ws(":", "work_id", F.lit("note"), F.col("at").cast("string")).alias("key"), _ask("chunk-analysis", chunk=F.col("chunk")).alias("ask"))
+    noted = _stage(_ANALYSIS, asks, backend, ["work_id", "at"], log=log, contract=contract)
+    noted = noted.groupBy("work_id").agg(F.array_sort(F.collect_list(F.struct("at", F.from_json("value", "note string")["note"].alias("note")))).alias("x"))
+    notes = noted.select("work_id", F.array_join(F.transform("x", lambda e: e["note"]), "\n").alias("summary"))
+    ask = F.from_json("ask", "kind string, poem string, meter string, n int").withField("poem", F.col("summary"))
+    return rows.join(notes, "work_id", "left").withColumn("ask", F.when(F.col("summary").isNotNull(), F.to_json(ask)).otherwise(F.col("ask"))).drop("summary")
+
+
+def _written(made: DataFrame, backend: Backend, log: Log | None = None, contract: str = "", augment: Callable[[Column, Column, Column], Column] = R.completion_instruction_of) -> DataFrame:
     """Reasoning over every couplet after the provided ones, three at a time, then the response: reasoning and exact poem.
 
     A poem whose instruction failed goes through as one row without a request. What is the same for all chunks of a poem
-    travels with its first one.
+    travels with its first one. augment(instruction, lines, provided) is what is said of the couplets given away.
     """
     lines, provided = F.col("lines"), F.col("provided")
     text = F.from_json("value", "instruction string")["instruction"]
-    beginning = F.array_join(F.slice(lines, F.lit(1), provided), "\n")
     told = made.withColumn("lines", X.couplets(F.col("verses"))).withColumn("text", text)
-    told = told.withColumn("instruction", F.when(provided > 0, R.completion_instruction(F.col("text"), beginning, F.size(lines), provided)).otherwise(F.col("text")))
+    told = told.withColumn("instruction", F.when(provided > 0, augment(F.col("text"), lines, provided)).otherwise(F.col("text")))
     c = F.col("c")
     start, first = F.coalesce(c["start"], F.lit(-1)), F.coalesce(c["first"], F.lit(True))
     ask = _ask("reasoning-chunk", instruction=F.col("instruction"), meter=F.col("meter_name"), n=F.size(lines), start=c["start"] + 1, couplets=c["couplets"], before=c["before"], after=c["after"], overview=c["first"])
@@ -227,7 +344,7 @@ def _written(made: DataFrame, backend: Backend) -> DataFrame:
         F.col("attempts").alias("told_attempts"), F.col("error").alias("told_error"), once("instruction"), once("meter_name"), once("poem_text"),
     )
     same = ["work_id", "provided", "n", "told_attempts", "told_error", "instruction", "meter_name", "poem_text"]
-    done = _stage(_REASONING, rows, backend, ["sample_id", "start", *same]).withColumn("v", F.from_json("value", _CHUNK))
+    done = _stage(_REASONING, rows, backend, ["sample_id", "start", *same], log=log, contract=contract).withColumn("v", F.from_json("value", _CHUNK))
     x = F.array_sort(F.collect_list(F.struct("start", "error", "attempts", "v.overview", "v.verse_reasoning", *same)))
     whole = done.groupBy("sample_id").agg(x.alias("x")).withColumn("h", F.get("x", F.lit(0)))
     h = F.col("h")
@@ -249,30 +366,49 @@ def _written(made: DataFrame, backend: Backend) -> DataFrame:
     )
 
 
-def generate(poems: DataFrame, name: str, backend: Backend | None = None) -> DataFrame:
+def generate(poems: DataFrame, name: str, backend: Backend | None = None, log: Log | None = None, settings: dict | None = None, augment=R.completion_instruction_of) -> DataFrame:
     """work_id, sample_id, value, error, attempts of every work item of a task, and of how many stages.
 
     Poem-writing tasks also give the accepted instruction and how many couplets it gives away; their value is the response.
+    settings: of the run; max_source_chars and chunk_chars say from what length on a poem is asked about by the notes of
+    its chunks. With a log nothing is asked that it answers under the same fingerprint.
     """
-    t, backend = task(name), backend or OfflineBackend()
+    t, backend, settings = task(name), backend or OfflineBackend(), settings or {}
+    contract = t.fingerprint(settings)
     rows = t.items(poems).withColumn("key", F.col("work_id"))
     if t.chunked:
-        return _written(_stage(t, rows, backend, ["work_id", "sample_id", "meter_name", "poem_text", "verses", "provided"], known=("verses",)), backend)
-    made = _stage(t, rows, backend, ["work_id", "sample_id"])
+        if settings.get("max_source_chars") and t.name == "poem-generation":
+            rows = _summarised(rows, backend, settings["max_source_chars"], settings["chunk_chars"], log, contract)
+        told = _stage(t, rows, backend, ["work_id", "sample_id", "meter_name", "poem_text", "verses", "provided"], known=("verses",), log=log, contract=contract)
+        return _written(told, backend, log, contract, augment)
+    made = _stage(t, rows, backend, ["work_id", "sample_id"], log=log, contract=contract).select("work_id", "sample_id", "value", "error", "attempts")
     return made.withColumns({"stages": F.lit(1), "instruction": F.lit(None).cast("string"), "provided": F.lit(None).cast("int")})
 
 
-def sft_records(poems: DataFrame, name: str, backend: Backend | None = None) -> DataFrame:
-    """Trainer-facing rows of the items that succeeded."""
-    made = generate(poems, name, backend).filter("error is null")
-    rows = made.join(poems.select("sample_id", "poet_name", "meter_name", "couplet_count", "poem_text"), "sample_id")
+def oversized(poems: DataFrame, max_source_chars: int) -> DataFrame:
+    """The poems; one longer than allowed raises when the plan runs. For tasks that cannot work on notes."""
+    message = F.concat(F.lit("poem is too long: "), F.col("sample_id"))
+    return poems.filter(F.when(F.length("poem_text") > max_source_chars, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def records_of(made: DataFrame, poems: DataFrame, name: str, metadata: tuple[str, ...] = ()) -> DataFrame:
+    """Trainer-facing rows of the outcomes that succeeded, with their place in the order of work; more columns of the poems
+    may be asked for as metadata."""
+    order = F.col("first_row") if "first_row" in poems.columns else F.col("record_no") if "record_no" in poems.columns else F.lit(None)
+    more = [c for c in metadata if c not in ("poet_name", "meter_name", "couplet_count", "sample_id")]
+    about = poems.select("sample_id", "poet_name", "meter_name", "couplet_count", order.cast("bigint").alias("work_order"), *more)
     status = F.when(F.col("attempts") > F.col("stages"), "passed_after_repair").otherwise("passed")
-    return rows.select(
+    return made.filter("error is null").join(about, "sample_id").select(
         "sample_id", F.col("work_id").alias("record_id"), F.lit(name).alias("task_type"), "poet_name", "meter_name", "couplet_count", F.col("provided").alias("provided_couplet_count"), "instruction",
-        F.col("value").alias("response"), X.sft_split(F.col("sample_id")).alias("sft_split"), F.col("attempts").alias("generation_attempts"), status.alias("validation_status"),
+        F.col("value").alias("response"), X.sft_split(F.col("sample_id")).alias("sft_split"), F.col("attempts").alias("generation_attempts"), status.alias("validation_status"), "work_order", *more,
     )
 
 
+def sft_records(poems: DataFrame, name: str, backend: Backend | None = None, log: Log | None = None, settings: dict | None = None) -> DataFrame:
+    """Trainer-facing rows of the items that succeeded."""
+    return records_of(generate(poems, name, backend, log, settings), poems, name, task(name).metadata)
+
+
 def mcq_choices(poems: DataFrame, backend: Backend | None = None) -> DataFrame:
     """work_id with the four choices in seeded order."""
     made = generate(poems, "mcq", backend).filter("error is null")

@@ -117,15 +117,22 @@ def completion_instruction(instruction: Column, beginning: Column, total: Column
     return F.concat(F.regexp_replace(instruction, r"(?U)\s+$", ""), F.lit("\n\nالبداية:\n"), beginning, F.lit("\n\nأكمل "), rest, F.lit(" من "), total.cast("string"), F.lit(" بيتا."))
 
 
+def completion_instruction_of(instruction: Column, lines: Column, provided: Column) -> Column:
+    """completion_instruction from the poem's couplets and how many of them are given away."""
+    return completion_instruction(instruction, F.array_join(F.slice(lines, F.lit(1), provided), "\n"), F.size(lines), provided)
+
+
 def question_text(poem: Column, question: Column, choices: Column) -> Column:
     rendered = F.array_join(F.transform(choices, lambda c: F.concat(c["label"], F.lit(") "), c["text"])), "\n")
     return F.concat(F.lit("القصيدة:\n"), poem, F.lit("\n\nالسؤال:\n"), question, F.lit("\n\nالخيارات:\n"), rendered)
 
 
 def answer_text(approach: Column, evidence: Column, choices: Column, assessments: Column, conclusion: Column) -> Column:
-    """Assessments are a map from the normalised answer; the choice's own spelling finds it."""
+    """Assessments are a map from the answer; a choice finds its own under any case, spacing or Unicode composition."""
     right = F.get(F.filter(choices, lambda c: c["correct"]), F.lit(0))
-    each = F.transform(choices, lambda c: F.concat(F.lit("- "), c["label"], F.lit(") "), c["text"], F.lit(": "), F.coalesce(F.try_element_at(assessments, c["text"]), F.lit(""))))
+    form = lambda c: F.collate(F.regexp_replace(X.strip(c), r"(?U)\s+", " "), "UNICODE_CI")
+    of = lambda c: F.get(F.filter(F.map_entries(assessments), lambda e: form(e["key"]) == form(c["text"])), F.lit(0))["value"]
+    each = F.transform(choices, lambda c: F.concat(F.lit("- "), c["label"], F.lit(") "), c["text"], F.lit(": "), F.coalesce(of(c), F.lit(""))))
     return F.concat_ws("\n", approach, F.array_join(F.transform(evidence, lambda e: F.concat(F.lit("- "), e)), "\n"), F.array_join(each, "\n"), conclusion, F.concat(F.lit("الإجابة: "), right["label"], F.lit(") "), right["text"]))
 
 
