@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from qafila.functions import text as X
+from qafila.operators.contracts import HEADINGS
 
 SYSTEM = "أنت محرر نصوص عربية. أعد كائن JSON واحدا بالمفاتيح المطلوبة لا غير."
 JUDGE = 'أنت مراجع. أعد {"passed": true أو false, "errors": [..]} لا غير.'
@@ -28,6 +31,16 @@ RESULT = "النتيجة النهائية:"
 DUMPS = ("القصيدة:", "القصيدة النهائية:", "النص النهائي:")
 
 
+def _shot(topic: str, mood: str, count: int, meter: str) -> str:
+    """An instruction with all its headings, count and meter, long enough."""
+    parts = (topic, mood, "ألفاظ قريبة من الطبيعة والسفر", "حرف واحد في أواخر الأبيات", meter, FEET[meter] or "لا نمط", f"{meter}: {count} من غير نقل لفظ من النص، مع التدرج من الوصف إلى الخاتمة في كل وحدة")
+    return json.dumps({"instruction": "\n".join(f"{h} {x}" for h, x in zip(HEADINGS, parts, strict=True))}, ensure_ascii=False)
+
+
+#: Demonstrations of an instruction: (request, answer).
+SHOTS = (("بيتان على الرجز", _shot("وصف نهر", "هدوء", 2, "الرجز")), ("نص منثور من ثلاث وحدات", _shot("وصف ليل", "حنين", 3, "النثر")))
+
+
 def is_prose(meter: Column) -> Column:
     return meter == X.PROSE
 
@@ -59,14 +72,10 @@ def message(role: str, content: Column) -> Column:
 def instruction_messages(template: Column, meter: Column, couplets: Column, poem: Column, minimum: int) -> Column:
     """One system, two demonstrations of two, one user: six messages."""
     table = F.create_map(*(F.lit(x) for kv in TEMPLATES.items() for x in kv))
-    shots = [
-        (F.lit("بيتان على الرجز"), F.lit('{"instruction":"الموضوع العام: وصف نهر. 2 بيتان على الرجز."}')),
-        (F.lit("نص منثور من ثلاث وحدات"), F.lit('{"instruction":"الموضوع العام: وصف ليل. 3 وحدات من النثر."}')),
-    ]
     ask = F.concat_ws("\n", table[template], F.concat(F.lit("البحر: "), meter), F.concat(F.lit("عدد الأبيات: "), couplets.cast("string")), F.lit(f"الحد الأدنى: {minimum}"), form_guidance(meter), plan_heading(meter), poem)
     parts = [message("system", F.lit(SYSTEM))]
-    for q, a in shots:
-        parts += [message("user", q), message("assistant", a)]
+    for q, a in SHOTS:
+        parts += [message("user", F.lit(q)), message("assistant", F.lit(a))]
     return F.array(*parts, message("user", ask))
 
 

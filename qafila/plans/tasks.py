@@ -12,7 +12,7 @@ from qafila.operators import contracts as C
 from qafila.operators import generation as G
 from qafila.operators import render as R
 from qafila.operators.selection import couplet_chunks
-from qafila.plans.selection import P, poems
+from qafila.plans.selection import ITEMS, P, poems
 
 
 def message_arrays(spark, d):
@@ -109,6 +109,16 @@ def sft_records(spark, d):
     return out.select("record_id", "sample_id", "task_type", "sft_split", "generation_attempts", "validation_status", F.sha2("response", 256).alias("digest"))
 
 
+def generation_records(spark, d):
+    """The records of the three tasks whose outcome SQL can follow: who passed, how, and the poem a response ends with."""
+    p, out = poems(spark, d), None
+    for name in ("poem-generation", "mcq", "poem-reconstruction"):
+        tail = F.sha2(F.substring_index("response", f"{R.RESULT}\n\n", -1), 256) if G.task(name).chunked else F.lit(None).cast("string")
+        rows = G.sft_records(p, name).select("record_id", "sample_id", "task_type", "work_order", "sft_split", "generation_attempts", "validation_status", tail.alias("poem"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def mcq_choices(spark, d):
     rows = G.mcq_choices(poems(spark, d))
     right = F.get(F.filter("choices", lambda c: c["correct"]), F.lit(0))
@@ -117,7 +127,7 @@ def mcq_choices(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     message_arrays, template_choice, reasoning_prompts, repair_prompts, reasoning_render, response_render, completion_render, mcq_render, reconstruction_render,
-    instruction_contract, invalid_responses, sft_records, mcq_choices,
+    instruction_contract, invalid_responses, sft_records, generation_records, mcq_choices,
 )} | {f"outcomes_{n.replace('-', '_')}": partial(task_outcomes, name=n) for n in G.TASKS}
 
 
@@ -127,12 +137,39 @@ def _s(x: str) -> str:
 
 _FEET = "CASE meter_name " + " ".join(f"WHEN {_s(k)} THEN {_s(v)}" for k, v in R.FEET.items()) + " END"
 _ASKING = f"{_s(R.TEMPLATES['sound'])} || chr(10) || 'البحر: ' || meter_name || chr(10) || 'عدد الأبيات: ' || couplet_count || chr(10) || 'الحد الأدنى: 200' || chr(10) || CASE WHEN meter_name = 'النثر' THEN 'النص نثر: انظر في الإيقاع الداخلي.' ELSE 'كل شطر على هذا النمط: ' || {_FEET} END || chr(10) || CASE WHEN meter_name = 'النثر' THEN 'خطة عملية لصناعة نص شعري منثور:' ELSE 'خطة عملية لصناعة بيت على بحر ' || meter_name || ':' END || chr(10) || poem_text"
+_HIT = lambda x, what, n: f"(('0x' || substr(sha256(CAST({x} AS VARCHAR) || ':{what}'), 1, 8))::UBIGINT % {n} = 0)"
+_REJECTED = "remained invalid after repairs: judge rejected: weak"
+
+
+def _tried(rows: str, name: str) -> str:
+    """CTEs: of rows with a key how many answers the offline backend needs, and whether the last one is refused too."""
+    return f"""{name}_s AS (SELECT *, ('0x' || substr(sha256(key), 1, 8))::UBIGINT AS s FROM ({rows})),
+      {name}_b AS (SELECT *, {_HIT("s", "fault", 5)} OR {_HIT("s", "reject", 9)} AS b0, {_HIT("s + 1", "reject", 9)} AS b1, {_HIT("s + 2", "reject", 9)} AS b2 FROM {name}_s),
+      {name} AS (SELECT * EXCLUDE (s, b0, b1, b2), CASE WHEN NOT b0 THEN 1 WHEN NOT b1 THEN 2 ELSE 3 END AS attempts, b0 AND b1 AND b2 AS failed FROM {name}_b)"""
+
+
+_SPLIT = "CASE WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 < 98 THEN 'train' WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 = 98 THEN 'validation' ELSE 'test' END"
+_MCQ = _tried(f"SELECT 'mcq:' || sample_id || ':' || template_id AS key, sample_id, record_no FROM ({ITEMS.replace('SELECT sample_id,', 'SELECT sample_id, record_no,')}) WHERE ground_truth IS NOT NULL", "mcq")
+_RECONSTRUCTION = _tried("SELECT 'poem-reconstruction:' || sample_id AS key, sample_id, record_no FROM p WHERE couplet_count > 0", "rec")
+_GENERATION = f"""{_tried("SELECT 'poem-generation:' || sample_id AS key, * FROM p", "told")},
+    {_tried("SELECT key || ':' || i AS key, key AS work, CAST(i AS INT) AS start FROM (SELECT key, unnest(range(0, len(lines), 3)) AS i FROM told WHERE NOT failed)", "chunk")},
+    sums AS (SELECT work, sum(attempts) AS attempts, count(*) AS stages, min(start) FILTER (failed) AS broken FROM chunk GROUP BY 1),
+    gen AS (SELECT told.key, sample_id, record_no, poem_text, CAST(told.attempts + coalesce(sums.attempts, 0) AS BIGINT) AS attempts, 1 + coalesce(stages, 0) AS stages,
+        CASE WHEN told.failed THEN '{_REJECTED}' WHEN len(lines) = 0 THEN 'no couplet to reason about' WHEN broken IS NOT NULL THEN 'reasoning chunk ' || (broken + 1) || ' {_REJECTED}' END AS error
+      FROM told LEFT JOIN sums ON told.key = sums.work)"""
 _LABELS = (("المعنى", "intended_meaning"), ("الصلة بما قبله", "connection_to_previous"), ("الصورة", "imagery_and_diction"), ("صياغة أولى", "first_draft"), ("قرار المراجعة", "problem_with_first_draft"), ("الصياغة المنقحة", "revised_draft"), ("الفحص الأول", "first_hemistich_scansion"), ("الفحص الثاني", "second_hemistich_scansion"), ("القافية", "rhyme_check"))
 _BLOCKS = "array_to_string(list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN meter_name = 'النثر' THEN 'الوحدة' ELSE 'البيت' END || ' ' || i || ':' || chr(10) || " + " || chr(10) || ".join(f"'{a}: {b} ' || lines[i]" for a, b in _LABELS) + "), chr(10) || chr(10))"
 _CH = [f"'{x}) ' || meter_name || ' {i}'" for i, x in enumerate("أبجد")]
 
 SQL = {
-    "message_arrays": f"WITH {P}, m AS (SELECT sample_id, [{_s(R.SYSTEM)}, 'بيتان على الرجز', '{{\"instruction\":\"الموضوع العام: وصف نهر. 2 بيتان على الرجز.\"}}', 'نص منثور من ثلاث وحدات', '{{\"instruction\":\"الموضوع العام: وصف ليل. 3 وحدات من النثر.\"}}', {_ASKING}] AS c FROM p) SELECT sample_id, CAST(n AS INT) AS n, (['system', 'user', 'assistant', 'user', 'assistant', 'user'])[n + 1] AS role, sha256(c[n + 1]) AS digest FROM (SELECT sample_id, c, unnest(range(0, 6)) AS n FROM m)",
+    "outcomes_mcq": f"WITH {P}, {_MCQ} SELECT attempts, CASE WHEN failed THEN '{_REJECTED}' END AS error, count(*) AS n FROM mcq GROUP BY 1, 2",
+    "outcomes_poem_reconstruction": f"WITH {P}, {_RECONSTRUCTION} SELECT attempts, CASE WHEN failed THEN '{_REJECTED}' END AS error, count(*) AS n FROM rec GROUP BY 1, 2",
+    "outcomes_poem_generation": f"WITH {P}, {_GENERATION} SELECT attempts, error, count(*) AS n FROM gen GROUP BY 1, 2",
+    "generation_records": f"""WITH {P}, {_GENERATION}, {_MCQ}, {_RECONSTRUCTION},
+      r AS (SELECT key, sample_id, record_no, 'poem-generation' AS t, attempts, stages, sha256(poem_text) AS poem FROM gen WHERE error IS NULL
+        UNION ALL SELECT key, sample_id, record_no, 'mcq', attempts, 1, NULL FROM mcq WHERE NOT failed UNION ALL SELECT key, sample_id, record_no, 'poem-reconstruction', attempts, 1, NULL FROM rec WHERE NOT failed)
+      SELECT key AS record_id, sample_id, t AS task_type, record_no AS work_order, {_SPLIT} AS sft_split, CAST(attempts AS BIGINT) AS generation_attempts, CASE WHEN attempts > stages THEN 'passed_after_repair' ELSE 'passed' END AS validation_status, poem FROM r""",
+    "message_arrays": f"WITH {P}, m AS (SELECT sample_id, [{_s(R.SYSTEM)}, {', '.join(_s(x) for shot in R.SHOTS for x in shot)}, {_ASKING}] AS c FROM p) SELECT sample_id, CAST(n AS INT) AS n, (['system', 'user', 'assistant', 'user', 'assistant', 'user'])[n + 1] AS role, sha256(c[n + 1]) AS digest FROM (SELECT sample_id, c, unnest(range(0, 6)) AS n FROM m)",
     "template_choice": f"WITH {P} SELECT sample_id, ([{', '.join(_s(t) for t in R.TEMPLATES)}])[CAST(('0x' || substr(sha256('template:' || sample_id), 1, 8))::UBIGINT % {len(R.TEMPLATES)} AS BIGINT) + 1] AS template_id FROM p",
     "reasoning_prompts": f"""WITH {P}, c AS (SELECT sample_id, lines, unnest(range(0, len(lines), 3)) AS s FROM p)
         SELECT sample_id, CAST(s AS INT) AS start, 4 AS messages, sha256('الأبيات:' || chr(10) || array_to_string(lines[s + 1:s + 3], chr(10)) || CASE WHEN s > 0 THEN chr(10) || 'البيت السابق: ' || lines[s] ELSE '' END

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from qafila.operators import contracts
 from qafila.operators import curation as U
 from qafila.operators import render as R
 from qafila.sources import files
@@ -95,7 +96,9 @@ def test_compose_response(spark):
 def test_own_examples_parse(spark):
     (r,) = spark.range(1).select(R.instruction_messages(F.lit("sound"), F.lit("الرجز"), F.lit(2), F.lit("x"), 10).alias("m")).collect()
     assert [m.role for m in r.m] == ["system", "user", "assistant", "user", "assistant", "user"]
-    assert all(set(json.loads(m.content)) == {"instruction"} for m in r.m if m.role == "assistant")
+    assert [m.content for m in r.m if m.role == "assistant"] == [a for _, a in R.SHOTS]
+    for (_, answer), meter, n in zip(R.SHOTS, ("الرجز", "النثر"), (2, 3), strict=True):
+        assert contracts.instruction_errors_py(contracts.instruction_of(json.loads(answer)), meter, n, [], 200) == []
 
 
 def test_core_never_imports_the_training_data_subpackage():
