@@ -109,6 +109,21 @@ class Pool:
             return [{"endpoint_id": m.name, "hard": m.state.hard, "effective": m.state.effective, "disabled": m.state.disabled, "requests": m.state.requests, "successes": m.state.successes} for m in self.members]
 
 
+class PoolOf:
+    """A pool that is made where it is first used: it holds locks, which do not travel to workers."""
+
+    def __init__(self, members: list[tuple[str, Backend, int, float | None]], retries: int = 3) -> None:
+        self.members, self.retries, self._pool = members, retries, None
+
+    def __getstate__(self) -> dict:
+        return {"members": self.members, "retries": self.retries, "_pool": None}
+
+    def chat(self, messages: list[dict], seed: int) -> str:
+        if self._pool is None:
+            self._pool = Pool([Member(n, b, replay.Endpoint(hard=seats, effective=seats), base) for n, b, seats, base in self.members], self.retries)
+        return self._pool.chat(messages, seed)
+
+
 def load(backend: Backend, requests: list[list[dict]], workers: int, seconds: float, clock: Callable[[], float] = time.perf_counter, warm_up: float = 0.0) -> list[dict]:
     """Closed-loop load: workers take requests in turn until the time is over; one row per request begun after the
     warm-up and finished, however late."""

@@ -156,6 +156,19 @@ def append_event(event: dict, path: str, version: int | None = 3) -> None:
         os.fsync(f.fileno())
 
 
+def read_events(path: str) -> list[dict]:
+    """The events of a driver-side log; blank lines are skipped, an unreadable one raises with its 1-based number."""
+    out = []
+    with open(path, encoding="utf-8") as f:
+        for n, line in enumerate(f, 1):
+            if line.strip():
+                try:
+                    out.append(json.loads(line))
+                except json.JSONDecodeError as e:
+                    raise ValueError(f"{path}: not a JSON object in line {n}") from e
+    return out
+
+
 def _positive(text: str) -> int:
     n = int(text)
     if n < 1:

@@ -2,7 +2,7 @@ import pytest
 
 from qafila.operators import replay
 from qafila.operators.generation import Outage
-from qafila.operators.pool import Member, Pool, RequestFailed, in_order, load, share_of
+from qafila.operators.pool import Member, Pool, PoolOf, RequestFailed, in_order, load, share_of
 
 
 class Scripted:
@@ -80,3 +80,10 @@ def test_bounded_map_keeps_order():
         in_order(lambda x: Pool([]).chat([], x), [1, 2], 1)
     with pytest.raises(ValueError):
         in_order(work, [1], 0)
+
+
+def test_pool_travels_without_its_locks():
+    import pickle
+
+    p = PoolOf([("a", Scripted("x"), 1, None)])
+    assert p.chat([], 0) == "x" and pickle.loads(pickle.dumps(p)).chat([], 0) == "x"
