@@ -115,14 +115,13 @@ def provenance(events: DataFrame) -> DataFrame:
 
 def merge_provenance(current: DataFrame, prior: DataFrame) -> DataFrame:
     """Prior stages bring the union of endpoints and the maximum, not the sum, of their counters."""
-    old = prior.groupBy("sample_id").agg(
-        F.array_distinct(F.flatten(F.collect_list("endpoints"))).alias("old_endpoints"), F.max("attempts").alias("old_attempts")
-    )
+    counts = ("attempts", "failovers", "truncations")
+    old = prior.groupBy("sample_id").agg(F.array_distinct(F.flatten(F.collect_list("endpoints"))).alias("old_endpoints"), *(F.max(c).alias(f"old_{c}") for c in counts))
     empty = F.array().cast("array<string>")
     return current.join(old, "sample_id", "left").select(
         "sample_id",
         F.array_sort(F.array_union("endpoints", F.coalesce("old_endpoints", empty))).alias("endpoints"),
-        (F.col("attempts") + F.coalesce("old_attempts", F.lit(0))).alias("attempts"),
+        *((F.col(c) + F.coalesce(f"old_{c}", F.lit(0))).alias(c) for c in counts),
     )
 
 

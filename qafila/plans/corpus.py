@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from qafila.functions import text as X
 from qafila.operators import canonical as C
 from qafila.operators import curation as U
-from qafila.runtime import table
+from qafila.runtime import scratch_path, table
+from qafila.sources import files
 
 PLACE = "حصن الرمان"
 #: Terms of the biography search; the poets' verses stand in for biographies, as poem_source has none.
@@ -172,9 +173,11 @@ def value_counts_with_null(spark, d):
 
 
 def split_concat(spark, d):
-    """One table per split, told apart by a literal column and concatenated."""
-    s = source(spark, d).select("row_idx")
-    return s.filter("row_idx % 2 = 0").withColumn("split", F.lit("even")).unionByName(s.filter("row_idx % 2 = 1").withColumn("split", F.lit("odd")))
+    """One file set per split, read back told apart by a column and concatenated."""
+    paths = {name: scratch_path(spark, name) for name in ("even", "odd")}
+    for name, path in paths.items():
+        source(spark, d).filter(f"row_idx % 2 = {0 if name == 'even' else 1}").select("row_idx", "poem_verses").write.parquet(path)
+    return files.read_splits(spark, paths).select("row_idx", F.size("poem_verses").cast("bigint").alias("n"), "split")
 
 
 def preview(spark, d):
@@ -254,7 +257,7 @@ SQL = {
     "url_checks": "SELECT count(*) FILTER (regexp_matches(poem_url, '^https?://')) AS good, count(*) FILTER (trim(poem_url) = '') AS blank, count(row_idx) = count(DISTINCT row_idx) AS ids_unique FROM poem_source",
     "meter_distribution": f"SELECT {METER_LIST}[poem_meter + 1] AS meter_name, count(*) AS n, round_even(count(*) * 100 / sum(count(*)) OVER (), 2) AS percent FROM poem_source WHERE {CLASSIC} GROUP BY 1",
     "value_counts_with_null": "SELECT poem_language_type, count(*) AS n FROM poem_source GROUP BY 1",
-    "split_concat": "SELECT row_idx, CASE WHEN row_idx % 2 = 0 THEN 'even' ELSE 'odd' END AS split FROM poem_source",
+    "split_concat": "SELECT row_idx, CAST(len(poem_verses) AS BIGINT) AS n, CASE WHEN row_idx % 2 = 0 THEN 'even' ELSE 'odd' END AS split FROM poem_source",
     "preview": "SELECT row_idx, poet_name, poet_era FROM poem_source ORDER BY row_idx LIMIT 5",
     "authors_sorted": "SELECT DISTINCT poet_name FROM poem_source ORDER BY poet_name",
 }

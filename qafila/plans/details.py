@@ -43,7 +43,7 @@ def code_fences(spark, d):
 
 
 def instruction_fingerprints(spark, d):
-    i = table(spark, d, "documents").filter("kind = 'instruction' and text is not null")
+    i = table(spark, d, "documents").filter("text is not null")
     return i.select("doc_id", F.sha2(F.concat_ws("\x1f", F.lit("g1"), "source", "text"), 256).alias("fingerprint"))
 
 
@@ -80,8 +80,8 @@ def settings_match(spark, d):
 
 def reuse_defaults(spark, d):
     """Missing endpoints and counters of reused records filled."""
-    e = M.once(spark, d).filter("request_kind = 'mcq'")
-    return e.select("event_id", F.coalesce("endpoint_id", F.lit("checkpoint_legacy")).alias("endpoint_id"), F.coalesce("prompt_tokens", F.lit(0)).alias("prompt_tokens"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return M.once(spark, d).select("event_id", F.coalesce("endpoint_id", F.lit("checkpoint_legacy")).alias("endpoint_id"), zero("prompt_tokens"), zero("completion_tokens"))
 
 
 def endpoint_pick(spark, d):
@@ -148,16 +148,17 @@ SQL = {
     "stripped_marks": "SELECT doc_id, sha256(translate(regexp_replace(text, '[\\x{610}-\\x{61a}\\x{64b}-\\x{65f}\\x{670}\\x{6d6}-\\x{6ed}\\x{640}]', '', 'g'), 'أإآٱ', 'اااا')) AS digest FROM documents WHERE text IS NOT NULL",
     "choice_labels": "WITH q AS (SELECT prompt_id, CASE WHEN prompt_id LIKE '%1' THEN 'أ) ' WHEN prompt_id LIKE '%2' THEN ' (ب. ' ELSE '' END || ground_truth AS a FROM mcq_items) SELECT prompt_id, count(*) FILTER (regexp_matches(a, '^\\s*[\\(\\[]?[أبجد][\\)\\]\\-.:：]')) AS labelled, count(*) AS n FROM q GROUP BY 1",
     "code_fences": f"""WITH {_ONCE} SELECT event_id, '{{"k":' || event_id || '}}' AS clean FROM e""",
-    "instruction_fingerprints": "SELECT doc_id, sha256(concat_ws(chr(31), 'g1', source, text)) AS fingerprint FROM documents WHERE kind = 'instruction' AND text IS NOT NULL",
+    "instruction_fingerprints": "SELECT doc_id, sha256(concat_ws(chr(31), 'g1', source, text)) AS fingerprint FROM documents WHERE text IS NOT NULL",
     "poem_containment": f"WITH {P} SELECT contains(text, poem_text) OR contains(text, replace(poem_text, chr(10), '\\n')) AS whole, count(*) AS n FROM documents d JOIN p ON d.sample_id = p.sample_id WHERE text IS NOT NULL GROUP BY 1",
     "chunk_summary": f"{PACK} SELECT k.sample_id, string_agg(chunk_no || ': ' || length(chunk), '; ' ORDER BY chunk_no) AS summary FROM packed k JOIN p ON k.sample_id = p.sample_id WHERE length(p.poem_text) > {OVERSIZE} GROUP BY 1",
     "review_decisions": f"WITH {_LOG} SELECT a.sample_id, won.x.s % 2 = 0 AS approved, CASE WHEN won.x.s % 2 = 0 THEN 'ok' ELSE '' END AS notes FROM (SELECT DISTINCT sample_id FROM probe_poems) a LEFT JOIN won ON a.sample_id = won.sample_id",
     "settings_match": f"WITH {_ONCE}, u AS (SELECT settings_id, count(*) AS uses FROM e GROUP BY 1), h AS (SELECT settings_id, count(*) AS n FROM generation_settings GROUP BY 1) SELECT coalesce(u.settings_id, h.settings_id) AS settings_id, coalesce(uses, 0) AS uses, coalesce(n, 0) = 1 AS configured_once FROM u FULL JOIN h ON u.settings_id = h.settings_id",
-    "reuse_defaults": f"WITH {_ONCE} SELECT event_id, coalesce(endpoint_id, 'checkpoint_legacy') AS endpoint_id, coalesce(prompt_tokens, 0) AS prompt_tokens FROM e WHERE request_kind = 'mcq'",
+    "reuse_defaults": f"WITH {_ONCE} SELECT event_id, coalesce(endpoint_id, 'checkpoint_legacy') AS endpoint_id, coalesce(prompt_tokens, 0) AS prompt_tokens, coalesce(completion_tokens, 0) AS completion_tokens FROM e",
     "endpoint_pick": f"WITH {_ONCE}, s AS (SELECT endpoint_id, count(*) FILTER (status <> 'ok') % 8 AS f FROM e WHERE endpoint_id IS NOT NULL GROUP BY 1) SELECT endpoint_id FROM s ORDER BY f / 8, (CAST(right(endpoint_id, 1) AS INT) - 2 + 3) % 3 LIMIT 1",
     "matching_events": f"WITH {_ONCE} SELECT concat_ws('|', endpoint_id, request_kind) AS key, max(event_id) AS event_id, arg_max(status, event_id) AS status FROM e WHERE settings_id = 3 GROUP BY 1",
     "retry_waits": f"WITH {_ONCE} SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(event_id % 90 AS DOUBLE) WHEN 1 THEN 20.0 END AS wait FROM e WHERE status = 'retryable'",
     "iso_stamps": f"WITH {_ONCE} SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp, substr(sample_id, 1, 24) AS preview FROM e",
+    "answer_forms": "SELECT DISTINCT work_id, regexp_replace(regexp_replace(lower(nfc_normalize(upper(ground_truth) || '  X')), '[\\s\\p{Z}]+', ' ', 'g'), '^ ', '') AS answer FROM mcq_items",
     "duplicate_items": "SELECT work_id, count(*) AS n, count(DISTINCT ground_truth) AS values FROM mcq_items GROUP BY 1 HAVING count(*) > 1",
     "tokens_by_setting": f"WITH {_ONCE} SELECT model, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, count(*) AS n FROM e JOIN generation_settings s ON e.settings_id = s.settings_id GROUP BY 1",
     "daily_lateness": f"WITH {_ONCE} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) FILTER (epoch(arrived_at) - epoch(ts) > 3600) AS late, round(max(epoch(arrived_at) - epoch(ts)), 3) AS latest, coalesce(quantile_disc(elapsed_seconds, 0.95), 0) AS p95 FROM e GROUP BY 1",

@@ -92,6 +92,12 @@ def three_couplet_chunks(spark, d):
     )
 
 
+def offset_chunks(spark, d):
+    """Three-couplet chunks of what comes after the first couplets, as many as the record number says."""
+    p = poems(spark, d).select("sample_id", F.explode(S.couplet_chunks(X.couplets(F.col("verses")), (F.col("record_no") % 4).cast("int"))).alias("c"))
+    return p.select("sample_id", "c.start", F.size("c.couplets").alias("n"), F.sha2(F.concat_ws("|", "c.before", "c.after"), 256).alias("neighbours"), "c.first")
+
+
 def packed_chunks(spark, d):
     rows = poems(spark, d).select("sample_id", F.posexplode(S.packed_chunks(X.couplets(F.col("verses")), CHUNK)).alias("pos", "chunk"))
     return rows.select("sample_id", (F.col("pos") + 1).alias("chunk_no"), F.length("chunk").cast("bigint").alias("n_chars"), F.sha2("chunk", 256).alias("digest"))
@@ -165,7 +171,7 @@ def field_hiding(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     latest_records, couplet_cap, cap_then_limit, oversize_guard, completion_eligible, selected_ids, mcq_work_items, mcq_prompts, corruption_counts, request_seeds,
-    completion_prefix, estimate_work, spt_schedule, couplet_explode, three_couplet_chunks, packed_chunks, contiguous_indices, pilot_strata, pilot_selection, pilot_shortfall,
+    completion_prefix, estimate_work, spt_schedule, couplet_explode, three_couplet_chunks, offset_chunks, packed_chunks, contiguous_indices, pilot_strata, pilot_selection, pilot_shortfall,
     fixture_choices, fixture_mix, levels, field_hiding, 
 )}
 
@@ -208,6 +214,7 @@ SQL = {
     "spt_schedule": f"{ESTIMATE} SELECT sample_id, generation, row_number() OVER (ORDER BY generation, sample_id) AS rank FROM est",
     "couplet_explode": f"WITH {P} SELECT sample_id, CAST(n AS INT) AS couplet_no, sha256(lines[n]) AS digest FROM (SELECT sample_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM p)",
     "three_couplet_chunks": f"WITH {P} SELECT sample_id, CAST(s AS INT) AS start, CAST(least(3, len(lines) - s) AS INT) AS n, CASE WHEN s > 0 THEN lines[s] END AS before, CASE WHEN s + 4 <= len(lines) THEN lines[s + 4] END AS after FROM (SELECT sample_id, lines, unnest(range(0, len(lines), 3)) AS s FROM p)",
+    "offset_chunks": f"WITH {P}, c AS (SELECT sample_id, lines, record_no % 4 AS o, unnest(range(record_no % 4, len(lines), 3)) AS s FROM p) SELECT sample_id, CAST(s AS INT) AS start, CAST(least(3, len(lines) - s) AS INT) AS n, sha256(concat_ws('|', CASE WHEN s > 0 THEN lines[s] END, CASE WHEN s + 4 <= len(lines) THEN lines[s + 4] END)) AS neighbours, s = o AS first FROM c",
     "packed_chunks": f"{PACK} SELECT sample_id, CAST(chunk_no AS INT) AS chunk_no, length(chunk) AS n_chars, sha256(chunk) AS digest FROM packed",
     "contiguous_indices": f"WITH {P} SELECT sample_id, true AS contiguous FROM p WHERE couplet_count > 0",
     "pilot_strata": f"WITH {P} SELECT {_STRATUM} AS stratum, count(*) AS n FROM p GROUP BY 1",

@@ -10,9 +10,11 @@ from qafila.functions import seeded
 from qafila.functions import text as X
 from qafila.operators import contracts as C
 from qafila.operators import generation as G
+from qafila.operators import outputs as O
 from qafila.operators import render as R
 from qafila.operators.selection import couplet_chunks
 from qafila.plans.selection import ITEMS, P, poems
+from qafila.runtime import cut
 
 
 def message_arrays(spark, d):
@@ -102,7 +104,7 @@ def task_outcomes(spark, d, name):
 
 
 def sft_records(spark, d):
-    p, out = poems(spark, d), None
+    p, out = cut(poems(spark, d)), None
     for name in G.TASKS:
         rows = G.sft_records(p, name)
         out = rows if out is None else out.unionByName(rows)
@@ -111,7 +113,7 @@ def sft_records(spark, d):
 
 def generation_records(spark, d):
     """The records of the three tasks whose outcome SQL can follow: who passed, how, and the poem a response ends with."""
-    p, out = poems(spark, d), None
+    p, out = cut(poems(spark, d)), None
     for name in ("poem-generation", "mcq", "poem-reconstruction"):
         tail = F.sha2(F.substring_index("response", f"{R.RESULT}\n\n", -1), 256) if G.task(name).chunked else F.lit(None).cast("string")
         rows = G.sft_records(p, name).select("record_id", "sample_id", "task_type", "work_order", "sft_split", "generation_attempts", "validation_status", tail.alias("poem"))
@@ -119,6 +121,17 @@ def generation_records(spark, d):
     return out
 
 
+def run_counters(spark, d):
+    """How often each value of each dimension occurs among the records of the same three tasks, and why others failed."""
+    p, out = cut(poems(spark, d)), None
+    for name in ("poem-generation", "mcq", "poem-reconstruction"):
+        made = cut(G.generate(p, name))
+        for rows in (O.with_dimensions(G.records_of(made, p, name)), O.failures_of(made)):
+            c = O.counters(rows)
+            out = c if out is None else out.unionByName(c)
+    return out.groupBy("dim", "value").agg(F.sum("n").alias("n"))
+
+
 def mcq_choices(spark, d):
     rows = G.mcq_choices(poems(spark, d))
     right = F.get(F.filter("choices", lambda c: c["correct"]), F.lit(0))
@@ -127,7 +140,7 @@ def mcq_choices(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     message_arrays, template_choice, reasoning_prompts, repair_prompts, reasoning_render, response_render, completion_render, mcq_render, reconstruction_render,
-    instruction_contract, invalid_responses, sft_records, generation_records, mcq_choices,
+    instruction_contract, invalid_responses, sft_records, generation_records, run_counters, mcq_choices,
 )} | {f"outcomes_{n.replace('-', '_')}": partial(task_outcomes, name=n) for n in G.TASKS}
 
 
@@ -169,6 +182,17 @@ SQL = {
       r AS (SELECT key, sample_id, record_no, 'poem-generation' AS t, attempts, stages, sha256(poem_text) AS poem FROM gen WHERE error IS NULL
         UNION ALL SELECT key, sample_id, record_no, 'mcq', attempts, 1, NULL FROM mcq WHERE NOT failed UNION ALL SELECT key, sample_id, record_no, 'poem-reconstruction', attempts, 1, NULL FROM rec WHERE NOT failed)
       SELECT key AS record_id, sample_id, t AS task_type, record_no AS work_order, {_SPLIT} AS sft_split, CAST(attempts AS BIGINT) AS generation_attempts, CASE WHEN attempts > stages THEN 'passed_after_repair' ELSE 'passed' END AS validation_status, poem FROM r""",
+    "run_counters": f"""WITH {P}, {_GENERATION}, {_MCQ}, {_RECONSTRUCTION},
+      r AS (SELECT key, sample_id, 'poem-generation' AS t, attempts > stages AS again FROM gen WHERE error IS NULL UNION ALL SELECT key, sample_id, 'mcq', attempts > 1 FROM mcq WHERE NOT failed UNION ALL SELECT key, sample_id, 'poem-reconstruction', attempts > 1 FROM rec WHERE NOT failed),
+      x AS (SELECT r.*, meter_name, couplet_count, CASE WHEN t = 'mcq' THEN split_part(key, ':', 3) END AS template FROM r JOIN p USING (sample_id)),
+      lost AS (SELECT error FROM gen WHERE error IS NOT NULL UNION ALL SELECT '{_REJECTED}' FROM mcq WHERE failed UNION ALL SELECT '{_REJECTED}' FROM rec WHERE failed),
+      m AS (SELECT 'task_type' AS dim, t AS value FROM x UNION ALL SELECT 'sft_split', {_SPLIT} FROM x UNION ALL SELECT 'template_id', template FROM x
+        UNION ALL SELECT 'metadata_field', CASE template WHEN 'poem_meter' THEN 'meter_name' ELSE template END FROM x UNION ALL SELECT 'meter_name', meter_name FROM x
+        UNION ALL SELECT 'corruption_count', CAST(('0x' || substr(sha256('reconstruction-count:' || sample_id), 1, 16))::UBIGINT % least(3, couplet_count) + 1 AS VARCHAR) FROM x WHERE t = 'poem-reconstruction'
+        UNION ALL SELECT 'validation_status', CASE WHEN again THEN 'passed_after_repair' ELSE 'passed' END FROM x
+        UNION ALL SELECT 'failure_category', CASE WHEN contains(error, 'rejected') THEN 'semantic_rejection' ELSE 'generation_error' END FROM lost)
+      SELECT dim, value, count(*) AS n FROM m WHERE value IS NOT NULL GROUP BY 1, 2""",
+    "invalid_responses": f"WITH {P} SELECT false AS ok, CASE couplet_count % 3 WHEN 0 THEN 'wrong keys' WHEN 1 THEN 'no JSON object' ELSE 'no question' END AS error, count(*) AS n FROM p GROUP BY 1, 2",
     "message_arrays": f"WITH {P}, m AS (SELECT sample_id, [{_s(R.SYSTEM)}, {', '.join(_s(x) for shot in R.SHOTS for x in shot)}, {_ASKING}] AS c FROM p) SELECT sample_id, CAST(n AS INT) AS n, (['system', 'user', 'assistant', 'user', 'assistant', 'user'])[n + 1] AS role, sha256(c[n + 1]) AS digest FROM (SELECT sample_id, c, unnest(range(0, 6)) AS n FROM m)",
     "template_choice": f"WITH {P} SELECT sample_id, ([{', '.join(_s(t) for t in R.TEMPLATES)}])[CAST(('0x' || substr(sha256('template:' || sample_id), 1, 8))::UBIGINT % {len(R.TEMPLATES)} AS BIGINT) + 1] AS template_id FROM p",
     "reasoning_prompts": f"""WITH {P}, c AS (SELECT sample_id, lines, unnest(range(0, len(lines), 3)) AS s FROM p)

@@ -72,13 +72,18 @@ def pool_snapshot(spark, d):
 
 
 def progress_rates(spark, d):
-    """Running totals by day; the window runs over one row a day."""
+    """Running totals by day, how much remains, and how many days that takes at the pace so far (null before any); the
+    window runs over one row a day."""
     day = once(spark, d).groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count_if(F.col("status") == "ok").alias("ok"), F.count("*").alias("n"))
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    rows = day.select(
-        "day", F.sum("ok").over(w).alias("done"), F.sum("n").over(w).alias("seen"), F.sum("n").over(Window.partitionBy()).alias("all")
+    whole = Window.partitionBy()
+    rows = day.select("day", F.sum("ok").over(w).alias("done"), F.sum("n").over(w).alias("seen"), F.sum("n").over(whole).alias("all"), F.min("day").over(whole).alias("first"))
+    days = F.datediff(F.col("day").cast("date"), F.col("first").cast("date")) + 1
+    pace = F.col("done") / days
+    return rows.select(
+        "day", "done", "seen", F.round(F.when(F.col("seen") > 0, (F.col("all") - F.col("seen")) / F.col("seen")), 9).alias("left_ratio"),
+        F.round(F.col("seen") - F.col("done"), 0).cast("bigint").alias("lost"), F.round(pace / 24, 9).alias("per_hour"), F.round(F.when(pace > 0, (F.col("all") - F.col("done")) / pace), 6).alias("eta_days"),
     )
-    return rows.select("day", "done", "seen", F.round(F.when(F.col("seen") > 0, (F.col("all") - F.col("seen")) / F.col("seen")), 9).alias("left_ratio"))
 
 
 def trailing_p95(spark, d):
@@ -94,7 +99,25 @@ def provenance_merge(spark, d):
     e = once(spark, d)
     current = E.provenance(e.filter("request_kind = 'reasoning'"))
     prior = E.provenance(e.filter("request_kind = 'instruction'")).unionByName(E.provenance(e.filter("request_kind = 'validation'")))
-    return E.merge_provenance(current, prior).select("sample_id", F.array_join("endpoints", ",").alias("endpoints"), "attempts")
+    return E.merge_provenance(current, prior).select("sample_id", F.array_join("endpoints", ",").alias("endpoints"), "attempts", "failovers", "truncations")
+
+
+def workload_kinds(spark, d):
+    """Of each endpoint and request kind the latency and the models that answered."""
+    e, keys = once(spark, d), ["endpoint_id", "request_kind"]
+    models = F.array_join(F.array_sort(F.collect_set("model")), ",")
+    settings = table(spark, d, "generation_settings").select("settings_id", "model")
+    rows = e.join(settings, "settings_id", "left").groupBy(*keys).agg(F.count("*").alias("requests"), models.alias("models"))
+    return E.with_percentiles(rows, e, keys, "elapsed_seconds", {"p95": 0.95})
+
+
+def review_kinds(spark, d):
+    """Five of each request kind by sample, those asked more than once first, topped up to thirty."""
+    from qafila.operators.pilot import review
+
+    done = once(spark, d).filter("endpoint_id is not null").groupBy("sample_id", "request_kind").agg(F.count("*").alias("attempts"), F.bool_or(F.col("status") == "ok").alias("done")).filter("done")
+    status = F.when(F.col("attempts") > 1, "passed_after_repair").otherwise("passed")
+    return review(done.select(F.concat_ws(":", "request_kind", "sample_id").alias("record_id"), "request_kind", status.alias("validation_status")), "request_kind", 5)
 
 
 def token_agreement(spark, d):
@@ -204,11 +227,16 @@ def manifest_totals(spark, d):
 def pilot_gates(spark, d):
     p = E.provenance(once(spark, d)).join(_poems(spark, d).select("sample_id"), "sample_id", "left_semi")
     rows = p.agg(F.count("*").alias("done"), F.count_if(F.col("attempts") > 2).alias("repaired"), F.coalesce(F.sum("truncations"), F.lit(0)).alias("truncated"))
-    return rows.select("done", "repaired", "truncated", (F.col("repaired") <= F.floor(F.col("done") / 4)).alias("repaired_ok"), (F.col("truncated") == 0).alias("truncated_ok"))
+    asked = once(spark, d).filter("endpoint_id is not null").select("sample_id", "request_kind").distinct().join(_poems(spark, d).select("sample_id"), "sample_id", "left_semi").agg(F.count_distinct("sample_id").alias("asked"))
+    rows = rows.join(asked, F.lit(True)).withColumn("success_rate", F.round(F.col("done") / F.col("asked"), 9))  # one row each
+    return rows.select("done", "success_rate", (F.col("success_rate") >= 0.98).alias("success_ok"), "repaired", "truncated", (F.col("repaired") <= F.floor(F.col("done") / 4)).alias("repaired_ok"), (F.col("truncated") == 0).alias("truncated_ok"))
 
 
 def throughput(spark, d):
-    return once(spark, d).agg(F.round(F.count_if(F.col("status") == "ok") / (60.0 * 60) * 3600, 6).alias("per_hour"), F.round(F.sum("completion_tokens") / 3600.0 * 3600, 3).alias("tokens_per_hour"))
+    """Successes and tokens an hour, from the first to the last request."""
+    seconds = F.greatest(F.lit(1e-6), F.max("ts").cast("timestamp").cast("double") - F.min("ts").cast("timestamp").cast("double"))
+    rows = once(spark, d).agg(F.count_if(F.col("status") == "ok").alias("ok"), F.sum("completion_tokens").alias("tokens"), seconds.alias("s"))
+    return rows.select(F.round(F.col("ok") / F.col("s") * 3600, 6).alias("per_hour"), F.round(F.col("tokens") / F.col("s") * 3600, 3).alias("tokens_per_hour"))
 
 
 def review_sample(spark, d):
@@ -237,7 +265,7 @@ def _raw_verdict():
 
 QUERIES = {f.__name__: f for f in (
     delivered_once, workload_summary, latency_percentiles, capacity_selection, selected_level, combined_certification, pool_snapshot, progress_rates, trailing_p95,
-    sample_provenance, provenance_merge, token_agreement, metrics_text, error_classes, failure_categories, request_summary, redacted_events, checkpoint_successes,
+    sample_provenance, provenance_merge, workload_kinds, review_kinds, token_agreement, metrics_text, error_classes, failure_categories, request_summary, redacted_events, checkpoint_successes,
     checkpoint_failures, checkpoint_instructions, resume_chunks, pending_items, reusable_successes, failures_sorted, endpoint_fold, manifest_counts, manifest_totals,
     pilot_gates, throughput, review_sample, verdict_parse,
 )}
@@ -257,6 +285,11 @@ _MSG = "(['validator_format', 'source_copy', 'semantic_rejection', 'deterministi
 _CODE = "CASE WHEN event_id % 3 = 1 THEN ([400, 401, 403, 408, 429, 500, 503])[event_id % 7 + 1] END"
 
 SQL = {
+    "workload_kinds": f"WITH {ONCE} SELECT endpoint_id, request_kind, count(*) AS requests, coalesce(string_agg(DISTINCT model, ',' ORDER BY model), '') AS models, coalesce(quantile_disc(elapsed_seconds, 0.95), 0) AS p95 FROM e LEFT JOIN generation_settings s ON e.settings_id = s.settings_id GROUP BY 1, 2",
+    "review_kinds": f"""WITH {ONCE}, g AS (SELECT request_kind || ':' || sample_id AS record_id, request_kind AS grp, count(*) = 1 AS later FROM e WHERE endpoint_id IS NOT NULL AND sample_id IS NOT NULL AND request_kind IS NOT NULL GROUP BY sample_id, request_kind HAVING bool_or(status = 'ok')),
+        f AS (SELECT record_id, grp FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY later, record_id) AS r FROM g) WHERE r <= 5),
+        t AS (SELECT record_id, 'top-up' AS grp FROM g WHERE record_id NOT IN (SELECT record_id FROM f) ORDER BY record_id LIMIT 30)
+        SELECT record_id, grp FROM (SELECT *, 0 AS o FROM f UNION ALL SELECT *, 1 FROM t) ORDER BY o, record_id LIMIT 30""",
     "delivered_once": f"WITH {ONCE} SELECT event_id, sample_id, status, CAST(arrived_at AS VARCHAR) AS arrived FROM e",
     "workload_summary": f"WITH {WORK} SELECT endpoint_id, settings_id, requests, successes, retryable_errors, nonretryable_errors, truncations, CAST(prompt_tokens AS BIGINT) AS prompt_tokens, CAST(completion_tokens AS BIGINT) AS completion_tokens, p50, p95, nonretryable_errors = 0 AND retryable_errors / requests <= 0.005 AND p95 < {TIMEOUT / 2} AS safe, round(rps, 12) AS rps FROM w",
     "latency_percentiles": f"WITH {ONCE} SELECT endpoint_id, request_kind, round(coalesce(quantile_disc(elapsed_seconds, 0.95), 0), 6) AS p95, count(elapsed_seconds) AS n FROM e WHERE status = 'ok' GROUP BY 1, 2",
@@ -264,12 +297,12 @@ SQL = {
     "selected_level": f"WITH {LEVELS} SELECT l.endpoint_id, settings_id, requests, p95 FROM l JOIN c ON l.endpoint_id = c.endpoint_id AND settings_id = selected",
     "combined_certification": f"WITH {PER}, t AS (SELECT sum(rps) AS predicted, max(rps) AS best, sum(successes) AS s, sum(requests) AS r, max(seconds) AS secs FROM w), x AS (SELECT round(s / secs / predicted, 9) AS efficiency, round(s / secs / best, 9) AS speedup, round(1 - s / r, 9) AS error_rate FROM t) SELECT *, efficiency >= 0.9 AND speedup >= 2.5 AND error_rate <= 0.005 AS certified FROM x",
     "pool_snapshot": f"WITH {PER} SELECT CAST(sum(32) AS BIGINT) AS total_hard, CAST(coalesce(sum(32) FILTER (nonretryable_errors < 12), 0) AS BIGINT) AS total_effective FROM w",
-    "progress_rates": f"WITH {ONCE}, dd AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) FILTER (status = 'ok') AS ok, count(*) AS n FROM e GROUP BY 1), r AS (SELECT day, sum(ok) OVER w AS done, sum(n) OVER w AS seen, sum(n) OVER () AS total FROM dd WINDOW w AS (ORDER BY day)) SELECT day, CAST(done AS BIGINT) AS done, CAST(seen AS BIGINT) AS seen, round((total - seen) / seen, 9) AS left_ratio FROM r",
+    "progress_rates": f"WITH {ONCE}, dd AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) FILTER (status = 'ok') AS ok, count(*) AS n FROM e GROUP BY 1), r AS (SELECT day, sum(ok) OVER w AS done, sum(n) OVER w AS seen, sum(n) OVER () AS total, min(day) OVER () AS first FROM dd WINDOW w AS (ORDER BY day)), q AS (SELECT *, done / (date_diff('day', CAST(first AS DATE), CAST(day AS DATE)) + 1) AS pace FROM r) SELECT day, CAST(done AS BIGINT) AS done, CAST(seen AS BIGINT) AS seen, round((total - seen) / seen, 9) AS left_ratio, CAST(seen - done AS BIGINT) AS lost, round(pace / 24, 9) AS per_hour, CASE WHEN pace > 0 THEN round((total - done) / pace, 6) END AS eta_days FROM q",
     "trailing_p95": f"""WITH {ONCE}, ok AS (SELECT event_id, endpoint_id, request_kind, epoch(ts) AS t, elapsed_seconds AS x FROM e WHERE status = 'ok' AND endpoint_id IS NOT NULL AND elapsed_seconds IS NOT NULL),
         r AS (SELECT a.event_id, count(*) AS n_recent, list_sort(list(b.x)) AS xs FROM ok a JOIN ok b ON a.endpoint_id = b.endpoint_id AND a.request_kind = b.request_kind AND b.t BETWEEN a.t - {SPAN_S} AND a.t GROUP BY 1)
         SELECT event_id, n_recent, xs[least(n_recent, CAST(ceil(0.95 * n_recent) AS BIGINT))] AS percentile FROM r WHERE n_recent >= 5""",
     "sample_provenance": f"WITH {ONCE}, {PROV('true', 'p')} SELECT sample_id, array_to_string(eps, ',') AS endpoints, attempts, failovers, truncations FROM p",
-    "provenance_merge": f"WITH {ONCE}, {PROV("request_kind = 'reasoning'", 'c')}, {PROV("request_kind = 'instruction'", 'i')}, {PROV("request_kind = 'validation'", 'v')}, o AS (SELECT sample_id, flatten(list(eps)) AS eps, max(attempts) AS attempts FROM (SELECT * FROM i UNION ALL SELECT * FROM v) GROUP BY 1) SELECT c.sample_id, array_to_string(list_sort(list_distinct(list_concat(c.eps, coalesce(o.eps, [])))), ',') AS endpoints, c.attempts + coalesce(o.attempts, 0) AS attempts FROM c LEFT JOIN o ON c.sample_id = o.sample_id",
+    "provenance_merge": f"WITH {ONCE}, {PROV("request_kind = 'reasoning'", 'c')}, {PROV("request_kind = 'instruction'", 'i')}, {PROV("request_kind = 'validation'", 'v')}, o AS (SELECT sample_id, flatten(list(eps)) AS eps, max(attempts) AS attempts, max(failovers) AS failovers, max(truncations) AS truncations FROM (SELECT * FROM i UNION ALL SELECT * FROM v) GROUP BY 1) SELECT c.sample_id, array_to_string(list_sort(list_distinct(list_concat(c.eps, coalesce(o.eps, [])))), ',') AS endpoints, c.attempts + coalesce(o.attempts, 0) AS attempts, c.failovers + coalesce(o.failovers, 0) AS failovers, c.truncations + coalesce(o.truncations, 0) AS truncations FROM c LEFT JOIN o ON c.sample_id = o.sample_id",
     "token_agreement": f"WITH {ONCE} SELECT sample_id, CASE WHEN count(DISTINCT endpoint_id) = 3 THEN count(DISTINCT prompt_tokens) = 1 END AS agree FROM e WHERE status = 'ok' AND endpoint_id IS NOT NULL AND prompt_tokens IS NOT NULL GROUP BY 1",
     "metrics_text": f"WITH {ONCE} SELECT 'engine:requests_total' AS name, CAST(count(*) AS DOUBLE) AS total FROM e WHERE endpoint_id IS NOT NULL UNION ALL SELECT 'engine:prompt_tokens_total', CAST(sum(coalesce(prompt_tokens, 0)) AS DOUBLE) FROM e WHERE endpoint_id IS NOT NULL",
     "error_classes": f"WITH {ONCE}, c AS (SELECT event_id, event_id % 3 AS k, {_CODE} AS code FROM e WHERE status <> 'ok') SELECT CASE WHEN code IN (401, 403) THEN 'authentication' WHEN code IN (408, 429) OR code >= 500 THEN 'retryable' WHEN code IS NULL THEN 'retryable' ELSE 'fatal' END AS error_class, count(*) AS n, round(sum(least(pow(2, event_id % 6), 16)), 3) AS waited FROM c GROUP BY 1",
@@ -288,8 +321,8 @@ SQL = {
           UNION ALL SELECT 'meter', meter_name FROM g UNION ALL SELECT 'corruptions', CAST(('0x' || substr(sha256('reconstruction-count:' || sample_id), 1, 16))::UBIGINT % least(3, couplet_count) + 1 AS VARCHAR) FROM g UNION ALL SELECT 'fingerprint', fp FROM g)
         SELECT dim, value, count(*) AS n FROM m WHERE value IS NOT NULL GROUP BY 1, 2""",
     "manifest_totals": f"WITH {LOG}, {P} SELECT count(*) AS selected, count(won.sample_id) AS generated, count(lost.sample_id) AS failed, count(*) FILTER (metadata_conflict) AS conflicts, count(*) = count(won.sample_id) AND count(lost.sample_id) = 0 AS complete FROM p LEFT JOIN won ON p.sample_id = won.sample_id LEFT JOIN lost ON p.sample_id = lost.sample_id",
-    "pilot_gates": f"WITH {ONCE}, {PROV('true', 'q')}, {P}, g AS (SELECT * FROM q WHERE sample_id IN (SELECT sample_id FROM p)) SELECT count(*) AS done, count(*) FILTER (attempts > 2) AS repaired, CAST(coalesce(sum(truncations), 0) AS BIGINT) AS truncated, count(*) FILTER (attempts > 2) <= count(*) // 4 AS repaired_ok, coalesce(sum(truncations), 0) = 0 AS truncated_ok FROM g",
-    "throughput": f"WITH {ONCE} SELECT round(CAST(count(*) FILTER (status = 'ok') AS DOUBLE), 6) AS per_hour, round(CAST(sum(completion_tokens) AS DOUBLE), 3) AS tokens_per_hour FROM e",
+    "pilot_gates": f"WITH {ONCE}, {PROV('true', 'q')}, {P}, g AS (SELECT * FROM q WHERE sample_id IN (SELECT sample_id FROM p)) SELECT count(*) AS done, round(count(*) / (SELECT count(DISTINCT sample_id) FROM e WHERE endpoint_id IS NOT NULL AND sample_id IN (SELECT sample_id FROM p)), 9) AS success_rate, round(count(*) / (SELECT count(DISTINCT sample_id) FROM e WHERE endpoint_id IS NOT NULL AND sample_id IN (SELECT sample_id FROM p)), 9) >= 0.98 AS success_ok, count(*) FILTER (attempts > 2) AS repaired, CAST(coalesce(sum(truncations), 0) AS BIGINT) AS truncated, count(*) FILTER (attempts > 2) <= count(*) // 4 AS repaired_ok, coalesce(sum(truncations), 0) = 0 AS truncated_ok FROM g",
+    "throughput": f"WITH {ONCE} SELECT round(count(*) FILTER (status = 'ok') / {_SECS} * 3600, 6) AS per_hour, round(CAST(sum(completion_tokens) AS DOUBLE) / {_SECS} * 3600, 3) AS tokens_per_hour FROM e",
     "review_sample": f"""WITH {ONCE}, {PROV('true', 'q')}, g AS (SELECT sample_id, CASE WHEN attempts > 3 THEN 'many' WHEN attempts > 1 THEN 'some' ELSE 'one' END AS grp, failovers = 0 AS clean FROM q),
         f AS (SELECT sample_id, grp FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY clean, sample_id) AS r FROM g) WHERE r <= 10),
         t AS (SELECT sample_id, 'top-up' AS grp FROM g WHERE sample_id NOT IN (SELECT sample_id FROM f) ORDER BY sample_id LIMIT 30)
