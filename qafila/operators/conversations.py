@@ -7,6 +7,7 @@ project's own. Demonstrations are requests about a made-up couplet with answers
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 Message = dict[str, str]
 
@@ -50,11 +51,15 @@ def as_json(value: object) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
-def asking(ask: dict, demonstrate) -> list[Message]:
-    """System, one demonstration (demonstrate(request) gives its answer), request."""
-    kind = ask["kind"]
+@lru_cache(maxsize=32)
+def _opening(kind: str, demonstrate) -> tuple[Message, ...]:
     shot = {"kind": kind} | EXAMPLES[kind]
-    return [say("system", SYSTEMS[kind]), say("user", as_json(shot)), say("assistant", as_json(demonstrate(shot))), say("user", as_json(ask))]
+    return say("system", SYSTEMS[kind]), say("user", as_json(shot)), say("assistant", as_json(demonstrate(shot)))
+
+
+def asking(ask: dict, demonstrate, told: str | None = None) -> list[Message]:
+    """System, one demonstration (demonstrate(request) gives its answer), request (told: its JSON, if that is at hand)."""
+    return [*_opening(ask["kind"], demonstrate), say("user", told or as_json(ask))]
 
 
 def shown(kind: str, candidate: object) -> object:
@@ -65,9 +70,9 @@ def shown(kind: str, candidate: object) -> object:
     return candidate | {"verse_reasoning": [{k: v for k, v in b.items() if k not in hidden} for b in candidate["verse_reasoning"]]}
 
 
-def judging(ask: dict, candidate: object) -> list[Message]:
+def judging(ask: dict, candidate: object, told: str | None = None) -> list[Message]:
     kind = ask["kind"]
-    both = f"<source>\n{as_json(ask)}\n</source>\n<candidate>\n{as_json(shown(kind, candidate))}\n</candidate>"
+    both = f"<source>\n{told or as_json(ask)}\n</source>\n<candidate>\n{as_json(shown(kind, candidate))}\n</candidate>"
     return [say("system", f"{JUDGE} {JUDGES[kind]} " + 'أعد {"passed": true أو false, "errors": [..]} لا غير.'), say("user", both)]
 
 
@@ -78,5 +83,7 @@ def repairing(messages: list[Message], raw: str, errors: list[str]) -> list[Mess
 
 def request_in(messages: list[Message]) -> tuple[dict, bool]:
     """The request of a conversation, and whether a repair of its answer is asked for."""
-    at = max(i for i, m in enumerate(messages) if m["role"] == "user" and m["content"].startswith("{"))
+    at = len(messages) - 1
+    while messages[at]["role"] != "user" or not messages[at]["content"].startswith("{"):
+        at -= 1
     return json.loads(messages[at]["content"]), at < len(messages) - 1

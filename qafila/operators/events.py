@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from qafila.operators.selection import latest
 from qafila.runtime import cut
 
+#: Distinct values one task counts through.
+RANGE_ROWS = 1_000_000
 SAFE_RETRYABLE = 0.005
 GOOD_ENOUGH = 0.95
 
@@ -26,13 +28,15 @@ def delivered_once(events: DataFrame) -> DataFrame:
 def percentiles(events: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """The keys with one column a share: the nearest-rank percentile of the values that are not null.
 
-    Exact, and no task holds a key: equal values are counted before the shuffle, the distinct ones are ranged over tasks
-    by key and value, and a place is found from what stands before a task and within it. Keys may be null; keys without
-    a value have no row.
+    Exact, and no task holds more than RANGE_ROWS: equal values are counted before the shuffle, the distinct ones are
+    ranged over as many tasks as that takes by key and value, and a place is found from what stands before a task and
+    within it. Keys may be null; keys without a value have no row.
     """
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = events.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_k"), F.col(value).alias("_v")).groupBy("_k", "_v").agg(F.count("*").alias("_c"))
-    placed = cut(counted.repartitionByRange(tasks, "_k", "_v").withColumn("_task", F.spark_partition_id()))
+    placed = cut(counted.withColumn("_task", F.lit(0)))
+    tasks = -(-placed.count() // RANGE_ROWS)
+    if tasks > 1:
+        placed = cut(placed.repartitionByRange(tasks, "_k", "_v").withColumn("_task", F.spark_partition_id()))
     by_key = Window.partitionBy("_k")
     held = placed.groupBy("_k", "_task").agg(F.sum("_c").alias("_here"))
     held = held.withColumns({"_before": F.sum("_here").over(by_key.orderBy("_task")) - F.col("_here"), "_all": F.sum("_here").over(by_key)})
@@ -73,7 +77,7 @@ def workload(events: DataFrame, keys: list[str], timeout_s: float) -> DataFrame:
         F.coalesce(F.sum(F.when(ok, F.col("completion_tokens"))), F.lit(0)).alias("completion_tokens"),
         seconds.alias("seconds"),
     )
-    rows = with_percentiles(rows, events, keys, "elapsed_seconds", {"p50": 0.5, "p95": 0.95})
+    rows = with_percentiles(rows, events.select(*keys, "elapsed_seconds"), keys, "elapsed_seconds", {"p50": 0.5, "p95": 0.95})
     rate = F.when(F.col("requests") > 0, F.col("retryable_errors") / F.col("requests")).otherwise(1.0)
     return rows.withColumns({
         "requests_per_second": F.col("successes") / F.col("seconds"),

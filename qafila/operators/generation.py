@@ -212,17 +212,17 @@ JUDGE_SEED, JUDGE_TURN, VERDICTS = 1 << 40, 1 << 41, 3
 _DEMONSTRATED = OfflineBackend()
 
 
-def verdict(ask: dict, candidate: object, backend: Backend, seed: int) -> list[str]:
+def verdict(ask: dict, candidate: object, backend: Backend, seed: int, told: str | None = None) -> list[str]:
     """What the judge holds against a candidate, given source and candidate; asked again while its answer is no verdict."""
-    messages = K.judging(ask, candidate)
+    messages = K.judging(ask, candidate, told)
     for turn in range(VERDICTS):
         try:
-            told = C.object_of(backend.chat(messages, seed + JUDGE_SEED + (JUDGE_TURN if turn else 0)))
+            said = C.object_of(backend.chat(messages, seed + JUDGE_SEED + (JUDGE_TURN if turn else 0)))
         except C.Broken:
             continue
-        errors = told.get("errors")
+        errors = said.get("errors")
         listed = isinstance(errors, list) and all(isinstance(e, str) and e.strip() for e in errors)
-        if told.keys() == {"passed", "errors"} and isinstance(told["passed"], bool) and listed and told["passed"] == (not errors):
+        if said.keys() == {"passed", "errors"} and isinstance(said["passed"], bool) and listed and said["passed"] == (not errors):
             return errors
     raise C.Broken(f"validation response was invalid after {VERDICTS} attempts")
 
@@ -234,13 +234,13 @@ def attempt(t: Task, work_id: str, ask: str, backend: Backend, **known) -> dict:
     with the refused answer. What is known of the item besides its request goes to the contract, not to the backend.
     """
     request, seed = json.loads(ask), int(hashlib.sha256(work_id.encode()).hexdigest()[:8], 16)
-    messages = base = K.asking(request, _DEMONSTRATED.answer)
+    messages = base = K.asking(request, _DEMONSTRATED.answer, ask)
     error = None
     for k in range(t.max_repairs + 1):
         raw = backend.chat(messages, seed + k)
         try:
             value = t.accept(C.object_of(raw), request | known)
-            errors = verdict(request, value, backend, seed + k) if t.judged else []
+            errors = verdict(request, value, backend, seed + k, ask) if t.judged else []
             if not errors:
                 return {"value": K.as_json(value), "error": None, "attempts": k + 1}
             error = "judge rejected: " + "; ".join(errors)

@@ -20,7 +20,8 @@ def test_percentile(spark, n):
     assert sorted((str(r.k), r["count"], r.p) for r in rows.collect()) == [("None", n + 1, want), ("a", n + 1, want)]
 
 
-def test_percentiles_over_many_tasks(spark):
+def test_percentiles_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(E, "RANGE_ROWS", 100)
     rng = random.Random(8)
     data = [(rng.choice("ab"), rng.choice([1.0, 2.0, rng.random() * 50])) for _ in range(3000)]
     df = spark.createDataFrame(data, "k string, x double").repartition(6)
