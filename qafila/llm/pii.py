@@ -190,6 +190,32 @@ _EN_ADDRESS = re.compile(
     rf")(?:{_GAP}(?:\d{{4,6}} )?{_TOWN}(?: \d{{4,6}})?)?",
     re.I,
 )
+#: Where such an address may begin; the rule itself is tried there only.
+_HOUSE = re.compile(r"(?<![\w/-])\d{1,4}(?:-?[A-Za-z])? (?=[^\W\d_])")
+_FLATS = ("flat", "apt", "apartment", "unit", "suite")
+_BOX = re.compile(r"p\. ?o\. ?box|po box|post office box")
+_STREET_NO = re.compile(r"(?<=[^\W\d_] )(?:street|st|road|rd|avenue|ave|lane|ln|alley|terrace|quay)\b\.? \d")
+
+
+def _addresses(view: str, low: str) -> Iterator[tuple[int, int]]:
+    starts = {m.start() for m in _HOUSE.finditer(view)}
+    for flat in _FLATS:
+        at = low.find(flat)
+        while at >= 0:
+            starts.add(at)
+            at = low.find(flat, at + 1)
+    if "box" in low:
+        starts.update(m.start() for m in _BOX.finditer(low))
+    for m in _STREET_NO.finditer(low):
+        begin = m.start() - 1
+        while begin and low[begin - 1].isalpha():
+            begin -= 1
+        starts.add(begin)
+    for at in starts:
+        if m := _EN_ADDRESS.match(view, at):
+            yield m.span()
+
+
 _AR_TOWN = r"(?:، ?[^\W\d_]+(?: [^\W\d_]+){0,1})?"
 _AR_ADDRESS = re.compile(
     r"(?<!\w)(?:"
@@ -258,8 +284,11 @@ def _phones(view: str) -> Iterator[tuple[int, int]]:
         yield m.span()
 
 
-def _ids(view: str) -> Iterator[tuple[int, int]]:
-    for label in _ID_LABEL.finditer(view):
+_ID_WORDS = ("passport", "identity", "national", "permit", "ssn", "social", "licen", "tax", "id", "جواز", "بطاقة", "هوية", "الوطني", "رخصة", "الإقامة")
+
+
+def _ids(view: str, low: str) -> Iterator[tuple[int, int]]:
+    for label in _ID_LABEL.finditer(view) if any(w in low for w in _ID_WORDS) else ():
         m = _ID_VALUE.match(view, label.end())
         if m and sum(c.isdigit() for c in m.group(0)) >= 5:
             yield m.span()
@@ -325,9 +354,11 @@ def spans(text: str | None, credits: frozenset[int] | set[int] = frozenset(), kn
     hits = [("email", *m.span()) for m in _EMAIL.finditer(view)] if "@" in view else []
     if _DIGIT.search(view):
         hits += [("phone", *s) for s in _phones(view)]
-        hits += [("id_number", *s) for s in _ids(view)]
-        rules = [rule for rule, firsts in ((_EN_ADDRESS, _STREETS), (_AR_ADDRESS, _AR_STREETS)) if any(f in low for f in firsts)]
-        hits += [("address", *m.span()) for rule in rules for m in rule.finditer(view)]
+        hits += [("id_number", *s) for s in _ids(view, low)]
+        if any(f in low for f in _STREETS):
+            hits += [("address", *s) for s in _addresses(view, low)]
+        if any(f in low for f in _AR_STREETS):
+            hits += [("address", *m.span()) for m in _AR_ADDRESS.finditer(view)]
     hits += [("person_name", *s) for s in _names(view, low, credits, known)]
     rank = {"email": 0, "id_number": 1, "phone": 2, "address": 3, "person_name": 4}
     out: list[tuple[str, int, int]] = []
