@@ -193,8 +193,13 @@ def pending_items(spark, d):
 
 
 def reusable_successes(spark, d):
-    """Successes whose fingerprint fits, or that have none."""
-    return R.successes(log(spark, d)).filter(F.coalesce("fingerprint", F.lit("fp1")) == "fp1").select("sample_id", F.coalesce("fingerprint", F.lit("legacy")).alias("fingerprint"))
+    """Successes of a task and version among the poems there are, whose fingerprint fits or that have none."""
+    seq = F.col("seq")
+    extra = log(spark, d).withColumns({
+        "task_type": F.when(seq % 5 > 0, F.when(seq % 5 < 4, "poem-generation").otherwise("mcq")), "task_version": F.when(seq % 3 > 0, F.lit(2)), "template_version": F.when(seq % 2 == 0, F.lit(2)).otherwise(F.lit(1)),
+    })
+    won = R.successes(extra, "task_type", "task_version", "template_version")
+    return R.reusable(won, _poems(spark, d), "poem-generation", 2, "fp1").select("sample_id", F.coalesce("fingerprint", F.lit("legacy")).alias("fingerprint"))
 
 
 def failures_sorted(spark, d):
@@ -314,7 +319,7 @@ SQL = {
     "checkpoint_instructions": f"WITH {LOG}, i AS (SELECT sample_id, arg_max(struct_pack(fp := fingerprint, s := seq), seq) AS x FROM l WHERE event = 'instruction_success' GROUP BY 1) SELECT sample_id, x.fp AS fingerprint, x.s AS seq FROM i",
     "resume_chunks": f"WITH {LOG}, c AS (SELECT sample_id, start_offset, arg_max(struct_pack(fp := fingerprint, s := seq), seq) AS x FROM l WHERE event = 'reasoning_chunk_success' GROUP BY 1, 2) SELECT sample_id, start_offset, x.fp AS fingerprint, x.s AS seq FROM c WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.event = 'instruction_success' AND l.sample_id = c.sample_id AND l.seq > c.x.s AND l.fingerprint IS DISTINCT FROM c.x.fp)",
     "pending_items": f"WITH {LOG}, {P} SELECT sample_id FROM p WHERE sample_id NOT IN (SELECT sample_id FROM won)",
-    "reusable_successes": f"WITH {LOG} SELECT sample_id, coalesce(x.fp, 'legacy') AS fingerprint FROM won WHERE coalesce(x.fp, 'fp1') = 'fp1'",
+    "reusable_successes": f"WITH {LOG} SELECT sample_id, coalesce(x.fp, 'legacy') AS fingerprint FROM won WHERE coalesce(x.fp, 'fp1') = 'fp1' AND x.s % 5 <> 4 AND CASE WHEN x.s % 3 > 0 THEN 2 WHEN x.s % 2 = 0 THEN 2 ELSE 1 END = 2 AND sample_id IN (SELECT sample_id FROM poem_records)",
     "failures_sorted": f"WITH {LOG} SELECT sample_id, error FROM lost ORDER BY sample_id",
     "manifest_counts": f"""WITH {LOG}, {P}, g AS (SELECT p.*, won.x.fp AS fp FROM p JOIN won ON p.sample_id = won.sample_id),
         m AS (SELECT 'split' AS dim, CASE WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 < 98 THEN 'train' WHEN ('0x' || substr(sample_id, 1, 8))::UBIGINT % 100 = 98 THEN 'validation' ELSE 'test' END AS value FROM g
