@@ -10,6 +10,11 @@ boundary context, and the canonical segments are spliced into the unchanged text
 * A segment is the maximal run between plain spaces around an unstable code point. A plain space neither composes
   nor reorders, so it is a safe boundary, and the run holds the whole word that the look-alike rule needs.
 
+Look-alikes are two tables of letters, written down below from how the letters are drawn in common typefaces: Latin letters
+with their Cyrillic (with the Abkhaz, Kurdish and Komi letters), Greek and Armenian twins, Arabic letters with those of
+Persian, Urdu, Kurdish and Uyghur. Other scripts (Cherokee, Lisu, mathematical letters that NFKC does not fold) are left
+as they are: a look-alike that is not in the tables stays and is no case.
+
 Defined results: null stays null; an empty text stays empty; a text of blanks becomes empty (and is no case of
 p6_found). Extra columns are carried along untouched.
 """
