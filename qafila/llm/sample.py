@@ -72,13 +72,16 @@ class Registry:
     def insert(self, records: DataFrame) -> None:
         """Register identifiers not seen before by an anti-join; those seen keep their number and first sight.
 
-        Joined by folder as well, so that both sides are laid out alike; a folder's rows are written by few tasks.
+        The folder follows from the identifier and is a key of the join too. New rows are placed by folder before they are
+        written, so that a load adds about a file a task, not a file for each folder and task.
         """
         asked = records.filter(F.col("sample_id").isNotNull()).groupBy("sample_id").agg(F.min("loaded_at").cast("timestamp").alias("first_seen"))
         asked = asked.withColumn("prn", permanent_number(F.col("sample_id"), self.seed)).withColumn("folder", F.floor(F.col("prn") * FOLDERS).cast("int"))
         known = self._stored()
         fresh = asked if known is None else asked.join(known.select("sample_id", "folder"), ["sample_id", "folder"], "left_anti")
-        fresh.select("sample_id", "prn", "first_seen", "folder").write.mode("append").partitionBy("folder").parquet(self.path)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = fresh.repartition(tasks, "folder", F.pmod(F.xxhash64("sample_id"), F.lit(max(1, tasks // FOLDERS))))
+        placed.select("sample_id", "prn", "first_seen", "folder").write.mode("append").partitionBy("folder").parquet(self.path)
 
     def select(self, share: float) -> DataFrame:
         """sample_id, prn, first_seen of everyone under the threshold."""
