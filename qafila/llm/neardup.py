@@ -245,19 +245,19 @@ class Sets:
         # a set that several tasks met is the smallest of its numbers; one row a task, however many records are copies
         heads = self._kind("f", "sid", "k0", "k1")
         many = heads.groupBy("k0", "k1").agg(F.min("sid").alias("head"), F.count("*").alias("c")).filter("c > 1")
-        self._copies = cut(heads.join(many, ["k0", "k1"]).filter("sid <> head").select("sid", "head"))
+        self._copies = small(cut(heads.join(many, ["k0", "k1"]).filter("sid <> head").select("sid", "head")))
 
     def _kind(self, kind: str, *columns: str) -> DataFrame:
         return self._all.filter(F.col("kind") == kind).select(*columns)
 
     def membership(self) -> DataFrame:
         """sample_id, id; records without features have a null id."""
-        both = self._kind("m", "sample_id", "sid").join(small(self._copies), "sid", "left")
+        both = self._kind("m", "sample_id", "sid").join(self._copies, "sid", "left")
         return both.select("sample_id", F.coalesce("head", "sid").alias("id")).distinct()
 
     def features(self) -> DataFrame:
         """id, n, features of each distinct set."""
-        return self._kind("f", "sid", "n", "features").join(small(self._copies), "sid", "left_anti").withColumnRenamed("sid", "id")
+        return self._kind("f", "sid", "n", "features").join(self._copies, "sid", "left_anti").withColumnRenamed("sid", "id")
 
     def size(self) -> int:
         """Features in all."""
