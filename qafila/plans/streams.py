@@ -59,7 +59,10 @@ def parquet_round_trip(spark, d):
     """The poem table whole: arrays, nulls and timestamps, and as many rows as there are."""
     path = scratch_path(spark, "roundtrip")
     files.write_records(table(spark, d, "poem_records"), path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), "|").alias(c)
+    shown = {"source_row_indices": joined("source_row_indices"), "source_urls": joined("source_urls"), "verses": joined("verses"), "loaded_at": F.col("loaded_at").cast("string").alias("loaded_at")}
+    return back.select(*(shown.get(c, F.col(c)) for c in back.columns))
 
 
 def jsonl_round_trip(spark, d):
@@ -84,7 +87,7 @@ SQL = {
         f AS (SELECT sample_id, max(seq) AS seq, NULL AS fingerprint, false AS done, arg_max(error, seq) AS error FROM l WHERE event = 'sample_failure' AND sample_id NOT IN (SELECT sample_id FROM won) GROUP BY 1)
         SELECT * FROM s UNION ALL SELECT * FROM f""",
     "stream_stage_replay": M.SQL["resume_chunks"],
-    "parquet_round_trip": "SELECT * FROM poem_records",
+    "parquet_round_trip": "SELECT * REPLACE (array_to_string(source_row_indices, '|') AS source_row_indices, array_to_string(source_urls, '|') AS source_urls, array_to_string(verses, '|') AS verses, CAST(loaded_at AS VARCHAR) AS loaded_at) FROM poem_records",
     "jsonl_round_trip": f"WITH {M.ONCE} SELECT event_id, sample_id, endpoint_id, status, finish_reason FROM e",
     "jsonl_lines": f"""WITH {M.ONCE} SELECT '{{"event_id":' || event_id || ',"endpoint_id":' || coalesce('"' || endpoint_id || '"', 'null') || ',"status":"' || status || '"}}' AS value FROM e""",
 }

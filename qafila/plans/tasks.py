@@ -167,7 +167,7 @@ _RECONSTRUCTION = _tried("SELECT 'poem-reconstruction:' || sample_id AS key, sam
 _GENERATION = f"""{_tried("SELECT 'poem-generation:' || sample_id AS key, * FROM p", "told")},
     {_tried("SELECT key || ':' || i AS key, key AS work, CAST(i AS INT) AS start FROM (SELECT key, unnest(range(0, len(lines), 3)) AS i FROM told WHERE NOT failed)", "chunk")},
     sums AS (SELECT work, sum(attempts) AS attempts, count(*) AS stages, min(start) FILTER (failed) AS broken FROM chunk GROUP BY 1),
-    gen AS (SELECT told.key, sample_id, record_no, poem_text, CAST(told.attempts + coalesce(sums.attempts, 0) AS BIGINT) AS attempts, 1 + coalesce(stages, 0) AS stages,
+    gen AS (SELECT told.key, sample_id, record_no, poem_text, CAST(told.attempts + coalesce(sums.attempts, 0) AS INT) AS attempts, 1 + coalesce(stages, 0) AS stages,
         CASE WHEN told.failed THEN '{_REJECTED}' WHEN len(lines) = 0 THEN 'no couplet to reason about' WHEN broken IS NOT NULL THEN 'reasoning chunk ' || (broken + 1) || ' {_REJECTED}' END AS error
       FROM told LEFT JOIN sums ON told.key = sums.work)"""
 _LABELS = (("المعنى", "intended_meaning"), ("الصلة بما قبله", "connection_to_previous"), ("الصورة", "imagery_and_diction"), ("صياغة أولى", "first_draft"), ("قرار المراجعة", "problem_with_first_draft"), ("الصياغة المنقحة", "revised_draft"), ("الفحص الأول", "first_hemistich_scansion"), ("الفحص الثاني", "second_hemistich_scansion"), ("القافية", "rhyme_check"))
@@ -181,7 +181,7 @@ SQL = {
     "generation_records": f"""WITH {P}, {_GENERATION}, {_MCQ}, {_RECONSTRUCTION},
       r AS (SELECT key, sample_id, record_no, 'poem-generation' AS t, attempts, stages, sha256(poem_text) AS poem FROM gen WHERE error IS NULL
         UNION ALL SELECT key, sample_id, record_no, 'mcq', attempts, 1, NULL FROM mcq WHERE NOT failed UNION ALL SELECT key, sample_id, record_no, 'poem-reconstruction', attempts, 1, NULL FROM rec WHERE NOT failed)
-      SELECT key AS record_id, sample_id, t AS task_type, record_no AS work_order, {_SPLIT} AS sft_split, CAST(attempts AS BIGINT) AS generation_attempts, CASE WHEN attempts > stages THEN 'passed_after_repair' ELSE 'passed' END AS validation_status, poem FROM r""",
+      SELECT key AS record_id, sample_id, t AS task_type, record_no AS work_order, {_SPLIT} AS sft_split, CAST(attempts AS INT) AS generation_attempts, CASE WHEN attempts > stages THEN 'passed_after_repair' ELSE 'passed' END AS validation_status, poem FROM r""",
     "run_counters": f"""WITH {P}, {_GENERATION}, {_MCQ}, {_RECONSTRUCTION},
       r AS (SELECT key, sample_id, 'poem-generation' AS t, attempts > stages AS again FROM gen WHERE error IS NULL UNION ALL SELECT key, sample_id, 'mcq', attempts > 1 FROM mcq WHERE NOT failed UNION ALL SELECT key, sample_id, 'poem-reconstruction', attempts > 1 FROM rec WHERE NOT failed),
       x AS (SELECT r.*, meter_name, couplet_count, CASE WHEN t = 'mcq' THEN split_part(key, ':', 3) END AS template FROM r JOIN p USING (sample_id)),
